@@ -1,60 +1,46 @@
-"""Nearest-date lookup: the latest snapshot on or before a date, else the earliest later one."""
+"""Nearest-date lookup: the latest snapshot on or before a date, else the earliest later one.
+
+Snapshots become validity intervals that cover all time: each runs from its day to the next
+snapshot's day, and the first also covers everything before it. A fact then lies in exactly one
+interval of its key. Intervals are cut at slot borders (months by default), which gives an
+equi-join on (key, slot) with a date condition on the few intervals of that slot: the facts are
+shuffled once, are never ranked, and a hot key is spread over its slots and split further by AQE.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.operators.skew import all_not_null, lookup_join, null_high, one_per_key
+from martloom.operators.skew import all_not_null, null_high, one_per_key
 
+_STEP = {"week": "interval 7 days", "month": "interval 1 month", "year": "interval 1 year"}
 
-def nearest_snapshot(
-    probes: DataFrame,
-    snapshots: DataFrame,
-    keys: Sequence[str],
-    date: str,
-    snapshot_date: str,
-    updated: str,
+
+def snapshot_intervals(
+    snapshots: DataFrame, keys: Sequence[str], snapshot_date: str, updated: str,
     values: Sequence[str],
 ) -> DataFrame:
-    """For every distinct (key, date) of ``probes``: the nearest snapshot's values.
+    """(keys, values, _day, _from, _to): one interval per snapshot day, open ends NULL.
 
-    Both sides shrink to one row per (key, day) before the window, so even a hot key brings at
-    most a calendar's worth of rows into its window partition. Both directions are running
-    frames over the same partitioning: one shuffle, two sorts. Among snapshots of one day the
-    newest update wins, an unset update time ranking newest. Snapshots without a date are left
-    out; probes without a key or date find nothing.
+    Of several snapshots of one day the newest update counts, an unset update time ranking
+    newest. Snapshots without a key or date are left out.
     """
-    day = F.col(date).cast("date")
-    asked = (
-        probes.select(*keys, day.alias("_day"))
-        .where(all_not_null([*keys, "_day"]))
-        .distinct()
-        .withColumn("_snap", F.lit(None))
-    )
     dated = snapshots.select(
         *keys, F.col(snapshot_date).cast("date").alias("_day"), updated, *values
     ).where(all_not_null([*keys, "_day"]))
     newest = one_per_key(dated, [*keys, "_day"], [*null_high(updated), *null_high(*values)], "last")
-    snaps = newest.select(
-        *keys, "_day", F.struct(F.col("_day").alias("snapshot_day"), *values).alias("_snap")
-    )
-    asked = asked.withColumn("_snap", F.col("_snap").cast(snaps.schema["_snap"].dataType))
-
-    both = snaps.withColumn("_asked", F.lit(0)).unionByName(asked.withColumn("_asked", F.lit(1)))
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    back = Window.partitionBy(*keys).orderBy("_day", "_asked").rowsBetween(*so_far)
-    ahead = Window.partitionBy(*keys).orderBy(F.desc("_day"), F.desc("_asked"))
-    found = F.coalesce(
-        F.last("_snap", ignorenulls=True).over(back),
-        F.last("_snap", ignorenulls=True).over(ahead.rowsBetween(*so_far)),
-    )
-    return (
-        both.withColumn("_found", found)
-        .where((F.col("_asked") == 1) & F.col("_found").isNotNull())
-        .select(*keys, F.col("_day").alias(date), "_found.*")
+    # One row per key and day is left, so a window partition holds at most a calendar of days.
+    days = Window.partitionBy(*keys).orderBy("_day")
+    return newest.select(
+        *keys,
+        *values,
+        "_day",
+        F.when(F.lag("_day").over(days).isNotNull(), F.col("_day")).alias("_from"),
+        F.lead("_day").over(days).alias("_to"),
     )
 
 
@@ -66,9 +52,65 @@ def join_nearest_snapshot(
     snapshot_date: str,
     updated: str,
     values: Sequence[str],
+    day_column: str | None = None,
+    slot: str = "month",
+) -> DataFrame:
+    """Facts with the nearest snapshot's values, NULL where the key has no snapshot.
+
+    ``day_column`` names an extra output for the chosen snapshot's day. Facts without a key or
+    date find nothing. ``slot`` (week, month, year) sets how finely a key is spread.
+    """
+    extra = [day_column] if day_column else []
+    intervals = snapshot_intervals(snapshots, keys, snapshot_date, updated, values)
+    if day_column:
+        intervals = intervals.withColumn(day_column, F.col("_day"))
+
+    def slot_of(day: Column) -> Column:
+        return F.trunc(day, slot)
+
+    # Facts outside the snapshots' calendar use its first or last slot, where the open intervals are.
+    span = snapshots.agg(
+        slot_of(F.min(F.col(snapshot_date).cast("date"))).alias("low"),
+        slot_of(F.max(F.col(snapshot_date).cast("date"))).alias("high"),
+    ).first()
+    low, high = (F.lit(span["low"]).cast("date"), F.lit(span["high"]).cast("date"))
+    slots = F.sequence(
+        F.coalesce(slot_of(F.col("_from")), low),
+        F.coalesce(slot_of(F.date_sub("_to", 1)), high),
+        F.expr(_STEP[slot]),
+    )
+    cut = intervals.select(
+        *keys, *values, *extra, "_from", "_to", F.explode(slots).alias("_slot")
+    ).alias("i")
+
+    day = F.col(date).cast("date")
+    placed = facts.withColumn(
+        "_slot", F.when(day.isNotNull(), F.least(F.greatest(slot_of(day), low), high))
+    ).alias("f")
+    on_day = F.col(f"f.{date}").cast("date")
+    same = [F.col(f"f.{c}") == F.col(f"i.{c}") for c in [*keys, "_slot"]]
+    inside = [
+        F.col("i._from").isNull() | (on_day >= F.col("i._from")),
+        F.col("i._to").isNull() | (on_day < F.col("i._to")),
+    ]
+    joined = placed.join(cut, reduce(lambda a, b: a & b, [*same, *inside]), "left")
+    return joined.select(
+        *[F.col(f"f.{c}") for c in facts.columns],
+        *[F.col(f"i.{c}") for c in [*values, *extra]],
+    )
+
+
+def nearest_snapshot(
+    probes: DataFrame, snapshots: DataFrame, keys: Sequence[str], date: str, snapshot_date: str,
+    updated: str, values: Sequence[str], day_column: str = "snapshot_day",
 ) -> DataFrame:
-    """Facts with the nearest snapshot's values added (NULL where the key has none)."""
-    found = nearest_snapshot(facts, snapshots, keys, date, snapshot_date, updated, values)
-    found = found.withColumnRenamed(date, "_on_day").drop("snapshot_day")
-    dated = facts.withColumn("_on_day", F.col(date).cast("date"))
-    return lookup_join(dated, found, [*keys, "_on_day"]).select(*facts.columns, *values)
+    """The lookup table itself: each distinct (key, day) asked, with its snapshot."""
+    asked = (
+        probes.select(*keys, F.col(date).cast("date").alias(date))
+        .where(all_not_null([*keys, date]))
+        .distinct()
+    )
+    found = join_nearest_snapshot(
+        asked, snapshots, keys, date, snapshot_date, updated, values, day_column
+    )
+    return found.where(F.col(day_column).isNotNull())

@@ -73,7 +73,6 @@ def read_json_records(
     ]
     if not lists:
         return docs
-    items = F.lit(None)
     if len({docs.schema[c].dataType.simpleString() for c in lists}) > 1:
         lists = lists[:1]
     items = F.coalesce(*[F.when(F.size(c) > 0, F.col(c)) for c in lists])
@@ -130,5 +129,5 @@ def read_zip_json(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def with_date_layout(df: DataFrame, ts: str, zone: str = "Asia/Kolkata") -> DataFrame:
     """Add year, month and day of the business zone, the columns of the drop layout."""
-    local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(ts).cast("timestamp_ntz"))
     return df.withColumns({"year": F.year(local), "month": F.month(local), "day": F.day(local)})
