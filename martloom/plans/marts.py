@@ -430,9 +430,9 @@ def inventory(
     raw: DataFrame, bins: DataFrame | None, seq: Sequence[str], updated_on: Column
 ) -> DataFrame:
     """Last row per SKU, location and bucket; "In Process" rows replaced by bin detail, or kept
-    when there is none."""
+    when there is none (or it is empty)."""
     last = keep_last(raw, ["skucode", "location", "bucket"], seq)
     stock = last.select("skucode", "location", "bucket", "quantity")
-    if bins is not None:
+    if bins is not None and not bins.isEmpty():
         stock = replace_slice(stock, F.col("bucket") == IN_PROCESS, bin_detail(bins))
     return stock.withColumn("updated_on", updated_on)
