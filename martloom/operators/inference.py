@@ -198,7 +198,7 @@ def key_candidates(columns: Sequence[str], table: str) -> tuple[list[str], list[
     names = [n.format(table=table) for n in KEY_NAMES]
     if "_" in table:
         names += [n.format(base=table.split("_")[0]) for n in BASE_KEY_NAMES]
-    singles = [n for n in names if n in columns]
+    singles = [n for n in dict.fromkeys(names) if n in columns]
     pairs = []
     if any(word in table.lower() for word in CHILD_WORDS):
         pairs = [(p, c) for p in PARENT_KEYS for c in CHILD_KEYS if p in columns and c in columns]

@@ -2,7 +2,10 @@
 
 from martloom.plans import (  # noqa: F401
     change_queries,
+    mart_queries,
     relational_queries,
+    source_queries,
+    time_queries,
     typing_queries,
 )
 from martloom.plans.suite import ORACLES, QUERIES

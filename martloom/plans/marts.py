@@ -15,7 +15,6 @@ from martloom.operators.dedup import keep_last
 from martloom.operators.skew import lookup_join, null_high, one_per_key
 
 CHANNEL_KEYS = ["store", "orderdate", "marketingtype", "marketingsource", "marketingchannel"]
-MONEY = "decimal(38,2)"
 
 # What sessions without a mapping count as.
 DEFAULT_TYPE, DEFAULT_CHANNEL, DEFAULT_SOURCE = "CORE", "UNPAID", "DIRECT"
@@ -90,14 +89,13 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
             *[F.sum(c).alias(name) for name, c in extra.items()],
         )
     )
-    none = F.lit(0).cast(MONEY)
     return per_order.groupBy(*CHANNEL_KEYS).agg(
         F.max("brandname").alias("brandname"),
         F.count_distinct(F.when(F.col("_counted"), F.col("ordername"))).alias("total_order"),
         F.count_distinct(F.when(F.col("_new"), F.col("phone"))).alias("new_customer"),
         F.count_distinct("phone").alias("total_customer"),
         F.count_distinct(F.when(F.col("_cancelled"), F.col("ordername"))).alias("canc_orders"),
-        *[F.coalesce(F.sum(c), none).alias(c) for c in [*sums, *extra]],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*sums, *extra]],
     )
 
 

@@ -56,15 +56,18 @@ def read_csv_drop(
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    doc_per_line: bool = False,
 ) -> DataFrame:
     """JSON drops as rows: a list gives its items; an object gives the items of its first
     non-empty list; an object without a list is one row.
 
-    Fields come back in name order when the schema is inferred, so "first" is by field name then;
-    pass a schema to fix both the order and the types.
+    A file holds one document, or one per line. Fields come back in name order when the schema is
+    inferred, so "first" is by field name then; pass a schema to fix the order and the types.
     """
-    reader = spark.read.option("multiLine", "true")
+    reader = spark.read.option("multiLine", str(not doc_per_line).lower())
     docs = (reader.schema(schema) if schema else reader).json(path)
     lists = [
         f.name
@@ -99,10 +102,11 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     )
 
 
-def read_zip_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the JSON lists inside zip archives; archives are unpacked in parallel, one per row.
+def unzip_records(archives: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of the JSON documents in a ``content`` column of zip archives.
 
-    A record is passed on as JSON text and typed by Spark, so tasks hold no parsed tables.
+    Archives are unpacked in parallel, one at a time per task. A record is passed on as JSON text
+    and typed by Spark.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,15 +120,19 @@ def read_zip_json(spark: SparkSession, path: str, schema: T.StructType) -> DataF
                             part = records[start:start + 10000]
                             yield pd.DataFrame({"record": [json.dumps(r) for r in part]})
 
-    blobs = (
+    records = archives.select("content").mapInPandas(unpack, "record string")
+    return records.select(F.from_json("record", schema).alias("r")).select("r.*")
+
+
+def read_zip_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of the JSON documents inside the zip archives below ``path``."""
+    archives = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("content")
     )
-    records = blobs.mapInPandas(unpack, "record string")
-    return records.select(F.from_json("record", schema).alias("r")).select("r.*")
+    return unzip_records(archives, schema)
 
 
 def with_date_layout(df: DataFrame, ts: str, zone: str = "Asia/Kolkata") -> DataFrame:
