@@ -25,8 +25,7 @@ def string_columns(df: DataFrame) -> list[str]:
 
 def number(c: Column) -> Column:
     """Text or number as DOUBLE; bad text and NaN become NULL."""
-    value = c.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def blank_to_null(c: Column) -> Column:

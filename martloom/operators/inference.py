@@ -33,31 +33,43 @@ CHILD_KEYS = [
 
 def _scale(value: Column) -> Column:
     """Digits after the point of a double, at least one (whole values print as ``12.0``)."""
-    digits = F.split_part(value.try_cast("decimal(38,18)").cast("string"), F.lit("."), F.lit(2))
-    return F.greatest(F.length(F.rtrim(digits, F.lit("0"))), F.lit(1))
-
-
-def _value_stats(c: str, kind: T.DataType) -> dict[str, Column]:
-    col = F.col(c)
+    digits = F.when(value.isNotNull() & (value * 10 == F.rint(value * 10)), 1)
+    for places in range(2, NUMERIC_DIGITS + 1):
+        power = 10.0**places
+        digits = digits.when(F.rint(value * power) / power == value, places)
+    return digits.when(value.isNotNull(), NUMERIC_DIGITS)
+
+
+def _parts(df: DataFrame) -> DataFrame:
+    """Per column its filled text (``_f``) and its number (``_v``), each worked out once."""
+    text, value = {}, {}
+    for i, f in enumerate(df.schema.fields):
+        if isinstance(f.dataType, T.StringType):
+            text[f"_f{i}"] = F.when(F.trim(f.name) != "", F.trim(f.name))
+            value[f"_v{i}"] = number(F.col(f"_f{i}"))
+        elif isinstance(f.dataType, T.NumericType):
+            value[f"_v{i}"] = number(F.col(f.name))
+    df = df.withColumns(text) if text else df
+    return df.withColumns(value) if value else df
+
+
+def _value_stats(i: int, field: T.StructField) -> dict[str, Column]:
+    col, kind = F.col(field.name), field.dataType
+    filled, value = F.col(f"_f{i}"), F.col(f"_v{i}")
     stats = {"nulls": F.count_if(col.isNull()), "seen": F.count(col)}
+    if isinstance(kind, (T.StringType, T.NumericType)):
+        stats |= {"top": F.max(F.abs(value)), "scale": F.max(_scale(value))}
     if isinstance(kind, T.StringType):
-        filled = F.when(F.trim(col) != "", col)
-        value = number(filled)
         stats |= {
             "filled": F.count(filled),
             "numeric": F.count(value),
-            "whole": F.count_if(value == F.floor(value)),
-            "top": F.max(F.abs(value)),
-            "scale": F.max(_scale(value)),
-            "length": F.max(F.length(filled)),
+            "whole": F.count_if(value == F.rint(value)),
+            "length": F.max(F.when(filled.isNotNull(), F.length(col))),
             "json": F.count_if(
                 (col.startswith("{") | col.startswith("["))
                 & F.try_parse_json(col).isNotNull()
             ),
         }
-    elif isinstance(kind, (T.NumericType,)):
-        value = number(col)
-        stats |= {"top": F.max(F.abs(value)), "scale": F.max(_scale(value))}
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         stats |= {"timed": F.count_if(F.date_trunc("day", col) != col)}
     return stats
@@ -113,8 +125,8 @@ def infer_types(df: DataFrame) -> DataFrame:
     All values count, not a sample, so the answer is the same on every run.
     """
     fields = df.schema.fields
-    stats = [_value_stats(f.name, f.dataType) for f in fields]
-    profile = df.agg(*[c.alias(f"{k}_{i}") for i, s in enumerate(stats) for k, c in s.items()])
+    stats = [_value_stats(i, f) for i, f in enumerate(fields)]
+    profile = _parts(df).agg(*[c.alias(f"{k}_{i}") for i, s in enumerate(stats) for k, c in s.items()])
     rows = [
         F.struct(
             F.lit(f.name).alias("column_name"),
@@ -126,15 +138,13 @@ def infer_types(df: DataFrame) -> DataFrame:
     return profile.select(F.inline(F.array(*rows)))
 
 
-def _sheet_stats(c: str) -> dict[str, Column]:
-    text = F.trim(F.col(c).cast("string"))
-    filled = F.when(text != "", text)
-    value = number(filled)
+def _sheet_stats(i: int) -> dict[str, Column]:
+    filled, value = F.col(f"_f{i}"), F.col(f"_v{i}")
     return {
         "filled": F.count(filled),
         "flags": F.count_if(F.lower(filled).isin("true", "false")),
         "numeric": F.count(value),
-        "whole": F.count_if(value == F.floor(value)),
+        "whole": F.count_if(value == F.rint(value)),
         "dates": F.count(filled.try_cast("timestamp_ntz")),
     }
 
@@ -153,8 +163,9 @@ def _sheet_rule(s: Mapping[str, Column]) -> Column:
 def infer_sheet_types(df: DataFrame) -> DataFrame:
     """One row per worksheet column: BOOLEAN, BIGINT, DOUBLE PRECISION, TIMESTAMP or TEXT, judged
     on the cells that are not blank."""
-    stats = [_sheet_stats(c) for c in df.columns]
-    profile = df.agg(*[c.alias(f"{k}_{i}") for i, s in enumerate(stats) for k, c in s.items()])
+    stats = [_sheet_stats(i) for i in range(len(df.columns))]
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    profile = _parts(text).agg(*[c.alias(f"{k}_{i}") for i, s in enumerate(stats) for k, c in s.items()])
     rows = [
         F.struct(
             F.lit(name).alias("column_name"),

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.money import from_units, scale_of, units
 from martloom.operators.asof import join_nearest_snapshot
 from martloom.operators.change import replace_slice
 from martloom.operators.dedup import keep_last
@@ -77,25 +78,35 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
         (F.col("quantity") != 0) & (_upper_status() != "SHIPPED & RETURNED")
     ) | F.col("orderstatus").isNull()
     cancelled = _upper_status() == "CANCELLED"
+    measures = lines.withColumns(dict(extra)) if extra else lines
+    scales = {c: scale_of(measures, c) for c in [*sums, *extra]}
+
+    def exact(c: str) -> Column:
+        return F.col(c) if scales[c] is None else units(F.col(c), scales[c])
+
     per_order = (
-        lines.withColumn("orderdate", F.col("orderdate").cast("date"))
+        measures.withColumn("orderdate", F.col("orderdate").cast("date"))
         .groupBy(*CHANNEL_KEYS, "ordername", "phone")
         .agg(
             F.max("brandname").alias("brandname"),
             F.max(counted).alias("_counted"),
             F.max(cancelled).alias("_cancelled"),
             F.max(F.col("new_customer") == "TRUE").alias("_new"),
-            *[F.sum(c).alias(c) for c in sums],
-            *[F.sum(c).alias(name) for name, c in extra.items()],
+            *[F.sum(exact(c)).alias(c) for c in scales],
         )
     )
+
+    def total(c: str) -> Column:
+        summed = F.coalesce(F.sum(c), F.lit(0))
+        return (summed if scales[c] is None else from_units(summed, scales[c])).alias(c)
+
     return per_order.groupBy(*CHANNEL_KEYS).agg(
         F.max("brandname").alias("brandname"),
         F.count_distinct(F.when(F.col("_counted"), F.col("ordername"))).alias("total_order"),
         F.count_distinct(F.when(F.col("_new"), F.col("phone"))).alias("new_customer"),
         F.count_distinct("phone").alias("total_customer"),
         F.count_distinct(F.when(F.col("_cancelled"), F.col("ordername"))).alias("canc_orders"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*sums, *extra]],
+        *[total(c) for c in scales],
     )
 
 

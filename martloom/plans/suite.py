@@ -22,7 +22,10 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # Called for names not set yet: each table's footers are read once per query.
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
