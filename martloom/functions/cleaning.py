@@ -17,6 +17,8 @@ SHEET_ERRORS = [
 # Day numbers count from this day, and only this range is taken as a day number.
 SERIAL_EPOCH = "1899-12-30 00:00:00"
 SERIAL_RANGE = (20000, 60000)
+# The whole years that nanosecond timestamps cover; text beyond them is no date.
+YEARS = (1678, 2261)
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -68,7 +70,8 @@ def serial_to_timestamp(c: Column) -> Column:
         "MICROSECOND", micros, F.lit(SERIAL_EPOCH).cast("timestamp_ntz")
     )
     parsed = c.try_cast("timestamp_ntz")
-    kept = F.when(parsed.cast("date") != F.lit("1970-01-01").cast("date"), parsed)
+    none = F.lit("1970-01-01").cast("date")
+    kept = F.when((parsed.cast("date") != none) & F.year(parsed).between(*YEARS), parsed)
     return F.when(value.between(low, high), counted).otherwise(kept)
 
 

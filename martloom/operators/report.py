@@ -67,9 +67,10 @@ def flag_top(
     The n winners come from a distributed top-n; only those n keys are broadcast.
     """
     best = df.orderBy(F.desc_nulls_last(column), *key).limit(n).select(*key)
-    marked = F.broadcast(best.withColumn(flag, F.lit(True)))
-    joined = df.join(marked, list(key), "left")
-    return joined.select(*df.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
+    marked = F.broadcast(best.withColumn(flag, F.lit(True))).alias("b")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
+    joined = df.alias("r").join(marked, same, "left")
+    return joined.select("r.*", F.coalesce(F.col(f"b.{flag}"), F.lit(False)).alias(flag))
 
 
 def threshold_code(c: Column, threshold: float = 0) -> Column:

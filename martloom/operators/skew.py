@@ -44,12 +44,14 @@ def with_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = 8
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = 2
 ) -> DataFrame:
     """Join facts to a lookup that has one row per key.
 
     The facts are spread over ``salts`` sub-keys by their map partition (the same on a retry) and
-    the lookup is repeated once per sub-key, so a hot key uses several tasks; AQE splits further.
+    the lookup is repeated once per sub-key. The salt also makes both sides shuffle anew, so AQE
+    can split a hot sub-key further; two salts keep a large lookup cheap to repeat, a small one
+    affords more.
     """
     salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     spread = left.withColumn(_SALT, salt)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. AQE splits skewed join partitions and skewed
 # rebalance partitions; forcing the skewed join accepts one more shuffle in exchange.
@@ -40,4 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a cut in the lineage that outlives
+    executors, and a source that no longer depends on the files ``df`` was read from."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _local_roots: dict[str, str] = {}

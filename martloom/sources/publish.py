@@ -1,11 +1,13 @@
 """Versioned tables: every publish writes a new version, then a one-row marker that switches to it.
 
 Readers see the old version until the marker exists, so a table may be rebuilt from itself and a
-failed job leaves it unchanged. One writer per table: a second writer of the same version fails.
+failed job leaves it unchanged. One writer per table: a second writer of the same version number
+fails when it switches.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,51 +15,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Version:
+    """A published version: its number and the folder that holds its files."""
+
+    number: int
+    folder: str
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     spark: SparkSession
     path: str
 
-    def version(self) -> int | None:
+    def current(self) -> Version | None:
         """The published version, or None when nothing was published yet."""
-        markers = f"{self.path}/_markers_"
         try:
-            seen = self.spark.read.schema("version bigint").parquet(f"{markers}/*")
+            markers = self.spark.read.schema("number bigint, folder string").parquet(
+                f"{self.path}/_markers_/*"
+            )
         except AnalysisException:
             return None
-        return seen.agg(F.max("version")).first()[0]
+        row = markers.agg(F.max(F.struct("number", "folder")).alias("last")).first().last
+        return Version(row.number, row.folder) if row else None
+
+    def version(self) -> int | None:
+        current = self.current()
+        return current.number if current else None
 
     def exists(self) -> bool:
-        return self.version() is not None
+        return self.current() is not None
 
-    def read(self, version: int | None = None) -> DataFrame:
-        current = self.version() if version is None else version
+    def read(self) -> DataFrame:
+        current = self.current()
         if current is None:
             raise FileNotFoundError(f"nothing published under {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={current}")
+        return self.spark.read.parquet(f"{self.path}/{current.folder}")
 
-    def write(self, df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> int:
-        """Write the next version without switching to it."""
+    def write(self, df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> Version:
+        """Write the next version without switching to it. The folder is new for every attempt,
+        so what a failed job left behind is never in the way."""
         number = (self.version() or 0) + 1
-        writer = df.write.mode("errorifexists").options(**options)
+        written = Version(number, f"v{number}-{uuid.uuid4().hex}")
+        writer = df.write.options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/v={number}")
-        return number
+        writer.parquet(f"{self.path}/{written.folder}")
+        return written
 
-    def switch(self, number: int) -> None:
-        marker = self.spark.range(1).select(F.lit(number).cast("bigint").alias("version"))
-        marker.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/_markers_/{number}")
+    def switch(self, written: Version) -> None:
+        """Make a written version the current one; fails if its number was published already."""
+        marker = self.spark.range(1).select(
+            F.lit(written.number).cast("bigint").alias("number"), F.lit(written.folder).alias("folder")
+        )
+        marker.coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.path}/_markers_/{written.number}"
+        )
 
     def publish(self, df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> int:
-        number = self.write(df, partition_by, **options)
-        self.switch(number)
-        return number
+        written = self.write(df, partition_by, **options)
+        self.switch(written)
+        return written.number
 
 
 def publish_together(changes: list[tuple[VersionedTable, DataFrame]]) -> list[int]:
     """Write every table first and switch only when all writes succeeded."""
     written = [(table, table.write(df)) for table, df in changes]
-    for table, number in written:
-        table.switch(number)
-    return [number for _, number in written]
+    for table, version in written:
+        table.switch(version)
+    return [version.number for _, version in written]

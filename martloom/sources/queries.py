@@ -64,6 +64,8 @@ def page(
     """One page of a sorted listing; the sort column must be on the allow-list."""
     if sort_by not in allowed:
         raise ValueError(f"cannot sort by {sort_by!r}")
+    if offset and limit is None:
+        raise ValueError("an offset needs a limit")  # alone it would pass every row to one task
     first = F.desc_nulls_first(sort_by) if descending else F.asc_nulls_last(sort_by)
     ordered = df.orderBy(first, *tiebreak)
     ordered = ordered.offset(offset) if offset else ordered

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from martloom.operators import change
 from martloom.operators.dedup import merge_keep_last
 from martloom.operators.validate import compatible
+from martloom.session import settle
 from martloom.sources.files import list_files
 from martloom.sources.publish import VersionedTable
 
@@ -69,11 +70,11 @@ def merge_partitions(
 ) -> None:
     """Merge rows into a partitioned dataset, last row per key, touched partitions only.
 
-    The merged rows are checkpointed in the shared folder before they replace files they came from.
+    The merged rows settle in the shared folder before they replace the files they came from.
     """
     existing = spark.read.schema(incoming.schema).parquet(path)
     merged = merge_keep_last(existing, incoming, keys, seq, partition_by=by)
-    replace_partitions(merged.checkpoint(), path, by)
+    replace_partitions(settle(merged), path, by)
 
 
 def insert_into(df: DataFrame, table: str, if_exists: str = "append") -> None:
