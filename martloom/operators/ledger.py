@@ -65,19 +65,19 @@ def run_metrics(
     return stats.withColumns({"success_rate": rate, "avg_records_per_second": per_second})
 
 
-def run_state(events: DataFrame) -> DataFrame:
-    """Current state of every run from its events (run_id, event_time, status, record_count,
-    error): start and end, the last status, and the last value given for the other fields."""
+def run_state(events: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
+    """Current state of every run (or step) from its events (event_time, event_seq, status, ...):
+    start and end, and the last value given for every other field."""
+    order = ["event_time", "event_seq"]
+
     def latest(c: str) -> Column:
-        return F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("event_time", "event_seq")))
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c)
 
     ended = F.col("status") != "running"
-    return events.groupBy("run_id").agg(
+    return events.groupBy(*keys).agg(
         F.min("event_time").alias("start_time"),
         F.max(F.when(ended, F.col("event_time"))).alias("end_time"),
-        latest("status").alias("status"),
-        latest("record_count").alias("record_count"),
-        latest("error").alias("error"),
+        *[latest(c) for c in events.columns if c not in [*keys, *order]],
     )
 
 

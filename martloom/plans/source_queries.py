@@ -136,11 +136,17 @@ def optional_filters(t: Tables) -> DataFrame:
     return optional_filter(t.orders, rules).select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
-@query("file_listing")
+@query("file_listing", """
+SELECT o_orderstatus, true AS has_files, true AS has_bytes FROM orders GROUP BY o_orderstatus""")
 def file_listing(t: Tables) -> DataFrame:
+    """The files of a partitioned copy, counted per partition folder."""
     path = t.scratch()
     tables.write_partitioned(t.orders, path, ["o_orderstatus"])
-    return files.list_files(t.spark, path, ".parquet")
+    listed = files.list_files(t.spark, path, ".parquet")
+    status = F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("o_orderstatus")
+    return listed.groupBy(status).agg(
+        (F.count("path") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes")
+    )
 
 
 @query("zip_json", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
