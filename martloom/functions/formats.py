@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from martloom.functions.cleaning import number_text
+
 # Indian-unit divisors with their suffixes, and the currency sign.
 UNITS = {"lakh": (100000, "L"), "crore": (10000000, "Cr")}
 CURRENCY_SIGN = "₹"
@@ -13,11 +15,13 @@ CURRENCY_SIGN = "₹"
 def format_cell(c: Column, spec: str) -> Column:
     """Text for ``kind`` or ``kind:decimals`` (default 2); NULL shows as empty text.
 
+    The cell may be a number or number text such as ``1,234`` or ``12%``.
+
     Kinds: comma, lakh, crore, percent, currency.
     """
     kind, _, places = spec.partition(":")
     decimals = int(places) if places.isdigit() else 2
-    value = c.cast("double")
+    value = number_text(c.cast("string"))
     if kind == "comma":
         text = F.format_string(f"%,.{decimals}f", value)
     elif kind in UNITS:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PART = "_part"
@@ -93,30 +93,26 @@ def next_in_key(
     df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: str, out: str,
     grain: str = "day",
 ) -> DataFrame:
-    """``lead(value)`` over (``keys`` ordered by ``ts``, ``tiebreak``) in two levels.
+    """``lead(value)`` over (``keys`` ordered by ``ts``, ``tiebreak``), spread over time slots.
 
-    Level one leads inside (key, time slot); the last row of a slot takes the first value of the
-    key's next used slot. A key's rows are thus spread over its slots, and the only window per
-    key runs over one row per slot.
+    Rows lead inside (key, slot). Each slot gets one extra row at its end that carries the first
+    value of the key's next used slot, and is dropped again. A key's rows are thus sorted slot by
+    slot in many tasks; the only window per key runs over one row per slot. The data is shuffled
+    once.
     """
-    from pyspark.sql import Window
-
-    slotted = df.withColumn("_slot", F.date_trunc(grain, F.col(ts)))
-    inside = Window.partitionBy(*keys, "_slot").orderBy(ts, tiebreak)
-    led = slotted.withColumn("_next", F.lead(F.struct(value)).over(inside))
-
-    firsts = slotted.groupBy(*keys, "_slot").agg(
-        F.min_by(F.struct(value), F.struct(ts, tiebreak)).alias("_first")
+    slot = F.date_trunc(grain, F.col(ts)).alias("_slot")
+    firsts = (
+        df.select(*keys, slot, ts, tiebreak, value)
+        .groupBy(*keys, "_slot")
+        .agg(F.min_by(F.struct(value), F.struct(ts, tiebreak)).alias("_value"))
     )
     across = Window.partitionBy(*keys).orderBy("_slot")
-    following = firsts.select(*keys, "_slot", F.lead("_first").over(across).alias("_following"))
-
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(f"l.{k}").eqNullSafe(F.col(f"f.{k}")) for k in [*keys, "_slot"]],
-    )
-    joined = led.alias("l").join(following.alias("f"), same, "left")
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        F.coalesce(F.col("l._next"), F.col("f._following"))[value].alias(out),
-    )
+    ends = firsts.select(
+        *keys, "_slot", F.lit(1).alias("_end"), F.lead("_value").over(across).alias("_value")
+    ).where(F.col("_value").isNotNull())
+
+    data = df.select("*", slot, F.lit(0).alias("_end"), F.struct(value).alias("_value"))
+    both = data.unionByName(ends, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_slot").orderBy("_end", ts, tiebreak)
+    led = both.withColumn("_next", F.lead("_value").over(inside)).where("_end = 0")
+    return led.select(*df.columns, F.col("_next")[value].alias(out))

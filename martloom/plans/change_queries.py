@@ -15,7 +15,7 @@ from martloom.plans.inputs import (
 from martloom.plans.suite import Tables, query
 from martloom.sources.publish import VersionedTable
 from martloom.sources.tables import load_many, load_table, load_totals
-from martloom.streaming.ingest import ingest_files
+from martloom.streaming.ingest import ingest_files, ingest_partitioned
 
 REPLACED = """
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
@@ -236,3 +236,23 @@ def stream_upsert(t: Tables) -> DataFrame:
     arrive(TARGET.spark(t))
     arrive(staging(t))
     return table.read()
+
+
+@query("stream_upsert_partitioned", ctes(
+    t=TARGET, s=f"{CHANGED.sql} UNION ALL {NEW.sql}",
+) + REPLACED)
+def stream_upsert_partitioned(t: Tables) -> DataFrame:
+    """The same drops into a table partitioned by order status: the keys keep their partition."""
+    root = t.scratch()
+    schema = TARGET.spark(t).schema
+
+    def arrive(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{root}/drops")
+        ingest_partitioned(
+            t.spark, f"{root}/drops", schema, f"{root}/table", ["o_orderstatus"], ["o_orderkey"],
+            f"{root}/checkpoint",
+        )
+
+    arrive(TARGET.spark(t))
+    arrive(staging(t))
+    return t.spark.read.schema(schema).parquet(f"{root}/table").select(*schema.fieldNames())

@@ -6,9 +6,10 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,26 +61,39 @@ def read_json_records(
     path: str,
     schema: T.StructType | str | None = None,
     doc_per_line: bool = False,
+    keep_without_items: bool = False,
 ) -> DataFrame:
     """JSON drops as rows: a list gives its items; an object gives the items of its first
-    non-empty list; an object without a list is one row.
+    non-empty list; where no document has a list, each is one row.
 
     A file holds one document, or one per line. Fields come back in name order when the schema is
     inferred, so "first" is by field name then; pass a schema to fix the order and the types.
+    ``keep_without_items`` also keeps objects whose lists are all empty, as rows of their own
+    fields; the result then has those fields too.
     """
     reader = spark.read.option("multiLine", str(not doc_per_line).lower())
     docs = (reader.schema(schema) if schema else reader).json(path)
-    lists = [
-        f.name
-        for f in docs.schema.fields
-        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)
-    ]
+    lists = {f.name: f.dataType for f in docs.schema.fields if isinstance(f.dataType, T.ArrayType)}
     if not lists:
         return docs
-    if len({docs.schema[c].dataType.simpleString() for c in lists}) > 1:
-        lists = lists[:1]
-    items = F.coalesce(*[F.when(F.size(c) > 0, F.col(c)) for c in lists])
-    return docs.select(F.inline(items))
+
+    def items(c: Column, kind: T.ArrayType) -> Column:
+        record = isinstance(kind.elementType, T.StructType)
+        return F.inline(c) if record else F.explode(c).alias("value")
+
+    filled = {c: F.coalesce(F.size(c) > 0, F.lit(False)) for c in lists}
+    if len({kind.simpleString() for kind in lists.values()}) == 1:
+        chosen = F.coalesce(*[F.when(filled[c], F.col(c)) for c in lists])
+        branches = [docs.select(items(chosen, next(iter(lists.values()))))]
+    else:
+        branches, open_docs = [], docs
+        for c, kind in lists.items():
+            branches.append(open_docs.where(filled[c]).select(items(F.col(c), kind)))
+            open_docs = open_docs.where(~filled[c])
+    if keep_without_items:
+        none = reduce(lambda a, b: a & b, [~f for f in filled.values()])
+        branches.append(docs.where(none).drop(*lists))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
 
 def split_items(

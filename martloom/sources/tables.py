@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +61,27 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def touched_partitions(rows: DataFrame, by: Sequence[str], limit: int = 1000) -> Column | None:
+    """A literal predicate for the partitions that ``rows`` touches, for pruning a read of them.
+
+    Only distinct partition values reach the driver. Beyond ``limit`` partitions there is no
+    predicate, and the caller's exact join alone decides.
+    """
+    values = rows.select(*by).distinct().limit(limit + 1).collect()
+    if len(values) > limit:
+        return None
+    same = [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in by]) for v in values
+    ]
+    return reduce(lambda a, b: a | b, same, F.lit(False))
+
+
+def _existing(spark: SparkSession, incoming: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    existing = spark.read.schema(incoming.schema).parquet(path)
+    touched = touched_partitions(incoming, by)
+    return existing if touched is None else existing.where(touched)
+
+
 def merge_partitions(
     spark: SparkSession,
     incoming: DataFrame,
@@ -72,11 +94,27 @@ def merge_partitions(
 
     The merged rows settle in the shared folder before they replace the files they came from.
     """
-    existing = spark.read.schema(incoming.schema).parquet(path)
+    existing = _existing(spark, incoming, path, by)
     merged = merge_keep_last(existing, incoming, keys, seq, partition_by=by)
     replace_partitions(settle(merged), path, by)
 
 
+def replace_keys_in_partitions(
+    spark: SparkSession, incoming: DataFrame, path: str, by: Sequence[str], keys: Sequence[str]
+) -> None:
+    """Keyed replace inside a partitioned dataset: only touched partitions are read and rewritten.
+
+    For tables where a key stays in its partition (a day, a store); the cost follows the
+    partitions touched, not the table.
+    """
+    existing = _existing(spark, incoming, path, by)
+    partitions = incoming.select(*by).distinct()
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by]
+    inside = existing.alias("e").join(partitions.alias("p"), same, "left_semi")
+    changed = change.replace_by_name(inside, incoming, keys)
+    replace_partitions(settle(changed), path, by)
+
+
 def insert_into(df: DataFrame, table: str, if_exists: str = "append") -> None:
     """Insert into a catalog table: fail, error, replace or append."""
     if if_exists not in IF_EXISTS:

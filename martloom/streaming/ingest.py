@@ -1,12 +1,30 @@
-"""Incremental file ingest: each micro-batch is a keyed replace of a versioned table."""
+"""Incremental file ingest: each micro-batch is a keyed replace of a table."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from martloom.operators.change import replace_by_name
 from martloom.sources.publish import VersionedTable
+from martloom.sources.tables import replace_keys_in_partitions, write_partitioned
+
+
+def _run(reader, source: str, checkpoint: str, apply) -> None:
+    running = (
+        reader.parquet(source)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+
+
+def _reader(spark: SparkSession, schema: T.StructType, files_per_batch: int | None):
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", str(files_per_batch)) if files_per_batch else reader
 
 
 def ingest_files(
@@ -24,21 +42,36 @@ def ingest_files(
     replaces its own keys, so it changes nothing for rows with a key. A trigger takes all waiting
     files, in batches of ``files_per_batch`` if given.
     """
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
 
     def apply(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
             current = table.read() if table.exists() else batch.limit(0)
             table.publish(replace_by_name(current, batch, keys))
 
-    running = (
-        reader.parquet(source)
-        .writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
+    _run(_reader(spark, schema, files_per_batch), source, checkpoint, apply)
     return table.version()
+
+
+def ingest_partitioned(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    path: str,
+    by: list[str],
+    keys: list[str],
+    checkpoint: str,
+    files_per_batch: int | None = None,
+) -> None:
+    """The same into a partitioned dataset: a batch reads and rewrites only the partitions it
+    touches, for tables too large to rewrite. A key must stay in its partition."""
+
+    def apply(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            try:
+                spark.read.schema(schema).parquet(path)
+            except AnalysisException:
+                write_partitioned(batch, path, by, mode="overwrite")
+            else:
+                replace_keys_in_partitions(spark, batch, path, by, keys)
+
+    _run(_reader(spark, schema, files_per_batch), source, checkpoint, apply)

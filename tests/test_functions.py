@@ -65,6 +65,7 @@ def test_formats(spark):
     assert column(spark, value, lambda c: format_cell(c, "crore"), "double") == ["0.12Cr", ""]
     assert column(spark, value, lambda c: format_cell(c, "percent:0"), "double") == ["1234568%", ""]
     assert column(spark, value, lambda c: format_cell(c, "currency:x"), "double") == ["₹1,234,567.89", ""]
+    assert column(spark, ["1,234", "7%"], lambda c: format_cell(c, "comma:1")) == ["1,234.0", "7.0"]
     with pytest.raises(ValueError, match="unknown format"):
         format_cell(F.lit(1), "yard")
 

@@ -23,7 +23,32 @@ def test_json_shapes(spark, folder, rows):
         Path(folder, f"{name}.json").write_text(json.dumps(doc, indent=1))
     assert rows(files.read_json_records(spark, f"{folder}/list.json")) == [(1,), (2,)]
     assert rows(files.read_json_records(spark, f"{folder}/single.json")) == [(4,)]
-    assert rows(files.read_json_records(spark, f"{folder}/wrapped.json")) == [(3,)]
+    wrapped = files.read_json_records(spark, f"{folder}/wrapped.json")
+    assert rows(wrapped.select("a")) == [(3,)]
+
+
+def test_json_lists_of_different_kinds(spark, folder, rows):
+    docs = [{"a": [{"x": 1}], "b": [{"y": 2}]}, {"a": [], "b": [{"y": 3}]}, {"a": [], "b": [], "n": 9}]
+    Path(folder, "d.json").write_text("\n".join(json.dumps(d) for d in docs))
+    schema = "a array<struct<x: int>>, b array<struct<y: int>>, n int"
+    got = files.read_json_records(spark, folder, schema, doc_per_line=True)
+    assert rows(got.select("x", "y")) == [(1, None), (None, 3)]
+    kept = files.read_json_records(spark, folder, schema, doc_per_line=True, keep_without_items=True)
+    assert rows(kept.select("x", "y", "n")) == [(1, None, None), (None, 3, None), (None, None, 9)]
+
+
+def test_partition_keyed_replace_leaves_other_partitions_alone(spark, folder, rows):
+    schema = "k int, v string, p int"
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "n", 1), (4, "d", None)], schema)
+    tables.write_partitioned(old, folder, ["p"])
+    untouched = {f.name for f in Path(folder, "p=2").iterdir()}
+    incoming = spark.createDataFrame([(1, "new", 1), (1, "dup", 1), (5, "e", 1), (4, "x", None)], schema)
+    tables.replace_keys_in_partitions(spark, incoming, folder, ["p"], ["k"])
+    assert rows(spark.read.schema(schema).parquet(folder)) == [
+        (1, "dup", 1), (1, "new", 1), (2, "b", 2), (4, "x", None), (5, "e", 1), (None, "n", 1)
+    ]
+    assert {f.name for f in Path(folder, "p=2").iterdir()} == untouched
+    assert tables.touched_partitions(incoming, ["p"], limit=1) is None
 
 
 def test_csv_names_and_bad_dates(spark, folder, rows):
