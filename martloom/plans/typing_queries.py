@@ -120,7 +120,8 @@ _VARCHAR = "printf('character varying(%d)', CAST(GREATEST(LEAST(floor(MAX(length
 
 @query("infer_types", f"""
 SELECT 'key_text' AS column_name, {_INT_RULE.format(c='o_orderkey')} AS inferred_type, false AS nullable FROM orders
-UNION ALL SELECT 'price_text', {_NUMERIC_RULE.format(c='o_totalprice', s=_SCALE.format(c='o_totalprice'))}, true FROM orders
+UNION ALL SELECT 'price_text', {_NUMERIC_RULE.format(c='priced', s=_SCALE.format(c='priced'))}, COUNT(*) > COUNT(priced)
+  FROM (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS priced FROM orders)
 UNION ALL SELECT 'big', {_INT_RULE.format(c='o_orderkey * 1000000')}, false FROM orders
 UNION ALL SELECT 'o_totalprice', {_NUMERIC_RULE.format(c='o_totalprice', s=_SCALE.format(c='o_totalprice'))}, false FROM orders
 UNION ALL SELECT 'o_orderdate', CASE WHEN MAX(CAST(o_orderdate <> CAST(o_orderdate AS DATE) AS INTEGER)) = 1 THEN 'timestamp' ELSE 'date' END, false FROM orders
@@ -134,7 +135,7 @@ def infer_types(t: Tables) -> DataFrame:
     return inference.infer_types(
         t.orders.select(
             F.col("o_orderkey").cast("string").alias("key_text"),
-            F.nullif(price, F.lit("112946.26")).alias("price_text"),
+            F.when(F.col("o_orderpriority") != "5-LOW", price).alias("price_text"),
             (F.col("o_orderkey") * 1000000).alias("big"),
             "o_totalprice", "o_orderdate", "o_orderpriority",
             F.to_json(F.struct("o_orderkey")).alias("doc"),
