@@ -84,11 +84,10 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
     def exact(c: str) -> Column:
         return F.col(c) if scales[c] is None else units(F.col(c), scales[c])
 
+    dated = measures.withColumn("orderdate", F.col("orderdate").cast("date"))
     per_order = (
-        measures.withColumn("orderdate", F.col("orderdate").cast("date"))
-        .groupBy(*CHANNEL_KEYS, "ordername", "phone")
+        dated.groupBy(*CHANNEL_KEYS, "ordername", "phone")
         .agg(
-            F.max("brandname").alias("brandname"),
             F.max(counted).alias("_counted"),
             F.max(cancelled).alias("_cancelled"),
             F.max(F.col("new_customer") == "TRUE").alias("_new"),
@@ -100,14 +99,19 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
         summed = F.coalesce(F.sum(c), F.lit(0))
         return (summed if scales[c] is None else from_units(summed, scales[c])).alias(c)
 
-    return per_order.groupBy(*CHANNEL_KEYS).agg(
-        F.max("brandname").alias("brandname"),
+    totals = per_order.groupBy(*CHANNEL_KEYS).agg(
         F.count_distinct(F.when(F.col("_counted"), F.col("ordername"))).alias("total_order"),
         F.count_distinct(F.when(F.col("_new"), F.col("phone"))).alias("new_customer"),
         F.count_distinct("phone").alias("total_customer"),
         F.count_distinct(F.when(F.col("_cancelled"), F.col("ordername"))).alias("canc_orders"),
         *[total(c) for c in scales],
     )
+    # MAX of a text would turn the hash aggregates above into sorts of every line. The brands are
+    # few, so their own narrow pass ends in a small join.
+    brands = dated.select(*CHANNEL_KEYS, "brandname").distinct()
+    top = brands.groupBy(*CHANNEL_KEYS).agg(F.max("brandname").alias("brandname"))
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in CHANNEL_KEYS]
+    return totals.alias("t").join(top.alias("b"), same, "left").select("t.*", "b.brandname")
 
 
 def _with_sessions(orders: DataFrame, sessions: DataFrame) -> DataFrame:
