@@ -8,6 +8,8 @@ the same length. No task and no driver ever holds the pieces themselves.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -33,6 +35,11 @@ NODES = 2_000  # steps of one search for fillings
 FILLINGS = 64  # fillings considered around one document
 SEARCHES = 8  # completions tried in all before the best so far is taken
 
+# A full stop or comma between a letter or digit and white space never shares a token with them.
+# (Letters here: ASCII and U+00C0 to U+00FF.)
+_MARK = re.compile(
+    rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=[\x20\x09-\x0D]|\Z)"
+)
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
 
@@ -45,8 +52,6 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -75,53 +80,40 @@ class WordTokens:
                 out.update((w, self.plain(w)) for w in part)
         return out
 
-    def _learn(self, stretches: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of stretches not known yet. Letters followed by full stops and commas only are
-        two tokens' worth of work that never mix: the word and the marks."""
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        words, marks = set(), set()
-        out = {}
-        for s in stretches:
-            core = s.rstrip(b".,")
-            letters = len(s) <= 64 and core.decode().isalpha()
-            if letters:
-                tail = s[len(core) :]
-                parts[s] = core, tail
-                if core not in self.known:
-                    words.add(core)
-                if tail and tail not in self.known:
-                    marks.add(tail)
-            else:
-                out[s] = self.plain(s)
-        fresh = self._words(sorted(words)) | {m: self.plain(m) for m in marks}
-        get = lambda w: fresh[w] if w in fresh else self.known[w]
-        for s, (core, tail) in parts.items():
-            out[s] = get(core) + (get(tail) if tail else b"")
-        return fresh | out
+    def _learn(self, stretches: list[bytes]) -> None:
+        """Remember the ids of stretches that are not known yet."""
+        words = [s for s in stretches if len(s) <= 64 and s.decode().isalpha()]
+        if len(self.known) + len(stretches) > KEPT_WORDS:
+            self.known.clear()
+        self.known.update(self._words(words))
+        self.known.update((s, self.plain(s)) for s in set(stretches).difference(words))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; NULL counts as empty."""
-        cut: list[list[bytes] | None] = []
+        out: list[bytes | None] = []
+        open_rows: list[tuple[int, list[bytes], list[bytes | None]]] = []
+        get = self.known.get
         for text in texts:
             low = (text or b"").translate(ASCII_LOWER)
-            special = b"<|" in low and any(s in low for s in _SPECIAL)
-            cut.append(None if special else low.split())
-        known = self.known
-        new = {s for stretches in cut if stretches for s in set(stretches) if s not in known}
-        local: dict[bytes, bytes] = {}
+            if b"<|" in low and any(s in low for s in _SPECIAL):
+                out.append(self.plain(text))
+                continue
+            parts = _MARK.sub(rb" \1", low).split()
+            ids = list(map(get, parts))
+            if None in ids:
+                open_rows.append((len(out), parts, ids))
+                out.append(None)
+            else:
+                out.append(b"".join(ids))
+        new = {p for _, parts, ids in open_rows for p, i in zip(parts, ids) if i is None}
         if new:
-            local = self._learn(new)
-            if len(known) + len(local) > KEPT_WORDS:
-                local |= {s: known[s] for stretches in cut if stretches for s in stretches if s in known}
-                known.clear()
-            known.update((s, ids) for s, ids in local.items() if len(s) <= 64)
-        look = lambda s: known[s] if s in known else local[s]
-        long = any(len(s) > 64 for s in new)
-        get = look if long else known.__getitem__
-        return [
-            self.plain(text) if stretches is None else b"".join(map(get, stretches))
-            for text, stretches in zip(texts, cut)
-        ]
+            self._learn(sorted(new))
+            for row, parts, ids in open_rows:
+                # Ids found above stay valid if the memory was cleared meanwhile.
+                out[row] = b"".join([get(p) if i is None else i for p, i in zip(parts, ids)])
+            for s in [s for s in new if len(s) > 64]:
+                del self.known[s]
+        return out
 
 
 def cut_pieces(
