@@ -20,8 +20,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import spread_tiles, utf8, words_of
+from martloom.llm.common import in_runs, runs, spread_tiles, utf8, words_of
 from martloom.llm.components import components
+from martloom.llm.url_filter import build_bloom
 from martloom.operators.skew import lookup_join
 from martloom.session import settle
 
@@ -30,7 +31,11 @@ THRESHOLD = 0.8
 BANDS = 25
 ROWS = 5  # at similarity 0.8 a pair is missed in all bands with probability 5e-5
 SIGNATURE = BANDS * ROWS
-TILE = 128  # documents on a side of a tile in which all pairs are compared
+# Pairs whose sketches agree in fewer components are not looked up: at similarity 0.8 that is
+# five standard deviations below the mean, and loses a pair with probability 3e-7.
+LEAST_AGREEING = int(SIGNATURE * THRESHOLD - 5 * (SIGNATURE * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+SKETCH_TILE = 512  # documents on a side of a tile in which sketches are compared
+TILE = 128  # documents on a side of a tile in which bags are compared
 KEPT_WORDS = 500_000
 
 _G = 0x9E3779B97F4A7C15
@@ -130,6 +135,12 @@ def bands(signature: np.ndarray, count: int = BANDS, rows: int = ROWS) -> np.nda
     return _mix(out).view(np.int64)
 
 
+def sketch(signature: np.ndarray) -> np.ndarray:
+    """One byte per component: equal where the components are, else with probability 1/256."""
+    bits = np.ascontiguousarray(signature).view(np.uint64)
+    return (_mix(bits) >> np.uint64(56)).astype(np.uint8)
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact weighted Jaccard similarity of two bags: shared weight over joint weight."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -139,8 +150,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, print, bands`` of every document with an id and a word. ``print`` is the same
-    for the same words in the same order."""
+    """``doc_id, print, bands, sketch`` of every document with an id and a word. ``print`` is the
+    same for the same words in the same order."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -149,21 +160,23 @@ def _signed(docs: DataFrame) -> DataFrame:
             for at in range(0, len(texts), 100):
                 split = [words_of(t) for t in texts[at : at + 100]]
                 rows = [i for i, words in enumerate(split) if words]
-                own = bands(signatures([bag(split[i], hashes) for i in rows])) if rows else []
+                signed = signatures([bag(split[i], hashes) for i in rows])
                 prints = [hashlib.md5(b" ".join(split[i])).digest() for i in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([at + i for i in rows], pa.int64())),
                         pa.array(prints, pa.binary()),
-                        pa.array([b.tolist() for b in own], pa.list_(pa.int64())),
+                        pa.array(bands(signed).tolist(), pa.list_(pa.int64())),
+                        pa.array([b.tobytes() for b in sketch(signed)], pa.binary()),
                     ],
-                    ["doc_id", "print", "bands"],
+                    ["doc_id", "print", "bands", "sketch"],
                 )
 
     texts = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")
     )
-    return texts.mapInArrow(sign, "doc_id long, print binary, bands array<long>")
+    schema = "doc_id long, print binary, bands array<long>, sketch binary"
+    return texts.mapInArrow(sign, schema)
 
 
 def _check(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -185,59 +198,114 @@ def _check(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+_TILE = ["key", "tile_a", "tile_b"]
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each member of a tile that resembles another by sketch: the member, and the smallest
+    it resembles there."""
+    for tile in runs(batches, len(_TILE)):
+        rep, chunk = tile["rep"].to_numpy(), tile["chunk"].to_numpy()
+        order = np.argsort(rep)
+        rep, chunk = rep[order], chunk[order]
+        own = np.frombuffer(b"".join(tile["sketch"].to_pylist()), np.uint8).reshape(len(rep), -1)[order]
+        across = tile["tile_a"][0] != tile["tile_b"][0]
+        found, partner = [], []
+        for at in range(0, len(rep), 64):
+            some = own[at : at + 64]
+            agree = np.zeros((len(some), len(own)), dtype=np.uint16)
+            for c in range(own.shape[1]):
+                agree += some[:, c, None] == own[None, :, c]
+            like = agree >= LEAST_AGREEING
+            like[np.arange(len(some)), at + np.arange(len(some))] = False
+            if across:
+                like &= chunk[at : at + 64, None] != chunk[None, :]
+            row = np.flatnonzero(like.any(axis=1))
+            found.append(rep[at + row])
+            partner.append(rep[like[row].argmax(axis=1)])
+        found, partner = np.concatenate(found), np.concatenate(partner)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(found), tile["key"][0].as_py())), pa.array(found), pa.array(partner)],
+            ["key", "rep", "partner"],
+        )
+
+
+def overlaps(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Shared weight of every two bags. Occurrence k of a shingle counts as an element of its own,
+    so shared elements are shared weight; elements of one bag alone are left out first."""
+    element = np.concatenate([np.repeat(h, n) for h, n in bags])
+    nth = np.concatenate([np.arange(total) - np.repeat(np.cumsum(n) - n, n) for _, n in bags for total in [n.sum()]])
+    element = _mix(element + nth.astype(np.uint64) * _P)
+    doc = np.repeat(np.arange(len(bags)), [int(n.sum()) for _, n in bags])
+    _, number, held = np.unique(element, return_inverse=True, return_counts=True)
+    common = held[number] > 1
+    doc, number = doc[common], number[common]
+    order = np.argsort(number, kind="stable")
+    doc, number = doc[order], np.unique(number[order], return_inverse=True)[1]
+    shared = np.zeros((len(bags), len(bags)), dtype=np.float32)
+    width = int(number.max()) + 1 if len(number) else 0
+    for at in range(0, width, 8192):
+        lo, hi = np.searchsorted(number, (at, at + 8192))
+        part = np.zeros((len(bags), min(8192, width - at)), dtype=np.float32)
+        part[doc[lo:hi], number[lo:hi] - at] = 1
+        shared += part @ part.T
+    return shared
+
+
 def _links_in_tile(threshold: float):
     """Compare the documents of a tile; links that join what is not yet joined come back."""
 
-    def links(key: tuple[pa.Scalar, ...], tile: pa.Table) -> pa.Table:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        ids, groups = tile["rep"].to_pylist(), tile["root"].to_pylist()
-        chunk = tile["chunk"].to_pylist()
-        across = key[1].as_py() != key[2].as_py()
-        bags = [bag(words_of(t), hashes) for t in tile["text"].to_pylist()]
-        # Occurrence k of a shingle as an element of its own: shared elements are shared weight.
-        element = np.concatenate([np.repeat(h, n) for h, n in bags])
-        nth = np.concatenate([np.arange(k) for _, n in bags for k in n.tolist()] or [np.zeros(0)])
-        element = _mix(element + nth.astype(np.uint64) * _P)
-        size = np.array([int(n.sum()) for _, n in bags])
-        doc = np.repeat(np.arange(len(bags)), size)
-        order = np.argsort(element, kind="stable")
-        element, doc = element[order], doc[order]
-        edge = np.flatnonzero(np.diff(element, prepend=element[:1] ^ np.uint64(1)))
-        run = np.diff(np.append(edge, len(element)))
-        number = np.repeat(np.arange(len(edge)), run)
-        common = run[number] > 1
-        doc, number = doc[common], number[common]
-        _, number = np.unique(number, return_inverse=True)
-        shared = np.zeros((len(bags), len(bags)), dtype=np.float32)
-        width = int(number.max()) + 1 if len(number) else 0
-        for at in range(0, width, 8192):
-            lo, hi = np.searchsorted(number, (at, at + 8192))
-            held = np.zeros((len(bags), min(8192, width - at)), dtype=np.float32)
-            held[doc[lo:hi], number[lo:hi] - at] = 1
-            shared += held @ held.T
-        near = shared >= threshold * (size[:, None] + size[None, :] - shared)
-        parent = {g: g for g in groups}
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        out = []
-        for i, j in zip(*np.nonzero(np.triu(near, 1))):
-            if across and chunk[i] == chunk[j]:
-                continue
-            x, y = find(groups[i]), find(groups[j])
-            if x != y and similarity(bags[i], bags[j]) >= threshold:
-                parent[max(x, y)] = min(x, y)
-                out.append((ids[i], ids[j]))
-        a, b = zip(*out) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        for tile in runs(batches, len(_TILE)):
+            out = _joining(tile, hashes, threshold)
+            a, b = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
+            )
 
     return links
 
 
+def _joining(tile: pa.Table, hashes: WordHashes, threshold: float) -> list[tuple[int, int]]:
+    ids, groups = tile["rep"].to_pylist(), tile["root"].to_pylist()
+    if len(set(groups)) < 2:
+        return []
+    chunk = tile["chunk"].to_pylist()
+    across = tile["tile_a"][0] != tile["tile_b"][0]
+    bags = [bag(words_of(t), hashes) for t in tile["text"].to_pylist()]
+    shared = overlaps(bags)
+    size = np.array([int(n.sum()) for _, n in bags])
+    near = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-3
+    parent = {g: g for g in groups}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(near, 1))):
+        if across and chunk[i] == chunk[j]:
+            continue
+        x, y = find(groups[i]), find(groups[j])
+        if x != y and similarity(bags[i], bags[j]) >= threshold:
+            parent[max(x, y)] = min(x, y)
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the wanted ids (column ``rep``). A Bloom filter of bounded size keeps
+    most other texts from being shuffled; the join is exact."""
+    bloom = build_bloom(wanted, "rep")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
+    texts = texts.where(bloom.may_hold(F.col("doc_id"), docs.sparkSession))
+    found = texts.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id")
+    return settle(found.groupBy("doc_id").agg(F.min("text").alias("text")))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id``: for every different non-NULL id of a document with words, the
     smallest id it is linked to, directly or through others.
@@ -246,25 +314,27 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     five-word shingles have a weighted Jaccard similarity of ``threshold`` or more. The steps:
 
     1. Copies are folded into their smallest id, so a group of any size is one row from there.
-    2. Representatives that agree in a band share a bucket. Within a bucket each is compared
-       with the smallest: pairs grow with the documents, not with their square.
-    3. Where a bucket's members are then not all connected, the rest of its pairs is compared,
-       in tiles of bounded size, skipping what is already connected. So every pair of a bucket is
-       compared or known to be connected.
+    2. Representatives that agree in a band share a bucket. Their sketches (a byte per component)
+       are compared in tiles of bounded size; each that resembles another there keeps its bucket
+       and the smallest it resembles. Only their texts are read again, and these pairs, at most
+       one per member and tile, are compared exactly.
+    3. Where a bucket's members are then not all connected, the rest of its pairs is compared
+       exactly, in tiles, passing over what is already connected. So every pair of a bucket is
+       compared, or known to be connected, or too unlike by sketch.
 
     Texts without words, NULL texts and NULL ids are in no class. Rows that share an id are one
     document. Ties go to the smaller id. An empty table gives no rows.
     """
     signed = settle(_signed(docs))
-    folded = signed.groupBy("print").agg(F.min("doc_id").alias("rep"))
-    folded = settle(folded)
+    folded = settle(signed.groupBy("print").agg(F.min("doc_id").alias("rep")))
     reps = signed.join(
         folded.select(F.col("rep").alias("doc_id"), F.col("print").alias("_print")), "doc_id"
     ).where("print = _print")
-    keyed = settle(
-        reps.select("doc_id", F.posexplode("bands").alias("band", "value"))
-        .select(F.xxhash64("band", "value").alias("key"), F.col("doc_id").alias("rep"))
-        .distinct()
+    reps = settle(reps.groupBy(F.col("doc_id").alias("rep")).agg(
+        F.min_by("bands", "print").alias("bands"), F.min_by("sketch", "print").alias("sketch")
+    ))
+    keyed = reps.select("rep", F.posexplode("bands").alias("band", "value")).select(
+        F.xxhash64("band", "value").alias("key"), "rep"
     )
     buckets = (
         keyed.groupBy("key")
@@ -277,16 +347,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("first", "size", "members")  # the same members in several bands: once
         .agg(F.min("key").alias("key"))
     )
-    member = settle(lookup_join(keyed, buckets.select("key", "first", "size"), ["key"], "inner"))
-    texts = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")
-    )
-    needed = member.select(F.col("rep").alias("doc_id")).distinct()
-    texts = settle(
-        texts.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    )
-    star = member.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
-    pairs = star.distinct().join(
+    member = lookup_join(keyed, buckets.select("key", "size"), ["key"], "inner")
+    member = member.join(reps.select("rep", "sketch"), "rep")
+    tiles = spread_tiles(member, ["key"], "size", "rep", SKETCH_TILE)
+    tiles = in_runs(tiles.select(*_TILE, "chunk", "rep", "sketch"), _TILE)
+    likely = settle(tiles.mapInArrow(_likely, "key long, rep long, partner long"))
+    pairs = likely.select(
+        F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b")
+    ).distinct()
+    texts = _texts_of(docs, likely.select("rep").distinct())
+    pairs = pairs.join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
     )
     pairs = lookup_join(
@@ -295,26 +365,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = settle(_check(pairs, threshold))
     joined = settle(components(links, "a", "b"))
 
-    grouped = member.join(
+    grouped = likely.select("key", "rep").distinct().join(
         joined.select(F.col("node").alias("rep"), "root"), "rep", "left"
     ).withColumn("root", F.coalesce("root", "rep"))
     # A bucket of two has no pair beyond the one already compared.
     open_buckets = (
-        grouped.where("size > 2")
-        .groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high")
-        .select("key")
+        grouped.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+        .where("low < high AND size > 2")
+        .select("key", "size")
     )
     rest = lookup_join(grouped, open_buckets, ["key"], "inner").join(
         texts.withColumnRenamed("doc_id", "rep"), "rep"
     )
     tiles = spread_tiles(rest, ["key"], "size", "rep", TILE)
-    more = (
-        tiles.select("key", "tile_a", "tile_b", "chunk", "rep", "root", "text")
-        .groupBy("key", "tile_a", "tile_b")
-        .applyInArrow(_links_in_tile(threshold), "a long, b long")
-    )
+    tiles = in_runs(tiles.select(*_TILE, "chunk", "rep", "root", "text"), _TILE)
+    more = tiles.mapInArrow(_links_in_tile(threshold), "a long, b long")
     roots = components(links.unionByName(more), "a", "b")
     classes = folded.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "print", F.coalesce("root", "rep").alias("class_id")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +79,34 @@ def spread_tiles(members: DataFrame, key: list[str], size: str, member: str, sid
         .withColumn("tile_b", F.greatest("chunk", "_other"))
         .drop("_other", "_chunks")
     )
+
+
+def in_runs(df: DataFrame, key: list[str]) -> DataFrame:
+    """Rows with equal keys together and in a row, for ``runs``: many small groups to a task,
+    without a call per group."""
+    return df.repartition(*key).sortWithinPartitions(*key)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The groups of a sorted stream whose first ``keys`` columns are the key. Holds one batch
+    and the group that is still open."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_pylist() for i in range(keys)]
+        values = list(zip(*columns))
+        table = pa.Table.from_batches([batch])
+        start = 0
+        for i in range(1, len(values) + 1):
+            if i < len(values) and values[i] == values[start]:
+                continue
+            if held and values[start] != last:
+                yield pa.concat_tables(held)
+                held = []
+            last = values[start]
+            held.append(table.slice(start, i - start))
+            start = i
+    if held:
+        yield pa.concat_tables(held)
