@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,37 +26,67 @@ THRESHOLD = 0.7
 KEPT_WORDS = 400_000  # words whose features a worker remembers
 
 
-def grams(word: str) -> set[int]:
-    """Buckets of the word's character n-grams."""
-    padded = f" {word} "
-    return {
-        zlib.crc32(padded[i : i + n].encode()) % BUCKETS
-        for n in SIZES
-        for i in range(len(padded) - n + 1)
-    }
-
-
-class _Features(dict):
-    """Word -> its n-grams among ``known`` (all of them if None), remembered up to a bound."""
-
-    def __init__(self, known: dict[int, float] | None):
-        super().__init__()
-        self.known = known
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        found = grams(word)
-        out = tuple(found if self.known is None else found & self.known.keys())
-        if len(word) <= 64:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = out
-        return out
-
-    def of(self, text: str | None) -> set[int]:
-        found: set[int] = set()
-        for own in filter(None, map(self.__getitem__, set((text or "").lower().split()))):
-            found.update(own)
-        return found
+_P = np.uint64(0x9E3779B97F4A7C15)
+_SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' character n-grams, and whose they are (with repeats). The words lie
+    in one string with spaces between; an n-gram is a stretch with no space inside its ends."""
+    codes = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le"), dtype=np.uint32)
+    spaces = np.cumsum(codes == 32)
+    codes = codes.astype(np.uint64)
+    owner, bucket = [], []
+    for n in SIZES:
+        last = len(codes) - n + 1
+        if last <= 0:
+            continue
+        at = np.flatnonzero(spaces[n - 2 : n - 2 + last] == spaces[:last])
+        rolled = np.full(len(at), n, dtype=np.uint64)
+        for k in range(n):
+            rolled = (rolled ^ codes[at + k]) * _P
+            rolled ^= rolled >> np.uint64(29)
+        owner.append(spaces[at] - 1)
+        bucket.append((rolled * _P >> _SHIFT).astype(np.int64))
+    if not owner:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(owner), np.concatenate(bucket)
+
+
+def words_in(text: str | None) -> set[str]:
+    return set((text or "").lower().split())
+
+
+class _Features:
+    """The weighted n-grams of words, remembered up to a bound; new words of a batch are hashed
+    together."""
+
+    def __init__(self, known: dict[int, float]):
+        self.known = np.zeros(BUCKETS, dtype=bool)
+        self.known[list(known)] = True
+        self.held: dict[str, tuple[int, ...]] = {}
+
+    def of(self, texts) -> Iterator[set[int]]:
+        split = [words_in(t) for t in texts]
+        new = {w for own in split for w in own if w not in self.held}
+        if len(self.held) + len(new) > KEPT_WORDS:
+            self.held.clear()
+            new = set().union(*split)
+        words = list(new)
+        if words:
+            owner, bucket = grams(words)
+            hit = self.known[bucket]
+            found: dict[int, set[int]] = {}
+            for w, b in zip(owner[hit].tolist(), bucket[hit].tolist()):
+                found.setdefault(w, set()).add(b)
+            self.held.update(dict.fromkeys(words, ()))
+            self.held.update((words[w], tuple(b)) for w, b in found.items())
+        get = self.held.__getitem__
+        for own in split:
+            out: set[int] = set()
+            for held in filter(None, map(get, own)):
+                out.update(held)
+            yield out
 
 
 @dataclass(frozen=True)
@@ -75,7 +104,7 @@ class ToxicityModel:
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             features = _Features(weights)
             for texts in batches:
-                odds = [bias + math.fsum(weights[g] for g in features.of(t)) for t in texts]
+                odds = [bias + math.fsum(weights[g] for g in held) for held in features.of(texts)]
                 yield pd.Series(1 / (1 + np.exp(-np.clip(odds, -700, 700))), dtype="float64")
 
         return scored(text)
@@ -104,10 +133,10 @@ def labelled_sample(
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents of either label per n-gram, summed over the task; bucket -1 counts documents."""
     held = np.zeros((BUCKETS + 1, 2), dtype=np.int64)
-    features = _Features(None)
     for pdf in batches:
         for text, label in zip(pdf["text"], pdf["label"]):
-            held[[*features.of(text), BUCKETS], label] += 1
+            held[np.unique(grams(list(words_in(text)))[1]), label] += 1
+            held[BUCKETS, label] += 1
     used = np.flatnonzero(held.sum(axis=1))
     yield pd.DataFrame(
         {"bucket": np.where(used == BUCKETS, -1, used), "neg": held[used, 0], "pos": held[used, 1]}
@@ -152,7 +181,7 @@ def fit(sample: DataFrame, features: int = FEATURES, regularisation: float = 1e-
     def held_grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = _Features(scale)
         for texts in batches:
-            yield pd.Series([[str(g) for g in known.of(t)] for t in texts], dtype=object)
+            yield pd.Series([[str(g) for g in held] for held in known.of(texts)], dtype=object)
 
     terms = settle(sample.select("label", held_grams("text").alias("terms")).repartition(12))
     vocabulary = [str(g) for g in scale]
