@@ -30,7 +30,7 @@ from martloom.session import settle
 CAPACITY = 2048
 END_ID = 0
 KEPT_WORDS = 1 << 20  # words whose ids a worker remembers
-JOINED = 500  # unknown words tokenized by one call
+JOINED = 2000  # unknown words tokenized by one call
 NODES = 2_000  # steps of one search for fillings
 FILLINGS = 64  # fillings considered around one document
 SEARCHES = 8  # completions tried in all before the best so far is taken
@@ -40,6 +40,16 @@ SEARCHES = 8  # completions tried in all before the best so far is taken
 _MARK = re.compile(
     rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=[\x20\x09-\x0D]|\Z)"
 )
+# Kinds of bytes: letter or digit, blank, mark, lead and rest of a letter from U+00C0 to U+00FF.
+_KIND = bytes(
+    ord(
+        "a" if 97 <= b <= 122 or 48 <= b <= 57 else " " if b == 32 or 9 <= b <= 13
+        else "," if b in b".," else "c" if b == 0xC3
+        else "b" if 0x80 <= b <= 0xBF and b not in (0x97, 0xB7) else "#"
+    )
+    for b in range(256)
+)
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
 
@@ -59,7 +69,9 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # The words met lately, and those of the time before: full, the first become the second.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def plain(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
@@ -71,7 +83,8 @@ class WordTokens:
         for i in range(0, len(words), JOINED):
             part = words[i : i + JOINED]
             text = b" ".join(part).decode()
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):
                 cut = np.concatenate(([0], ends)).tolist()
@@ -80,26 +93,47 @@ class WordTokens:
                 out.update((w, self.plain(w)) for w in part)
         return out
 
-    def _learn(self, stretches: list[bytes]) -> None:
-        """Remember the ids of stretches that are not known yet."""
-        words = [s for s in stretches if len(s) <= 64 and s.decode().isalpha()]
-        if len(self.known) + len(stretches) > KEPT_WORDS:
-            self.known.clear()
-        self.known.update(self._words(words))
-        self.known.update((s, self.plain(s)) for s in set(stretches).difference(words))
+    def _learn(self, stretches: set[bytes]) -> None:
+        """Remember the ids of stretches that are not known yet. ASCII marks behind a letter, up
+        to the end, are a token's work of their own."""
+        words, tails, other, parts = set(), set(), [], []
+        for s in stretches:
+            core = s.rstrip(_MARKS)
+            if not core or len(s) > 64 or not (core.isalpha() or core.decode().isalpha()):
+                other.append(s)
+            elif len(core) < len(s):
+                tail = s[len(core) :]
+                parts.append((s, core, tail))
+                if core not in self.known:
+                    words.add(core)
+                if tail not in self.known:
+                    tails.add(tail)
+            else:
+                words.add(s)
+        other.extend(tails)
+        self.known.update(self._words(list(words)))
+        found = self.tokenizer.encode_batch_fast([s.decode() for s in other], add_special_tokens=False)
+        self.known.update((s, np.array(e.ids, dtype="<u4").tobytes()) for s, e in zip(other, found))
+        self.known.update((s, self.known[core] + self.known[tail]) for s, core, tail in parts)
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; NULL counts as empty."""
+        if len(self.known) > KEPT_WORDS // 2:
+            self.older, self.known = self.known, {}
         out: list[bytes | None] = []
         open_rows: list[tuple[int, list[bytes], list[bytes | None]]] = []
-        get = self.known.get
+        get, older = self.known.get, self.older.get
         for text in texts:
             low = (text or b"").translate(ASCII_LOWER)
             if b"<|" in low and any(s in low for s in _SPECIAL):
                 out.append(self.plain(text))
                 continue
-            parts = _MARK.sub(rb" \1", low).split()
+            parts = marks_apart(low).split()
             ids = list(map(get, parts))
+            if None in ids:
+                for i in [i for i, own in enumerate(ids) if own is None]:
+                    if (own := older(parts[i])) is not None:
+                        ids[i] = self.known[parts[i]] = own
             if None in ids:
                 open_rows.append((len(out), parts, ids))
                 out.append(None)
@@ -107,15 +141,26 @@ class WordTokens:
                 out.append(b"".join(ids))
         new = {p for _, parts, ids in open_rows for p, i in zip(parts, ids) if i is None}
         if new:
-            self._learn(sorted(new))
+            self._learn(new)
             for row, parts, ids in open_rows:
-                # Ids found above stay valid if the memory was cleared meanwhile.
                 out[row] = b"".join([get(p) if i is None else i for p, i in zip(parts, ids)])
             for s in [s for s in new if len(s) > 64]:
                 del self.known[s]
         return out
 
 
+def marks_apart(low: bytes) -> bytes:
+    """A text with a blank before each full stop or comma that stands between a letter or digit
+    and white space: they share no token. Plain replacement does where no other such mark stands
+    before white space, which is checked on the bytes' classes."""
+    low += b" "
+    kinds = low.translate(_KIND)
+    odd = b"#, " in kinds or b",, " in kinds or b" , " in kinds
+    if odd or kinds.count(b"b, ") != kinds.count(b"cb, "):
+        return _MARK.sub(rb" \1", low)
+    return low.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n")
+
+
 def cut_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False
 ) -> DataFrame:

@@ -23,7 +23,7 @@ SAMPLE_ROWS = 20_000  # labelled rows the classifier is fitted on, at most
 FEATURES = 4096  # n-grams with a weight, at most
 MIN_CHI2 = 10.83  # and at least this far from independence of the label (p = 0.001)
 THRESHOLD = 0.7
-KEPT_WORDS = 400_000  # words whose features a worker remembers
+KEPT_WORDS = 800_000  # words whose features a worker remembers
 
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -65,26 +65,39 @@ class _Features:
         self.known = np.zeros(BUCKETS, dtype=bool)
         self.known[list(known)] = True
         self.held: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        owner, bucket = grams(words)
+        hit = self.known[bucket]
+        found: dict[int, set[int]] = {}
+        for w, b in zip(owner[hit].tolist(), bucket[hit].tolist()):
+            found.setdefault(w, set()).add(b)
+        self.held.update(dict.fromkeys(words, ()))
+        self.held.update((words[w], tuple(b)) for w, b in found.items())
 
     def of(self, texts) -> Iterator[set[int]]:
-        split = [words_in(t) for t in texts]
-        new = {w for own in split for w in own if w not in self.held}
-        if len(self.held) + len(new) > KEPT_WORDS:
-            self.held.clear()
-            new = set().union(*split)
-        words = list(new)
-        if words:
-            owner, bucket = grams(words)
-            hit = self.known[bucket]
-            found: dict[int, set[int]] = {}
-            for w, b in zip(owner[hit].tolist(), bucket[hit].tolist()):
-                found.setdefault(w, set()).add(b)
-            self.held.update(dict.fromkeys(words, ()))
-            self.held.update((words[w], tuple(b)) for w, b in found.items())
-        get = self.held.__getitem__
-        for own in split:
+        if len(self.held) > KEPT_WORDS // 2:
+            self.older, self.held = self.held, {}
+        get, older = self.held.get, self.older.get
+        rows, new = [], set()
+        for text in texts:
+            words = list(words_in(text))
+            own = list(map(get, words))
+            if None in own:
+                for i in [i for i, held in enumerate(own) if held is None]:
+                    if (held := older(words[i])) is None:
+                        new.add(words[i])
+                    else:
+                        own[i] = self.held[words[i]] = held
+            rows.append((words, own))
+        if new:
+            self._learn(list(new))
+        for words, own in rows:
+            if None in own:
+                own = map(get, words)
             out: set[int] = set()
-            for held in filter(None, map(get, own)):
+            for held in filter(None, own):
                 out.update(held)
             yield out
 
