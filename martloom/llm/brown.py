@@ -219,7 +219,8 @@ def best_class(
     pairs[old] -= after
     pairs[:, old] -= before
     pairs[old, old] -= own
-    rows, columns = pairs.sum(axis=1), pairs.sum(axis=0)
+    # Wherever it goes, its neighbours' classes keep the tokens beside it.
+    rows, columns = pairs.sum(axis=1) + before, pairs.sum(axis=0) + after
     base = _xlogx(pairs)
     gain = (_xlogx(pairs + after) - base).sum(axis=1)
     gain += (_xlogx(pairs + before[:, None]) - base).sum(axis=0)

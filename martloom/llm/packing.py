@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -78,8 +79,15 @@ class WordTokens:
         return np.array(ids, dtype="<u4").tobytes()
 
     def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words made of letters, several to a call, cut apart at the word ends."""
-        out = {}
+        """Ids of lower-case words made of letters: ASCII ones by the merges alone, the others
+        several to a call, cut apart at the word ends."""
+        # Lower-case ASCII letters are all the steps before the merges leave as they are.
+        merge = self.tokenizer.model.tokenize
+        plain = [w for w in words if w.isalpha()]
+        out = {
+            w: array("I", [t.id for t in merge(w.decode())]).tobytes() for w in plain
+        }
+        words = [w for w in words if not w.isalpha()]
         for i in range(0, len(words), JOINED):
             part = words[i : i + JOINED]
             text = b" ".join(part).decode()
