@@ -28,10 +28,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path below the folder named in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder, once.
+    Only a local session without that setting (a test) gets a temporary folder, once. On a
+    cluster such a folder would be a different one on each machine, so the setting is needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder: the master is {master}")
         root = _local_roots.get(spark.sparkContext.applicationId)
         if root is None:
             root = tempfile.mkdtemp(prefix="martloom-")
@@ -40,6 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process and so see the same folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut in the lineage that outlives
     executors, and a source that no longer depends on the files ``df`` was read from."""

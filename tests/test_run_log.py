@@ -23,3 +23,10 @@ def test_runs_and_steps_fold_to_their_last_state(spark, folder):
     assert (metrics.failure_count, metrics.avg_duration_seconds) == (1, 300.0)
     steps = {r.step_name: (r.status, r.record_count, r.error) for r in log.steps().collect()}
     assert steps == {"extract": ("success", 7, None), "load": ("failed", None, "division by zero")}
+
+
+def test_only_one_process_may_do_without_a_shared_folder():
+    from martloom.session import is_local
+
+    assert is_local("local") and is_local("local[8]")
+    assert not any(map(is_local, ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h")))
