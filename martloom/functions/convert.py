@@ -13,8 +13,15 @@ FALSE_TEXTS = ["false", "False", "f", "F", "0", "no", "No", "N", "n"]
 
 
 def to_int(c: Column) -> Column:
-    """Nearest integer, halves to even."""
-    return F.bround(number(c)).try_cast("bigint")
+    """Nearest integer, halves to even. Whole numbers keep all their digits; only fractions,
+    exponents and floating-point columns go through DOUBLE."""
+    text, near = c.cast("string"), F.bround(number(c))
+    wide = F.bround(text.try_cast("decimal(38,10)")).try_cast("bigint")
+    rounded = near.try_cast("bigint")
+    from_text = F.when(F.abs(near) < 2.0**53, rounded).otherwise(F.coalesce(wide, rounded))
+    return F.when(F.typeof(c).isin("double", "float"), rounded).otherwise(
+        F.coalesce(text.try_cast("bigint"), from_text)
+    )
 
 
 def to_bool(c: Column) -> Column:

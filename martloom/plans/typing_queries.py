@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,7 +227,7 @@ def _weight_class(size: Column) -> Column:
 
     @F.pandas_udf("string")
     def classify(values: pd.Series) -> pd.Series:
-        return pd.cut(values, [0, 10, 30, 1000], labels=["light", "medium", "heavy"]).astype(object)
+        return pd.cut(values, [-np.inf, 10, 30, np.inf], labels=["light", "medium", "heavy"]).astype(object)
 
     return classify(size)
 

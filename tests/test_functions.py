@@ -93,3 +93,18 @@ def test_rows_and_columns(spark, rows):
 def test_placeholders_touch_only_text(spark, rows):
     df = spark.createDataFrame([("NA", 1)], T.StructType.fromDDL("a string, b int"))
     assert rows(cleaning.null_placeholders(df)) == [(None, 1)]
+
+
+def test_integers_keep_all_digits(spark):
+    from pyspark.sql import functions as F
+
+    from martloom.functions.convert import to_int
+
+    texts = ["9007199254740993", "-9223372036854775808", "1234567890123456789.0", "2.5", "3.5", "1e3", "x", " 7 "]
+    want = [9007199254740993, -9223372036854775808, 1234567890123456789, 2, 4, 1000, None, 7]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(to_int(F.col("t"))).collect()
+    assert [r[0] for r in rows] == want
+    longs = spark.createDataFrame([(9007199254740993,)], "n long").select(to_int(F.col("n"))).first()
+    assert longs[0] == 9007199254740993
+    doubles = spark.createDataFrame([(2.5,), (-3.5,), (float("nan"),)], "d double").select(to_int(F.col("d")))
+    assert [r[0] for r in doubles.collect()] == [2, -4, None]
