@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +16,15 @@ SHEET_ERRORS = [
 # Day numbers count from this day, and only this range is taken as a day number.
 SERIAL_EPOCH = "1899-12-30 00:00:00"
 SERIAL_RANGE = (20000, 60000)
-# The whole years that nanosecond timestamps cover; text beyond them is no date.
-YEARS = (1678, 2261)
+# The characters that Unicode counts as white space, and the four separators.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# The years that a Spark timestamp is defined for; text beyond them is no date.
+YEARS = (1, 9999)
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -30,9 +36,14 @@ def number(c: Column) -> Column:
     return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
+def stripped(c: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
+
+
 def blank_to_null(c: Column) -> Column:
     """Blank, placeholder and sheet-error texts to NULL; other text unchanged."""
-    text = F.trim(c)
+    text = stripped(c)
     error = F.upper(F.replace(text, F.lit(" "), F.lit(""))).isin(SHEET_ERRORS)
     return F.when(~(text.isin(PLACEHOLDERS) | error), c)
 
@@ -90,7 +101,7 @@ def fit_row(cells: Column, width: int) -> list[Column]:
 
 def keyword(c: Column) -> Column:
     """Search keyword: trimmed, space as ``+``."""
-    return F.replace(F.trim(c), F.lit(" "), F.lit("+"))
+    return F.replace(stripped(c), F.lit(" "), F.lit("+"))
 
 
 def number_text(c: Column) -> Column:
@@ -101,7 +112,3 @@ def number_text(c: Column) -> Column:
 def join_unique(lists: Column, separator: str = ",") -> Column:
     """A list of lists as one text: unique items in first-seen order."""
     return F.array_join(F.array_distinct(F.flatten(lists)), separator)
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

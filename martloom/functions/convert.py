@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from martloom.functions.cleaning import number
+from martloom.functions.cleaning import number, stripped
 
 # Texts read as true and as false by the declared-schema rule.
 TRUE_TEXTS = ["true", "True", "t", "T", "1", "yes", "Yes", "Y", "y"]
@@ -55,18 +55,18 @@ CONVERTERS = {
 
 def int_from_text(c: Column) -> Column:
     """Staged text to an integer: blank is NULL, a fraction is cut off."""
-    value = number(F.nullif(F.trim(c), F.lit("")))
+    value = number(F.nullif(stripped(c), F.lit("")))
     return F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value)).try_cast("bigint")
 
 
 def float_from_text(c: Column) -> Column:
-    return number(F.nullif(F.trim(c), F.lit("")))
+    return number(F.nullif(stripped(c), F.lit("")))
 
 
 def flag_from_text(c: Column) -> Column:
     """Staged text to a flag: text outside the true set is false, NULL stays NULL."""
     # Texts read as true when loading staged text.
-    return F.lower(F.trim(c)).isin("true", "t", "yes", "y", "1")
+    return F.lower(stripped(c)).isin("true", "t", "yes", "y", "1")
 
 
 def array_from_literal(c: Column) -> Column:
@@ -75,7 +75,6 @@ def array_from_literal(c: Column) -> Column:
 
 
 def array_from_json(c: Column) -> Column:
-    """JSON list text to an array of text; other text to a one-element array."""
-    return F.when(F.trim(c).startswith("["), F.from_json(c, "array<string>")).when(
-        c.isNotNull(), F.array(c)
-    )
+    """JSON list text to an array of text; other text, a broken list too, to a one-element array."""
+    parsed = F.when(stripped(c).startswith("["), F.from_json(c, "array<string>"))
+    return F.when(c.isNotNull(), F.coalesce(parsed, F.array(c)))

@@ -7,16 +7,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+_SEPARATOR = re.compile(r"[\s.-]+")
+_PLAIN = re.compile(r"[A-Za-z0-9_]+")
+_NO_BRACKETS = str.maketrans("", "", "()")
+
 
 def clean_name(name: str, lower: bool = False) -> str:
     """A plain identifier: no brackets or symbols, separators to ``_``, never empty."""
-    text = str(name).strip()
-    text = text.lower() if lower else text
-    text = re.sub(r"[\s.-]+", "_", re.sub(r"[()]", "", text))
-    text = re.sub(r"\W", "", text, flags=re.ASCII)
-    if not text:
-        return "unnamed_col"
-    return f"col_{text}" if text[0] in "0123456789" else text
+    words = _SEPARATOR.split(str(name).strip().translate(_NO_BRACKETS))
+    plain = "_".join("".join(_PLAIN.findall(word)) for word in words)
+    plain = plain.lower() if lower else plain
+    if plain[:1].isdigit():
+        plain = "col_" + plain
+    return plain or "unnamed_col"
 
 
 def unique_names(names: Sequence[str]) -> list[str]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions import convert
-from martloom.functions.cleaning import number
+from martloom.functions.cleaning import number, stripped
 from martloom.operators.skew import all_not_null
 
 # The limits of the type rules.
@@ -33,11 +33,11 @@ CHILD_KEYS = [
 
 def _scale(value: Column) -> Column:
     """Digits after the point of a double, at least one (whole values print as ``12.0``)."""
-    digits = F.when(value.isNotNull() & (value * 10 == F.rint(value * 10)), 1)
-    for places in range(2, NUMERIC_DIGITS + 1):
-        power = 10.0**places
-        digits = digits.when(F.rint(value * power) / power == value, places)
-    return digits.when(value.isNotNull(), NUMERIC_DIGITS)
+    # One more, so that the text has no exponent; from NUMERIC_MAX on the type has no scale.
+    text = (F.abs(value).try_cast("decimal(28,20)") + F.lit(1)).cast("string")
+    digits = F.length(F.rtrim(F.substring_index(text, ".", -1), F.lit("0")))
+    bounded = F.least(F.greatest(digits, F.lit(1)), F.lit(NUMERIC_DIGITS))
+    return F.when(value == F.rint(value), 1).when(F.abs(value) < NUMERIC_MAX, bounded)
 
 
 def _parts(df: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def _parts(df: DataFrame) -> DataFrame:
     text, value = {}, {}
     for i, f in enumerate(df.schema.fields):
         if isinstance(f.dataType, T.StringType):
-            text[f"_f{i}"] = F.when(F.trim(f.name) != "", F.trim(f.name))
+            text[f"_f{i}"] = F.nullif(stripped(F.col(f.name)), F.lit(""))
             value[f"_v{i}"] = number(F.col(f"_f{i}"))
         elif isinstance(f.dataType, T.NumericType):
             value[f"_v{i}"] = number(F.col(f.name))
@@ -189,16 +189,16 @@ def coerce_sheet(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
         if kind is None:
             return F.col(c)
         text = F.col(c).cast("string")
-        filled = F.when(F.trim(text) != "", text)
+        filled = F.when(stripped(text) != "", text)
         if kind == "BIGINT":
-            return convert.to_int(filled).alias(c)
+            return convert.to_int(stripped(filled)).alias(c)
         if kind == "DOUBLE PRECISION":
-            return number(filled).alias(c)
+            return number(stripped(filled)).alias(c)
         if kind == "BOOLEAN":
-            flag = F.lower(F.trim(filled))
+            flag = F.lower(stripped(filled))
             return F.when(flag == "true", True).when(flag == "false", False).alias(c)
         if kind == "TIMESTAMP":
-            return F.trim(filled).try_cast("timestamp_ntz").alias(c)
+            return stripped(filled).try_cast("timestamp_ntz").alias(c)
         return filled.alias(c)
 
     return df.select(*[coerced(c) for c in df.columns])
@@ -237,21 +237,10 @@ def key_report(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
     )
 
 
-def looks_unique(df: DataFrame, keys: Sequence[str], margin: float = 0.9) -> bool:
-    """Cheap screen: an approximate distinct count far below the row count rules a key out."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~all_not_null(keys)).alias("nulls"),
-        F.approx_count_distinct(F.struct(*keys), 0.02).alias("d"),
-    ).first()
-    return row["nulls"] == 0 and row["d"] >= margin * row["n"]
-
-
 def is_key(df: DataFrame, keys: Sequence[str]) -> bool:
     """Exact: no NULL and no repeated key; stops at the first repeat found."""
-    if not looks_unique(df, keys):
-        return False
-    return df.groupBy(*keys).count().where("count > 1").limit(1).isEmpty()
+    against = ~all_not_null(keys) | (F.col("_n") > 1)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(against).isEmpty()
 
 
 def discover_keys(df: DataFrame, table: str) -> dict[str, list[str] | None]:

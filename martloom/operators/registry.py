@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.operators.skew import next_in_key, one_per_key
+from martloom.operators.skew import all_not_null, next_in_key, one_per_key
 from martloom.sources.queries import optional_filter, page
 
 KEY = ["client_id", "data_type", "source_id"]
@@ -50,7 +50,12 @@ def patch_entries(registry: DataFrame, patches: DataFrame) -> DataFrame:
         given("source_updated_at").alias("_source_updated_at"),
         given("metadata").alias("_metadata"),
     )
-    joined = registry.join(merged, keys, "full")
+    # A NULL key matches nothing, so its rows stay out of the join and cannot meet in one task.
+    keyed = all_not_null(keys)
+    joined = registry.where(keyed).join(merged.where(keyed), keys, "full")
+    unmatched = merged.where(~keyed).withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in registry.schema.fields if f.name not in keys}
+    )
     hit = F.col("_new").isNotNull()
     kept = {"data_type", "source_id"}
 
@@ -63,7 +68,8 @@ def patch_entries(registry: DataFrame, patches: DataFrame) -> DataFrame:
             return value.alias(c)
         return F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c)
 
-    return joined.select(*[out(c) for c in registry.columns])
+    changed = joined.unionByName(unmatched).select(*[out(c) for c in registry.columns])
+    return changed.unionByName(registry.where(~keyed))
 
 
 def bulk_rows(

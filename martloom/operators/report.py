@@ -64,10 +64,10 @@ def flag_top(
 ) -> DataFrame:
     """Flag the ``n`` largest values, NULL lowest, ties settled by the row key.
 
-    The n winners come from a distributed top-n; only those n keys are broadcast.
+    The n winners come from a distributed top-n; their size decides how they are joined.
     """
     best = df.orderBy(F.desc_nulls_last(column), *key).limit(n).select(*key)
-    marked = F.broadcast(best.withColumn(flag, F.lit(True))).alias("b")
+    marked = best.withColumn(flag, F.lit(True)).alias("b")
     same = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
     joined = df.alias("r").join(marked, same, "left")
     return joined.select("r.*", F.coalesce(F.col(f"b.{flag}"), F.lit(False)).alias(flag))

@@ -182,7 +182,3 @@ def schema_text(schema: T.StructType) -> str:
 
 def schema_from_text(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
-
-
-def select_known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[c for c in columns if c in df.columns])

@@ -6,6 +6,7 @@ sides start from equal rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -117,17 +118,21 @@ FROM part, range(6) r(i) WHERE p_brand <> 'Brand#7' AND p_type = 'PROMO'
 """
 
 
-def nearest_sql(probe: str, snaps: str, key: str, date: str, values: str) -> str:
-    """Reference form of the nearest-date lookup: rank every snapshot of the key per probe."""
+def nearest_sql(probe: str, snaps: str, key: str, date: str, values: Sequence[str]) -> str:
+    """The nearest-date lookup as two as-of joins: backward, and forward where that finds nothing."""
+    packed = ", ".join(f"'{v}': CAST({v} AS DOUBLE)" for v in values)
+    chosen = ", ".join(
+        f"CASE WHEN b.valuationdate IS NOT NULL THEN b.picked.{v} ELSE f.picked.{v} END AS {v}"
+        for v in values
+    )
+    newest = f"""(SELECT {key}, valuationdate, arg_max({{{packed}}}, COALESCE(updated, 2147483647)) AS picked
+  FROM {snaps} GROUP BY {key}, valuationdate)"""
     return f"""
-SELECT * EXCLUDE (rn) FROM (
-  SELECT p.{key}, p.{date}, s.valuationdate AS snapshot_day, {values},
-         row_number() OVER (
-           PARTITION BY p.{key}, p.{date}
-           ORDER BY s.valuationdate <= p.{date} DESC,
-                    CASE WHEN s.valuationdate <= p.{date} THEN s.valuationdate END DESC NULLS LAST,
-                    s.valuationdate ASC, s.updated DESC NULLS FIRST) AS rn
-  FROM {probe} p JOIN {snaps} s ON s.{key} = p.{key}) WHERE rn = 1
+SELECT p.{key}, p.{date}, COALESCE(b.valuationdate, f.valuationdate) AS snapshot_day, {chosen}
+FROM {probe} p
+ASOF LEFT JOIN {newest} b ON b.{key} = p.{key} AND p.{date} >= b.valuationdate
+ASOF LEFT JOIN {newest} f ON f.{key} = p.{key} AND p.{date} <= f.valuationdate
+WHERE COALESCE(b.valuationdate, f.valuationdate) IS NOT NULL
 """
 
 
@@ -141,7 +146,8 @@ SHEET = Derived(
         "o_orderkey AS row_no",
         "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN '' "
         "WHEN o_orderkey % 11 = 0 THEN ' - ' WHEN o_orderkey % 13 = 0 THEN 'N/A' "
-        "WHEN o_orderkey % 17 = 0 THEN ' #Ref ! ' "
+        "WHEN o_orderkey % 17 = 0 THEN ' #Ref ! ' WHEN o_orderkey % 23 = 0 THEN chr(9) || 'NA' || chr(10) "
+        "WHEN o_orderkey % 29 = 0 THEN '#N/A' || chr(160) WHEN o_orderkey % 31 = 0 THEN chr(160) "
         f"ELSE {AMOUNT_TEXT} END AS amount",
         "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'true' "
         "WHEN o_orderkey % 5 = 1 THEN 'True' WHEN o_orderkey % 5 = 2 THEN 'TRUE' "
@@ -154,7 +160,8 @@ SHEET = Derived(
         "WHEN o_orderkey % 4 = 0 THEN CAST(34700 + o_orderkey % 2400 AS STRING) "
         "WHEN o_orderkey % 4 = 1 THEN CAST(34700 + o_orderkey % 2400 AS STRING) || '.5' "
         f"WHEN o_orderkey % 4 = 2 THEN {DAY_TEXT} "
-        "WHEN o_orderkey % 8 = 3 THEN '1970-01-01' ELSE 'soon' END AS order_date",
+        "WHEN o_orderkey % 8 = 3 THEN '1970-01-01' WHEN o_orderkey % 16 = 7 THEN '9999-12-31' "
+        "ELSE 'soon' END AS order_date",
         "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN 'nan' "
         "ELSE o_orderpriority END AS note",
         "CAST(NULL AS STRING) AS unused",

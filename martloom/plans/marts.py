@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.money import from_units, scale_of, units
+from martloom.functions.money import halves, scale_of, units, whole
 from martloom.operators.asof import join_nearest_snapshot
 from martloom.operators.change import replace_slice
 from martloom.operators.dedup import keep_last
@@ -81,8 +81,11 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
     measures = lines.withColumns(dict(extra)) if extra else lines
     scales = {c: scale_of(measures, c) for c in [*sums, *extra]}
 
-    def exact(c: str) -> Column:
-        return F.col(c) if scales[c] is None else units(F.col(c), scales[c])
+    def sums_of(c: str) -> list[Column]:
+        if scales[c] is None:
+            return [F.sum(c).alias(c)]
+        high, low = halves(units(F.col(c), scales[c]))
+        return [F.sum(high).alias(f"_high_{c}"), F.sum(low).alias(f"_low_{c}")]
 
     dated = measures.withColumn("orderdate", F.col("orderdate").cast("date"))
     per_order = (
@@ -91,13 +94,15 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
             F.max(counted).alias("_counted"),
             F.max(cancelled).alias("_cancelled"),
             F.max(F.col("new_customer") == "TRUE").alias("_new"),
-            *[F.sum(exact(c)).alias(c) for c in scales],
+            *[part for c in scales for part in sums_of(c)],
         )
     )
 
     def total(c: str) -> Column:
-        summed = F.coalesce(F.sum(c), F.lit(0))
-        return (summed if scales[c] is None else from_units(summed, scales[c])).alias(c)
+        value = F.col(c)
+        if scales[c] is not None:
+            value = whole(F.col(f"_high_{c}"), F.col(f"_low_{c}"), scales[c])
+        return F.coalesce(F.sum(value), F.lit(0)).alias(c)
 
     totals = per_order.groupBy(*CHANNEL_KEYS).agg(
         F.count_distinct(F.when(F.col("_counted"), F.col("ordername"))).alias("total_order"),

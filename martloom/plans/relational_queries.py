@@ -113,7 +113,7 @@ def distinct_on(t: Tables) -> DataFrame:
 @query("asof_prior_else_next", ctes(
     snaps=SNAPSHOTS_SQL,
     probes="SELECT DISTINCT l_partkey AS p_partkey, CAST(l_shipdate AS DATE) AS ship_day FROM lineitem",
-    found=nearest_sql("probes", "snaps", "p_partkey", "ship_day", "CAST(s.cost AS DOUBLE) AS cost"),
+    found=nearest_sql("probes", "snaps", "p_partkey", "ship_day", ["cost"]),
 ) + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CAST(l_shipdate AS DATE) AS ship_day,
        snapshot_day, cost
@@ -378,12 +378,13 @@ def scalar_cast(t: Tables) -> DataFrame:
 # --- cleaning ----------------------------------------------------------------------------------
 
 _BLANK = ", ".join(f"'{p}'" for p in cleaning.PLACEHOLDERS)
+_WHITE = f"'{cleaning.WHITE_SPACE}'"
 _ERRORS = ", ".join(f"'{e}'" for e in cleaning.SHEET_ERRORS)
 
 
 def _blank_sql(column: str) -> str:
     return (
-        f"CASE WHEN trim({column}) IN ({_BLANK}) OR replace(upper(trim({column})), ' ', '') IN ({_ERRORS}) "
+        f"CASE WHEN trim({column}, {_WHITE}) IN ({_BLANK}) OR replace(upper(trim({column}, {_WHITE})), ' ', '') IN ({_ERRORS}) "
         f"THEN NULL ELSE {column} END AS {column}"
     )
 

@@ -157,19 +157,24 @@ SELECT '{name}' AS key_columns, CAST(COUNT(*) AS BIGINT) AS total_rows,
        COUNT(*) = COUNT(DISTINCT {row}) FILTER ({usable}) AS is_key FROM {table}"""
 
 
-@query("key_discovery", " UNION ALL ".join([
+@query("key_discovery", "WITH r AS (" + " UNION ALL ".join([
     _key_sql("order_id", ["l_orderkey"], "lineitem"),
     _key_sql("order_id+line_no", ["l_orderkey", "l_linenumber"], "lineitem"),
     _key_sql("order_id+item_id", ["l_orderkey", "l_partkey"], "lineitem"),
-]))
+]) + """)
+SELECT *, is_key AND NOT (key_columns = 'order_id+item_id'
+                          AND (SELECT is_key FROM r WHERE key_columns = 'order_id+line_no')) AS chosen FROM r""")
 def key_discovery(t: Tables) -> DataFrame:
-    """The candidates by name for a table of order lines, each counted over all rows."""
+    """The candidates by name for a table of order lines, each counted over all rows, and the ones
+    that discovery chooses."""
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("item_id"),
     )
     singles, pairs = inference.key_candidates(lines.columns, "order_lines")
-    return inference.key_report(lines, [[c] for c in singles] + [list(p) for p in pairs])
+    found = ["+".join(k) for k in inference.discover_keys(lines, "order_lines").values() if k]
+    report = inference.key_report(lines, [[c] for c in singles] + [list(p) for p in pairs])
+    return report.withColumn("chosen", F.col("key_columns").isin(found))
 
 
 @query("audit_columns", """

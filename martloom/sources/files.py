@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,3 +154,15 @@ def with_date_layout(df: DataFrame, ts: str, zone: str = "Asia/Kolkata") -> Data
     """Add year, month and day of the business zone, the columns of the drop layout."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(ts).cast("timestamp_ntz"))
     return df.withColumns({"year": F.year(local), "month": F.month(local), "day": F.day(local)})
+
+
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a folder on whichever file system its URI names."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def is_missing(problem: AnalysisException) -> bool:
+    """Whether a read failed because nothing is there, and for no other reason."""
+    return problem.getCondition() == "PATH_NOT_FOUND"

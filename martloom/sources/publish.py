@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.sources.files import is_missing
+
 
 @dataclass(frozen=True)
 class Version:
@@ -34,8 +36,10 @@ class VersionedTable:
             markers = self.spark.read.schema("number bigint, folder string").parquet(
                 f"{self.path}/_markers_/*"
             )
-        except AnalysisException:
-            return None
+        except AnalysisException as problem:
+            if is_missing(problem):
+                return None
+            raise
         row = markers.agg(F.max(F.struct("number", "folder")).alias("last")).first().last
         return Version(row.number, row.folder) if row else None
 

@@ -36,7 +36,7 @@ class RunLog:
         at = at or _now()
         values = {
             "run_id": run_id, "status": status, "event_time": at,
-            "event_seq": int(at.timestamp() * 1000000), **fields,
+            "event_seq": int(at.replace(tzinfo=timezone.utc).timestamp() * 1000000), **fields,
         }
         names = [part.split()[0] for part in EVENTS.split(", ")]
         row = [tuple(values.get(n) for n in names)]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +11,10 @@ from pyspark.sql import types as T
 
 from martloom.operators import change
 from martloom.operators.dedup import merge_keep_last
+from martloom.operators.skew import with_keys
 from martloom.operators.validate import compatible
 from martloom.session import settle
-from martloom.sources.files import list_files
+from martloom.sources.files import list_files, remove_folder
 from martloom.sources.publish import VersionedTable
 
 # The accepted if-exists choices and the writer mode behind each.
@@ -61,25 +61,27 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-def touched_partitions(rows: DataFrame, by: Sequence[str], limit: int = 1000) -> Column | None:
-    """A literal predicate for the partitions that ``rows`` touches, for pruning a read of them.
-
-    Only distinct partition values reach the driver. Beyond ``limit`` partitions there is no
-    predicate, and the caller's exact join alone decides.
-    """
-    values = rows.select(*by).distinct().limit(limit + 1).collect()
-    if len(values) > limit:
-        return None
-    same = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in by]) for v in values
-    ]
-    return reduce(lambda a, b: a | b, same, F.lit(False))
+def touched_range(rows: DataFrame, by: Sequence[str]) -> Column:
+    """A predicate on the partition columns that covers the partitions of ``rows``, for pruning a
+    read of them: the smallest and largest value of each column, one row on the driver however
+    many partitions there are. The caller's exact join decides inside that range."""
+    row = rows.agg(
+        *[F.min(c).alias(f"low_{i}") for i, c in enumerate(by)],
+        *[F.max(c).alias(f"high_{i}") for i, c in enumerate(by)],
+        *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"null_{i}") for i, c in enumerate(by)],
+    ).first()
+    covered = F.lit(True)
+    for i, c in enumerate(by):
+        inside = F.lit(False)
+        if row[f"low_{i}"] is not None:
+            inside = F.col(c).between(F.lit(row[f"low_{i}"]), F.lit(row[f"high_{i}"]))
+        covered &= inside | F.col(c).isNull() if row[f"null_{i}"] else inside
+    return covered
 
 
-def _existing(spark: SparkSession, incoming: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
-    existing = spark.read.schema(incoming.schema).parquet(path)
-    touched = touched_partitions(incoming, by)
-    return existing if touched is None else existing.where(touched)
+def _in_partitions(rows: DataFrame, partitions: DataFrame, by: Sequence[str]) -> DataFrame:
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by]
+    return rows.alias("r").join(partitions.alias("p"), same, "left_semi")
 
 
 def merge_partitions(
@@ -94,25 +96,41 @@ def merge_partitions(
 
     The merged rows settle in the shared folder before they replace the files they came from.
     """
-    existing = _existing(spark, incoming, path, by)
+    existing = spark.read.schema(incoming.schema).parquet(path).where(touched_range(incoming, by))
     merged = merge_keep_last(existing, incoming, keys, seq, partition_by=by)
     replace_partitions(settle(merged), path, by)
 
 
 def replace_keys_in_partitions(
-    spark: SparkSession, incoming: DataFrame, path: str, by: Sequence[str], keys: Sequence[str]
+    spark: SparkSession,
+    incoming: DataFrame,
+    path: str,
+    by: Sequence[str],
+    keys: Sequence[str],
+    keys_stay: bool = False,
 ) -> None:
     """Keyed replace inside a partitioned dataset: only touched partitions are read and rewritten.
 
-    For tables where a key stays in its partition (a day, a store); the cost follows the
-    partitions touched, not the table.
+    A key may come in for another partition than the one that holds it; both are then rewritten,
+    and a partition left without rows is removed. Finding such keys reads the key columns of the
+    whole dataset. ``keys_stay`` promises that no key moves (a day, a store) and saves that read.
     """
-    existing = _existing(spark, incoming, path, by)
+    dataset = spark.read.schema(incoming.schema).parquet(path)
     partitions = incoming.select(*by).distinct()
-    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by]
-    inside = existing.alias("e").join(partitions.alias("p"), same, "left_semi")
-    changed = change.replace_by_name(inside, incoming, keys)
-    replace_partitions(settle(changed), path, by)
+    if not keys_stay:
+        held = with_keys(dataset.select(*dict.fromkeys([*by, *keys])), incoming, keys)
+        partitions = settle(partitions.union(held.select(*by)).distinct())
+    files = dataset.withColumn("_file", F.col("_metadata.file_path"))
+    inside = _in_partitions(files.where(touched_range(partitions, by)), partitions, by)
+    changed = settle(change.replace_by_name(inside.drop("_file"), incoming, keys))
+    folder = F.regexp_replace("_file", "/[^/]*$", "").alias("folder")
+    before, after = inside.select(*by, folder).distinct(), changed.select(*by).distinct()
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in by]
+    emptied = before.alias("b").join(after.alias("a"), same, "left_anti").select("folder").distinct()
+    emptied = [r.folder for r in emptied.toLocalIterator()]  # some of the partitions of this load
+    replace_partitions(changed, path, by)
+    for name in emptied:
+        remove_folder(spark, name)
 
 
 def insert_into(df: DataFrame, table: str, if_exists: str = "append") -> None:

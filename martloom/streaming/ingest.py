@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from martloom.operators.change import replace_by_name
+from martloom.sources.files import is_missing
 from martloom.sources.publish import VersionedTable
 from martloom.sources.tables import replace_keys_in_partitions, write_partitioned
 
@@ -63,13 +64,15 @@ def ingest_partitioned(
     files_per_batch: int | None = None,
 ) -> None:
     """The same into a partitioned dataset: a batch reads and rewrites only the partitions it
-    touches, for tables too large to rewrite. A key must stay in its partition."""
+    touches, for tables too large to rewrite."""
 
     def apply(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
             try:
                 spark.read.schema(schema).parquet(path)
-            except AnalysisException:
+            except AnalysisException as problem:
+                if not is_missing(problem):
+                    raise
                 write_partitioned(batch, path, by, mode="overwrite")
             else:
                 replace_keys_in_partitions(spark, batch, path, by, keys)

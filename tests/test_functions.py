@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions import cleaning, convert
-from martloom.functions.formats import format_cell
-from martloom.functions.money import from_units, units
+from martloom.functions.convert import array_from_json, int_from_text
+from martloom.functions.formats import format_cell, round_exact
+from martloom.functions.money import halves, units, whole
 from martloom.functions.names import clean_name, csv_name, sheet_headers, unique_names
 
 
@@ -78,7 +79,43 @@ def test_units_are_exact(spark):
     assert column(spark, values, lambda c: units(c, 2), kind) == [
         29, -29, 999999999999999999, 9007199254740993, None
     ]
-    assert column(spark, values[:4], lambda c: from_units(units(c, 2), 2), kind) == values[:4]
+    assert column(spark, values, lambda c: whole(*halves(units(c, 2)), 2), kind) == values
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_beyond_64_bits(spark, ansi):
+    from decimal import Decimal as D
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        top = D("9999999999999999.99")
+        df = spark.range(20).select(F.lit(top).cast("decimal(18,2)").alias("v"))
+        high, low = halves(units(F.col("v"), 2))
+        once = df.agg(F.sum(high).alias("h"), F.sum(low).alias("l"))
+        assert once.select(whole(F.col("h"), F.col("l"), 2)).first()[0] == 20 * top
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_ties_round_by_the_binary_value(spark):
+    values = [0.125, 2.675, 1.005, 1.115, 0.375, -0.125, 1e300, 123456789.995, 0.0, 5e-324]
+    for places in (0, 1, 2, 3):
+        got = column(spark, values, lambda c: round_exact(c, places), "double")
+        assert got == [float(f"{v:.{places}f}") for v in values]
+    assert column(spark, [2.5, 3.5], lambda c: format_cell(c, "comma:0"), "double") == ["2", "4"]
+
+
+def test_white_space_of_any_kind(spark):
+    cells = ["\t", "\u00a0", " NA\n", "#N/A\u00a0", "\u2003x\u3000"]
+    assert column(spark, cells, cleaning.blank_to_null) == [None, None, None, None, cells[4]]
+    assert column(spark, cells, cleaning.keyword)[4] == "x"
+    assert column(spark, ["\t7\n", "\u00a0"], int_from_text) == [7, None]
+
+
+def test_broken_json_list_keeps_its_text(spark):
+    got = column(spark, ["[a", '["a", "b"]', "a", None], array_from_json)
+    assert got == [["[a"], ["a", "b"], ["a"], None]
 
 
 def test_rows_and_columns(spark, rows):

@@ -48,7 +48,27 @@ def test_partition_keyed_replace_leaves_other_partitions_alone(spark, folder, ro
         (1, "dup", 1), (1, "new", 1), (2, "b", 2), (4, "x", None), (5, "e", 1), (None, "n", 1)
     ]
     assert {f.name for f in Path(folder, "p=2").iterdir()} == untouched
-    assert tables.touched_partitions(incoming, ["p"], limit=1) is None
+
+
+def test_many_touched_partitions_still_prune(spark, folder):
+    schema = "k bigint, p bigint"
+    tables.write_partitioned(spark.createDataFrame([(1, 5), (2, 5000), (3, None)], schema), folder, ["p"])
+    incoming = spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("p"))
+    covered = spark.read.schema(schema).parquet(folder).where(tables.touched_range(incoming, ["p"]))
+    plan = covered._jdf.queryExecution().executedPlan().toString()
+    assert "p#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.k for r in covered.collect()] == [1]
+
+
+def test_a_key_that_changes_partition_leaves_one_row(spark, folder, rows):
+    schema = "k int, v string, p string"
+    old = spark.createDataFrame([(1, "a", "x y"), (2, "b", "z"), (3, "c", "z")], schema)
+    tables.write_partitioned(old, folder, ["p"])
+    incoming = spark.createDataFrame([(1, "new", "z"), (3, "moved", None)], schema)
+    tables.replace_keys_in_partitions(spark, incoming, folder, ["p"], ["k"])
+    assert rows(spark.read.schema(schema).parquet(folder)) == [
+        (1, "new", "z"), (2, "b", "z"), (3, "moved", None)
+    ]
 
 
 def test_csv_names_and_bad_dates(spark, folder, rows):
