@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -95,6 +95,18 @@ def nth_window(windows: DataFrame, position: str, index: int) -> DataFrame:
     return windows.where(F.col(position) == index)
 
 
+def day_outcomes(rows: DataFrame, day: Column, checks: Mapping[str, Column]) -> DataFrame:
+    """(day, n_rows, ok, error): a day is good if every row of it meets every check; else the
+    first check that a row fails (NULL fails) is the error. Rows without a day are one bad day."""
+    failed = [F.count_if(~F.coalesce(c, F.lit(False))).alias(f"_{i}") for i, c in enumerate(checks.values())]
+    judged = rows.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), *failed)
+    error = F.when(F.col("day").isNull(), "no day")
+    for i, name in enumerate(checks):
+        error = error.when(F.col(f"_{i}") > 0, name)
+    judged = judged.withColumn("error", error)
+    return judged.select("day", "n_rows", F.col("error").isNull().alias("ok"), "error")
+
+
 def freshness(
     facts: DataFrame,
     column: str,

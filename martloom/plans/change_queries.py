@@ -14,7 +14,7 @@ from martloom.plans.inputs import (
 )
 from martloom.plans.suite import Tables, query
 from martloom.sources.publish import VersionedTable
-from martloom.sources.tables import load_many, load_table, load_totals
+from martloom.sources.tables import load_days, load_many, load_table, load_totals
 from martloom.streaming.ingest import ingest_files, ingest_partitioned
 
 REPLACED = """
@@ -138,6 +138,32 @@ def multi_load_summary(t: Tables) -> DataFrame:
     return load_totals(load_many(t.spark, table, paths, ["o_orderkey"]))
 
 
+_READY = "o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'P'"
+
+
+@query("load_by_day", ctes(
+    t=TARGET, drop_rows=STAGING_SQL,
+    judged=f"""SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n_rows, bool_and({_READY}) AS ok
+      FROM drop_rows GROUP BY 1""",
+    s="SELECT d.* FROM drop_rows d JOIN judged ON day = CAST(o_orderdate AS DATE) WHERE ok",
+    loaded=REPLACED,
+    after="SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS table_rows FROM loaded GROUP BY 1",
+) + """
+SELECT j.day, n_rows, ok, CASE WHEN NOT ok THEN 'urgent order pending' END AS error,
+       COALESCE(table_rows, 0) AS table_rows
+FROM judged j LEFT JOIN after a ON a.day = j.day""")
+def load_by_day(t: Tables) -> DataFrame:
+    """Days with a pending urgent order are left out; each day with its rows in the table after."""
+    table = VersionedTable(t.spark, t.scratch())
+    table.publish(TARGET.spark(t))
+    day = F.col("o_orderdate").cast("date")
+    checks = {"urgent order pending": F.expr(_READY)}
+    outcomes = load_days(table, staging(t), day, ["o_orderkey"], checks)
+    after = table.read().groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("table_rows"))
+    rows = F.coalesce("table_rows", F.lit(0).cast("bigint")).alias("table_rows")
+    return outcomes.join(after, "day", "left").select("day", "n_rows", "ok", "error", rows)
+
+
 # --- partition merge and dedup -------------------------------------------------------------------
 
 _PART = "l_returnflag"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from martloom.operators import change
 from martloom.operators.dedup import merge_keep_last
+from martloom.operators.increments import day_outcomes
 from martloom.operators.skew import with_keys
 from martloom.operators.validate import compatible
 from martloom.session import settle
@@ -265,6 +266,26 @@ def load_many(
     return spark.createDataFrame(outcome, "path string, ok boolean, inserted bigint, error string")
 
 
+def load_days(
+    table: VersionedTable,
+    staging: DataFrame,
+    day: Column,
+    keys: Sequence[str],
+    checks: Mapping[str, Column],
+) -> DataFrame:
+    """Load the good days of a drop and leave the others out; one row per day says which.
+
+    All days are judged in one pass and the good ones published together, so the cost does not
+    grow with their number. A drop that cannot be read fails as a whole.
+    """
+    outcomes = settle(day_outcomes(staging, day, checks))
+    good = outcomes.where("ok").select(F.col("day").alias("_good"))
+    rows = staging.withColumn("_day", day).join(good, F.col("_day") == F.col("_good"), "left_semi")
+    if not good.isEmpty():
+        table.publish(change.replace_by_name(table.read(), rows.drop("_day"), keys))
+    return outcomes
+
+
 def load_totals(outcome: DataFrame) -> DataFrame:
     """Files loaded, files failed and rows inserted of a ``load_many`` result."""
     return outcome.agg(

@@ -1,6 +1,7 @@
 import json
 import re
 import zipfile
+from datetime import date
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -122,6 +123,30 @@ def test_load_outcomes(spark, folder):
     assert table.version() == 2 and table.read().count() == 3
 
 
+def test_days_that_fail_are_left_out(spark, folder, rows):
+    schema = "k int, v int, day date"
+    table = VersionedTable(spark, f"{folder}/t")
+    first, second = date(2024, 1, 1), date(2024, 1, 2)
+    table.publish(spark.createDataFrame([(1, 1, first), (2, 2, second)], schema))
+    drop = [(1, 10, first), (3, 30, first), (2, 20, second), (4, None, second), (5, 50, None)]
+    drop, checks = spark.createDataFrame(drop, schema), {"value missing": F.col("v") > 0}
+    got = tables.load_days(table, drop, F.col("day"), ["k"], checks)
+    assert rows(got) == [(first, 2, True, None), (second, 2, False, "value missing"), (None, 1, False, "no day")]
+    assert rows(table.read().select("k", "v")) == [(1, 10), (2, 2), (3, 30)]
+    tables.load_days(table, drop.where("k = 5"), F.col("day"), ["k"], checks)
+    assert table.version() == 2
+    assert rows(tables.load_days(table, drop.limit(0), F.col("day"), ["k"], checks)) == []
+
+
+def test_statistics_of_a_table(spark):
+    spark.sql("DROP TABLE IF EXISTS martloom_stats")
+    tables.insert_into(spark.range(7), "martloom_stats", "replace")
+    tables.analyze(spark, "martloom_stats", ["id"])
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED martloom_stats").collect()}
+    assert "7 rows" in described["Statistics"]
+    spark.sql("DROP TABLE martloom_stats")
+
+
 def test_partition_writes(spark, folder, rows):
     schema = "k int, v string, p string"
     tables.write_partitioned(
