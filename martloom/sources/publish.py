@@ -30,18 +30,25 @@ class VersionedTable:
     spark: SparkSession
     path: str
 
-    def current(self) -> Version | None:
-        """The published version, or None when nothing was published yet."""
+    def _markers(self) -> list:
+        """All markers, newest first: one small row per version."""
         try:
-            markers = self.spark.read.schema("number bigint, folder string").parquet(
+            markers = self.spark.read.schema("number bigint, folder string, unit string").parquet(
                 f"{self.path}/_markers_/*"
             )
         except AnalysisException as problem:
             if is_missing(problem):
-                return None
+                return []
             raise
-        row = markers.agg(F.max(F.struct("number", "folder")).alias("last")).first().last
-        return Version(row.number, row.folder) if row else None
+        return markers.orderBy(F.desc("number")).collect()
+
+    def current(self) -> Version | None:
+        """The published version, or None when nothing was published yet. A version that belongs
+        to a unit counts once the unit is done."""
+        for row in self._markers():
+            if row.unit is None or _is_done(self.spark, row.unit):
+                return Version(row.number, row.folder)
+        return None
 
     def version(self) -> int | None:
         current = self.current()
@@ -59,7 +66,7 @@ class VersionedTable:
     def write(self, df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> Version:
         """Write the next version without switching to it. The folder is new for every attempt,
         so what a failed job left behind is never in the way."""
-        number = (self.version() or 0) + 1
+        number = max((row.number for row in self._markers()), default=0) + 1
         written = Version(number, f"v{number}-{uuid.uuid4().hex}")
         writer = df.write.options(**options)
         if partition_by:
@@ -67,10 +74,13 @@ class VersionedTable:
         writer.parquet(f"{self.path}/{written.folder}")
         return written
 
-    def switch(self, written: Version) -> None:
-        """Make a written version the current one; fails if its number was published already."""
+    def switch(self, written: Version, unit: str | None = None) -> None:
+        """Make a written version the current one, at once or when ``unit`` is done; fails if its
+        number was published already."""
         marker = self.spark.range(1).select(
-            F.lit(written.number).cast("bigint").alias("number"), F.lit(written.folder).alias("folder")
+            F.lit(written.number).cast("bigint").alias("number"),
+            F.lit(written.folder).alias("folder"),
+            F.lit(unit).cast("string").alias("unit"),
         )
         marker.coalesce(1).write.mode("errorifexists").parquet(
             f"{self.path}/_markers_/{written.number}"
@@ -82,9 +92,24 @@ class VersionedTable:
         return written.number
 
 
+def _is_done(spark: SparkSession, unit: str) -> bool:
+    try:
+        return not spark.read.schema("done boolean").parquet(unit).isEmpty()
+    except AnalysisException as problem:
+        if is_missing(problem):
+            return False
+        raise
+
+
 def publish_together(changes: list[tuple[VersionedTable, DataFrame]]) -> list[int]:
-    """Write every table first and switch only when all writes succeeded."""
+    """Publish several tables as one unit: all are written and marked first, and one record, below
+    the first table, then makes all of them current. A failure before it changes none."""
     written = [(table, table.write(df)) for table, df in changes]
+    if not written:
+        return []
+    first = written[0][0]
+    unit = f"{first.path}/_units_/{uuid.uuid4().hex}"
     for table, version in written:
-        table.switch(version)
+        table.switch(version, unit)
+    first.spark.range(1).select(F.lit(True).alias("done")).coalesce(1).write.parquet(unit)
     return [version.number for _, version in written]

@@ -109,6 +109,16 @@ def test_publish_together(spark, folder):
     assert not a.exists() and not b.exists()
     c, d = VersionedTable(spark, f"{folder}/c"), VersionedTable(spark, f"{folder}/d")
     assert publish_together([(c, spark.range(2)), (d, spark.range(3))]) == [1, 1]
+    assert c.read().count() == 2 and d.read().count() == 3
+
+
+def test_a_unit_that_broke_off_changes_nothing(spark, folder):
+    a = VersionedTable(spark, f"{folder}/a")
+    a.publish(spark.range(2))
+    a.switch(a.write(spark.range(9)), f"{folder}/a/_units_/broken")
+    assert a.version() == 1 and a.read().count() == 2
+    assert a.publish(spark.range(4)) == 3 and a.read().count() == 4
+    assert publish_together([]) == []
 
 
 def test_load_outcomes(spark, folder):
