@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
-from pyspark.ml.linalg import Vectors
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +18,11 @@ from martloom.session import settle
 BUCKETS = 1 << 18  # hashed n-grams that are counted
 SIZES = (3, 4, 5)  # n-gram lengths; a word counts with a space on both sides
 SAMPLE_ROWS = 20_000  # labelled rows the classifier is fitted on, at most
-FEATURES = 4096  # n-grams with a weight, at most
-MIN_CHI2 = 10.83  # and at least this far from independence of the label (p = 0.001)
 THRESHOLD = 0.7
-KEPT_WORDS = 800_000  # words whose features a worker remembers
+KEPT_WORDS = 600_000  # words whose features a worker remembers
+ROUNDS = 60  # steps of the fit, at most
+NEAR = 1e-3  # and until its gradient is this share of the first one
+GRAIN = 2.0**-40  # weights are added up as whole multiples of this, so that their order is nothing
 
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -59,47 +58,50 @@ def words_in(text: str | None) -> set[str]:
 
 class _Features:
     """The weighted n-grams of words, remembered up to a bound; new words of a batch are hashed
-    together."""
+    together. The n-grams of all words lie in one array, those of a word one after another."""
 
-    def __init__(self, known: dict[int, float]):
-        self.known = np.zeros(BUCKETS, dtype=bool)
-        self.known[list(known)] = True
-        self.held: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        self.last = np.zeros(BUCKETS, dtype=np.int32)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.start = np.zeros(1, dtype=np.int64)  # of each word's n-grams, and the end of all
+        self.held = np.zeros(1 << 16, dtype=np.int32)
 
     def _learn(self, words: list[str]) -> None:
         owner, bucket = grams(words)
         hit = self.known[bucket]
-        found: dict[int, set[int]] = {}
-        for w, b in zip(owner[hit].tolist(), bucket[hit].tolist()):
-            found.setdefault(w, set()).add(b)
-        self.held.update(dict.fromkeys(words, ()))
-        self.held.update((words[w], tuple(b)) for w, b in found.items())
-
-    def of(self, texts) -> Iterator[set[int]]:
-        if len(self.held) > KEPT_WORDS // 2:
-            self.older, self.held = self.held, {}
-        get, older = self.held.get, self.older.get
-        rows, new = [], set()
-        for text in texts:
-            words = list(words_in(text))
-            own = list(map(get, words))
-            if None in own:
-                for i in [i for i, held in enumerate(own) if held is None]:
-                    if (held := older(words[i])) is None:
-                        new.add(words[i])
-                    else:
-                        own[i] = self.held[words[i]] = held
-            rows.append((words, own))
+        owner, bucket = owner[hit], bucket[hit]
+        at = int(self.start[-1])
+        end = at + len(bucket)
+        if end > len(self.held):
+            self.held = np.concatenate((self.held[:at], np.zeros(2 * end - at, dtype=np.int32)))
+        self.held[at:end] = bucket[np.argsort(owner, kind="stable")]
+        first = len(self.number)
+        self.number.update(zip(words, range(first, first + len(words))))
+        self.start = np.concatenate((self.start, at + np.cumsum(np.bincount(owner, minlength=len(words)))))
+
+    def of(self, texts) -> Iterator[np.ndarray]:
+        """The different known buckets of each text, in no order."""
+        if len(self.number) > KEPT_WORDS:
+            self._forget()
+        rows = [list(words_in(text)) for text in texts]
+        number = self.number
+        new = {w for words in rows for w in words if w not in number}
         if new:
             self._learn(list(new))
-        for words, own in rows:
-            if None in own:
-                own = map(get, words)
-            out: set[int] = set()
-            for held in filter(None, own):
-                out.update(held)
-            yield out
+        start, held, last = self.start, self.held, self.last
+        for words in rows:
+            own = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            size = start[own + 1] - start[own]
+            ends = np.cumsum(size)
+            whole = int(ends[-1]) if len(own) else 0
+            count = np.arange(whole, dtype=np.int32)
+            found = held[np.repeat(start[own] - ends + size, size) + count]
+            last[found] = count  # of equal buckets one stays
+            yield found[last[found] == count]
 
 
 @dataclass(frozen=True)
@@ -111,13 +113,16 @@ class ToxicityModel:
 
     def score(self, text: Column) -> Column:
         """Probability of label 1 as a column; empty and NULL texts get the bias alone."""
-        bias, weights = self.bias, self.weights
+        bias = self.bias
+        whole = np.zeros(BUCKETS, dtype=np.int64)
+        if self.weights:
+            whole[list(self.weights)] = np.rint(np.array(list(self.weights.values())) / GRAIN)
 
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            features = _Features(weights)
+            features = _Features(whole != 0)
             for texts in batches:
-                odds = [bias + math.fsum(weights[g] for g in held) for held in features.of(texts)]
+                odds = [bias + int(whole[held].sum()) * GRAIN for held in features.of(texts)]
                 yield pd.Series(1 / (1 + np.exp(-np.clip(odds, -700, 700))), dtype="float64")
 
         return scored(text)
@@ -156,15 +161,48 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     )
 
 
-def fit(sample: DataFrame, features: int = FEATURES, regularisation: float = 1e-4) -> ToxicityModel:
-    """Fit on ``(text, label)`` rows.
+def minimised(slope: Callable[[np.ndarray], tuple[float, np.ndarray]], at: np.ndarray) -> np.ndarray:
+    """L-BFGS from ``at``. (``pyspark.ml`` scales each feature to unit variance inside, with which a
+    regression on very many rare features does not come near its optimum.)"""
+    value, down = slope(at)
+    first, moves = np.linalg.norm(down), []
+    for _ in range(ROUNDS):
+        if np.linalg.norm(down) <= NEAR * first:
+            break
+        way, kept = -down, []
+        for s, y in reversed(moves):
+            kept.append(s @ way / (s @ y))
+            way = way - kept[-1] * y
+        s, y = moves[-1] if moves else (way, way * first)
+        way = way * (s @ y) / (y @ y)
+        for (s, y), a in zip(moves, reversed(kept)):
+            way = way + (a - y @ way / (s @ y)) * s
+        step = 1.0
+        for _ in range(20):
+            new_value, new_down = slope(at + step * way)
+            if new_value <= value + 1e-4 * step * float(down @ way):
+                break
+            step /= 2
+        else:
+            break
+        moved = (step * way, new_down - down)
+        if moved[0] @ moved[1] > 0:
+            moves = [*moves[-9:], moved]
+        at, value, down = at + step * way, new_value, new_down
+    return at
+
+
+def fit(sample: DataFrame, regularisation: float = 1e-4) -> ToxicityModel:
+    """Fit on ``(text, label)`` rows. Equal texts count once, with the label of most of them (1 if
+    as many have either).
 
     Document counts per n-gram and label come from one pass; what reaches the driver is at most
-    one row per bucket. The n-grams that depend on the label get a log-count ratio, by which the
-    features of a logistic regression are scaled. One label only, or no rows: the bias is the
-    smoothed share of label 1 (a half without rows) and no n-gram counts.
+    one row per bucket. Every n-gram of the sample gets a log-count ratio, by which the features of
+    a logistic regression are scaled; none is left out beforehand. One label only, or no rows: the
+    bias is the smoothed share of label 1 (a half without rows) and no n-gram counts.
     """
-    sample = settle(sample.repartition(12))
+    folded = sample.groupBy("text").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+    sample = settle(folded.repartition(12))
     counted = (
         sample.mapInPandas(_counts, "bucket int, neg long, pos long")
         .groupBy("bucket")
@@ -179,38 +217,57 @@ def fit(sample: DataFrame, features: int = FEATURES, regularisation: float = 1e-
     neg, pos = counted["neg"].to_numpy(float), counted["pos"].to_numpy(float)
     if not neg_docs or not pos_docs:
         return ToxicityModel(prior)
-    total, held = neg_docs + pos_docs, neg + pos
-    expected = held * pos_docs / total
-    spread = expected * (1 - held / total) * neg_docs / total
-    chi2 = np.where(spread > 0, (pos - expected) ** 2 / np.maximum(spread, 1e-12), 0)
     ratio = np.log(((pos + 1) / (pos + 1).sum()) / ((neg + 1) / (neg + 1).sum()))
-    top = np.argsort(-chi2, kind="stable")[:features]
-    top = top[(chi2[top] >= MIN_CHI2) & (ratio[top] != 0)]
-    if not len(top):
+    used = np.flatnonzero(ratio)
+    if not len(used):
         return ToxicityModel(prior)
-    scale = {int(counted["bucket"].iloc[i]): float(ratio[i]) for i in top}
+    buckets, ratio = counted["bucket"].to_numpy()[used], ratio[used]
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<int>")
     def held_grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Features(scale)
+        known = np.zeros(BUCKETS, dtype=bool)
+        known[buckets] = True
+        features = _Features(known)
         for texts in batches:
-            yield pd.Series([[str(g) for g in held] for held in known.of(texts)], dtype=object)
-
-    terms = settle(sample.select("label", held_grams("text").alias("terms")).repartition(12))
-    vocabulary = [str(g) for g in scale]
-    counts = CountVectorizerModel.from_vocabulary(vocabulary, "terms", "held")
-    counts.setBinary(True)
-    scaling = ElementwiseProduct(
-        scalingVec=Vectors.dense(list(scale.values())), inputCol="held", outputCol="features"
-    )
-    regression = LogisticRegression(
-        regParam=regularisation, maxIter=60, standardization=False, labelCol="label"
-    )
-    fitted = regression.fit(scaling.transform(counts.transform(terms)))
-    weights = fitted.coefficients.toArray() * np.array(list(scale.values()))
-    return ToxicityModel(
-        float(fitted.intercept), {g: float(w) for g, w in zip(scale, weights) if w}
-    )
+            yield pd.Series([held for held in features.of(texts)], dtype=object)
+
+    rows = settle(sample.select("label", held_grams("text").alias("terms")))
+    scale = np.zeros(BUCKETS)
+    scale[buckets] = ratio
+
+    def slope(at: np.ndarray) -> tuple[float, np.ndarray]:
+        """The regularised loss and its gradient; each task sends the sums over its rows."""
+        bias, weights = at[-1], at[:-1] * scale
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            loss, grown = 0.0, np.zeros(BUCKETS + 1)
+            for batch in batches:
+                label = batch.column(0).to_numpy()
+                terms, ends = batch.column(1).flatten().to_numpy(), batch.column(1).offsets.to_numpy()
+                ends = ends - ends[0]
+                whole = np.concatenate(([0.0], np.cumsum(weights[terms])))
+                odds = bias + whole[ends[1:]] - whole[ends[:-1]]
+                loss += float((np.logaddexp(0, odds) - label * odds).sum())
+                off = 1 / (1 + np.exp(-np.clip(odds, -700, 700))) - label
+                grown[:-1] += np.bincount(terms, np.repeat(off, np.diff(ends)), BUCKETS)
+                grown[-1] += off.sum()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([loss]), pa.array([grown.tobytes()], pa.binary())], ["loss", "grown"]
+            )
+
+        loss, grown = 0.0, np.zeros(BUCKETS + 1)
+        for r in rows.mapInArrow(summed, "loss double, grown binary").toLocalIterator():
+            loss, grown = loss + r["loss"], grown + np.frombuffer(r["grown"])
+        grown[:-1] *= scale
+        loss, grown = loss / (neg_docs + pos_docs), grown / (neg_docs + pos_docs)
+        grown[:-1] += regularisation * at[:-1]
+        return loss + regularisation / 2 * float(at[:-1] @ at[:-1]), grown
+
+    start = np.zeros(BUCKETS + 1)
+    start[-1] = prior
+    fitted = minimised(slope, start)
+    weights = fitted[buckets] * ratio
+    return ToxicityModel(float(fitted[-1]), {int(g): float(w) for g, w in zip(buckets, weights) if w})
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -89,6 +89,28 @@ def test_toxicity_learns_and_keeps_every_row(spark):
     assert toxicity.score_toxicity(odd(spark).limit(0), model).count() == 0
 
 
+def test_toxicity_learns_beside_many_copies_of_a_long_text(spark):
+    """A third of the labelled rows is one clean text with thousands of n-grams."""
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(8))
+    plain, long = [word() for _ in range(200)], " ".join(word() for _ in range(4000))
+    toxic = ["zworm", "zqueak", "zvlyx", "zdrozz", "zhuxt", "zkyrt", "xsquv", "wrytz", "qwust", "vuxor"]
+    rows = [long] * 150
+    for i in range(400):
+        words = [r.choice(plain) for _ in range(30)]
+        if i % 10 < 3:
+            words.insert(r.randrange(30), toxic[i // 10 % 10])
+        rows.append(" ".join(words))
+    docs = table(spark, rows)
+    labels = spark.createDataFrame(
+        [(i, int(i >= 150 and (i - 150) % 10 < 3)) for i in range(450)], "doc_id long, toxic int"
+    )
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels))
+    got = {r["row"]["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, model).collect()}
+    right = sum(got[i] == ((i - 150) % 10 < 3) for i in range(450, 550))
+    assert right >= 95 and not got[0], right
+
+
 def test_toxicity_without_labels_or_with_one(spark):
     docs = odd(spark)
     none = toxicity.fit(toxicity.labelled_sample(docs, spark.createDataFrame([], "doc_id long, toxic int")))
