@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     bagminhash,
     brown,
+    byte_bpe,
     decontaminate,
     embedding_dedup,
+    fill_middle,
     packing,
+    phrases,
     pii,
     preference,
     token_counts,
@@ -34,6 +37,7 @@ RULES = (
 )
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(key: str, sql: str | None = None):
@@ -255,3 +259,122 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path(WORD_MODEL))
+
+_PHRASE_SQL = r"""
+WITH pieces AS (
+    SELECT lang, k, p, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (
+        SELECT lang, k, generate_subscripts(s, 1) AS p, unnest(s) AS piece
+        FROM (
+            SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS k,
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS s
+            FROM documents
+        )
+    )
+), placed AS (
+    SELECT lang, k, p, generate_subscripts(w, 1) AS i, unnest(w) AS a FROM pieces
+), told AS (
+    SELECT lang, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM placed
+    WINDOW o AS (PARTITION BY k, p ORDER BY i)
+), f AS MATERIALIZED (
+    SELECT lang, a AS phrase, 1 AS size, count(*) AS n FROM told GROUP BY ALL HAVING count(*) >= 10
+    UNION ALL
+    SELECT lang, a || ' ' || b, 2, count(*) FROM told WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+    UNION ALL
+    SELECT lang, a || ' ' || b || ' ' || c, 3, count(*) FROM told WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+    SELECT lang, phrase, size, n AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM f WHERE size > 1)
+), scored AS (
+    SELECT c.lang, c.phrase, c.size, a, x.n AS l, y.n AS r,
+        ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+    FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+    JOIN f y ON y.lang = c.lang AND y.phrase = c.tail
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, phrase, max(n) AS longer
+    FROM (
+        SELECT lang, n, array_to_string(w[1:2], ' ') AS phrase FROM (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size = 3)
+        UNION ALL
+        SELECT lang, n, array_to_string(w[2:3], ' ') FROM (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size = 3)
+    ) GROUP BY ALL
+), totals AS (
+    SELECT lang, count(*) AS n FROM placed GROUP BY lang
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+    s.phrase, a, l, r, t.n, score
+FROM scored s
+JOIN totals t ON t.lang = s.lang
+LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase AND s.size = 2
+WHERE i.longer IS NULL OR 100 * i.longer < 50 * a
+QUALIFY row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) <= 2000
+"""
+
+
+@query("op11_phrases", _PHRASE_SQL)
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    scored = phrases.score_phrases(*phrases.mine_phrases(docs))
+    ranked = phrases.rank_phrases(phrases.without_parts(scored), 2000)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+_FILL_SQL = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+        sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), draws AS (
+    SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM units
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+            THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM draws
+), parts AS (
+    SELECT *, array_to_string(u[1:i], '') AS prefix, array_to_string(u[i + 1:j], '') AS middle,
+        array_to_string(u[j + 1:], '') AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op12_fill_in_middle", _FILL_SQL)
+def filled_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_middle.fill_in_middle(docs)
+    hashed = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        hashed(F.col("output")).alias("output_sha256"),
+        hashed(fill_middle.restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+@query("op13_byte_bpe")
+def byte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(BYTE_RANKS)
+    coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["doc_id"])
+    return coded.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
