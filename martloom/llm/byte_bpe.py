@@ -1,20 +1,23 @@
 """Byte-level BPE over a whole corpus: every distinct word is encoded once, decoding is a join.
 
 1. Tasks cut texts into pre-tokens, block by block (a stretch of a task's documents). A document
-   becomes the numbers of its pre-tokens, by position, in its block's own word list; the word
-   lists leave as rows ``(block, number, word)``, one for each distinct word of a block.
-2. These rows are shuffled by word. All rows of a word lie in a row, so it is encoded once, and
-   its ids go back beside each block and number.
-3. Word lists with ids and number streams meet by block, and ids are put in place by position.
-
-What moves is a block's distinct words and the numbers, never the texts. A word is at most one
-row of a block, so the commonest word is no hot key.
+   becomes the numbers of its pre-tokens, by position, in its block's own word list. Numbers and
+   word lists are written to the shared folder, bucketed by block.
+2. The word lists are shuffled by word. All lists that hold a word meet in one task, which encodes
+   it once and sends its ids back beside each block and number.
+3. They join the number streams of their block, which lie there by bucket and are not shuffled,
+   and ids are put in place by position.
+
+What moves is a block's distinct words, never the texts. A word stands in a block's list once, so
+the commonest word is no hot key. Lists travel as packed rows, one for each block and word bucket.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import uuid
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -22,14 +25,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import tiktoken
-import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from martloom.session import settle
+from martloom.llm.packed import pack_ints, pack_words, unpack_ints, unpack_words
+from martloom.session import shared_dir
 
 BLOCK_CHARS = 32_000_000  # text of a block, but for its last document
 STREAM_CHARS = 2_000_000  # text of one stream of numbers, but for its last document
@@ -50,88 +53,83 @@ class _Numbers(dict):
         return number
 
 
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^32 in small space: their lowest bytes, then the next ones, compressed."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
-    return np.ascontiguousarray(data.reshape(4, -1).T).view("<u4").ravel()
-
-
-def _cut(pattern: str, block_chars: int, stream_chars: int, out: pa.Schema):
-    """Batches of ``(row, text)`` to the blocks' word rows (kind 0) and number streams (kind 1)."""
+def _cut(pattern: str, buckets: int, block_chars: int, stream_chars: int, out: pa.Schema):
+    """Batches of ``(row, text)`` to the blocks' word lists (kind 0, a row for each bucket of
+    words) and number streams (kind 1)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         findall = regex.compile(pattern).findall
         block = TaskContext.get().partitionId() << 32
         numbers, chars = _Numbers(), 0
 
-        def words() -> pa.RecordBatch:
-            return _batch(out, len(numbers), block=block, kind=0, number=range(len(numbers)), word=list(numbers))
-
-        def stream(rows: pa.Array, found: list, sizes: list[int]) -> pa.RecordBatch:
-            flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
-            return _batch(
-                out, 1, block=block, kind=1, sizes=[sizes], stream=[pack_numbers(flat)],
-                rows=pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-            )
+        def words() -> Iterator[pa.RecordBatch]:
+            own = [w.encode() for w in numbers]
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in own), dtype=np.int64, count=len(own))
+            order = np.argsort(bucket, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                body, sizes = pack_words([own[i] for i in part.tolist()])
+                yield _batch(
+                    out, block=block, kind=0, bucket=int(bucket[part[0]]),
+                    numbers=pack_ints(np.diff(part, prepend=0)), body=body, sizes=sizes,
+                )
+
+        def stream(rows: pa.Array, found: list[np.ndarray]) -> pa.RecordBatch:
+            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+            sizes = pack_ints(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+            listed = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+            return _batch(out, block=block, kind=1, numbers=pack_ints(flat), sizes=sizes, rows=listed)
 
         for batch in batches:
-            rows, begin, held = batch.column(0), 0, 0
-            found, sizes = [], []
+            rows, begin, held, found = batch.column(0), 0, 0, []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                own = list(map(numbers.__getitem__, findall(text)))
-                found.append(np.array(own, dtype=np.uint32))
-                sizes.append(len(own))
+                found.append(np.array(list(map(numbers.__getitem__, findall(text))), dtype=np.int64))
                 held, chars = held + len(text), chars + len(text)
                 if held >= stream_chars or chars >= block_chars:
-                    yield stream(rows.slice(begin, i + 1 - begin), found, sizes)
-                    begin, held, found, sizes = i + 1, 0, [], []
+                    yield stream(rows.slice(begin, i + 1 - begin), found)
+                    begin, held, found = i + 1, 0, []
                 if chars >= block_chars:
-                    yield words()
+                    yield from words()
                     numbers, chars, block = _Numbers(), 0, block + 1
-            if sizes:
-                yield stream(rows.slice(begin), found, sizes)
+            if found:
+                yield stream(rows.slice(begin), found)
         if numbers:
-            yield words()
+            yield from words()
 
     return cut
 
 
-def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
-    """A batch of ``n`` rows; a single number stands for all of them, a name left out is NULL."""
+def _batch(schema: pa.Schema, **values) -> pa.RecordBatch:
+    """A batch of one row; a name left out is NULL."""
     arrays = []
     for field in schema:
-        given = columns.get(field.name)
-        if given is None:
-            arrays.append(pa.nulls(n, field.type))
-        elif isinstance(given, int):
-            arrays.append(pa.array(np.full(n, given), field.type))
-        else:
-            given = given if isinstance(given, pa.Array) else pa.array(given, field.type)
-            arrays.append(given.cast(field.type))
+        value = values.get(field.name)
+        value = value if isinstance(value, pa.Array) else pa.array([value], field.type)
+        arrays.append(value.cast(field.type))
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def _encode_words(path: str, pattern: str):
-    """Sorted word rows to ids; a word that goes on in the next batch is not encoded again."""
+    """Word lists, bucket by bucket, to ids; a bucket's words are remembered until the next."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
         piece = coder._encode_single_piece
-        last, ids = None, b""
+        now, known = None, {}
         for batch in batches:
-            coded = batch.column(2).dictionary_encode()
-            own = []
-            for word in coded.dictionary.to_pylist():
-                if word != last:
-                    last, ids = word, np.array(piece(word), dtype="<u4").tobytes()
-                own.append(ids)
-            found = pa.array(own, pa.binary()).take(coded.indices)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["block", "number", "ids"])
+            for row in batch.to_pylist():
+                if row["bucket"] != now:
+                    now, known = row["bucket"], {}
+                own = []
+                for word in unpack_words(row["body"], row["sizes"]):
+                    if (ids := known.get(word)) is None:
+                        ids = known[word] = piece(word)
+                    own.append(ids)
+                flat = np.array([i for ids in own for i in ids], dtype=np.int64)
+                sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x]) for x in (row["block"], row["numbers"], pack_ints(flat), pack_ints(sizes))],
+                    ["block", "numbers", "ids", "sizes"],
+                )
 
     return encode
 
@@ -139,17 +137,12 @@ def _encode_words(path: str, pattern: str):
 class _WordIds:
     """The ids of a block's words, by number."""
 
-    def __init__(self, numbers: list[np.ndarray], ids: list[pa.Array]):
-        number = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        data, sizes = [], []
-        for part in ids:
-            bounds = _bounds(part)
-            data.append(_values(part, bounds))
-            sizes.append(np.diff(bounds) // 4)
-        self.flat = np.concatenate(data) if data else np.zeros(0, "<u4")
-        size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        self.start = np.zeros(len(number), np.int64)
-        self.size = np.zeros(len(number), np.int64)
+    def __init__(self, lists: list[dict]):
+        number = [np.cumsum(unpack_ints(r["numbers"])) for r in lists]
+        size = [unpack_ints(r["sizes"]) for r in lists]
+        self.flat = np.concatenate([unpack_ints(r["ids"]).astype("<u4") for r in lists] or [np.zeros(0, "<u4")])
+        number, size = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in (number, size))
+        self.start, self.size = np.zeros((2, len(number)), np.int64)
         self.start[number] = np.cumsum(size) - size
         self.size[number] = size
 
@@ -178,39 +171,21 @@ def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def _assemble(out: pa.Schema):
-    """Each block's words, then its streams, to documents with their ids."""
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, numbers, ids, table = None, [], [], None
-        for batch in batches:
-            blocks = batch.column(0).to_numpy(zero_copy_only=False)
-            kinds = batch.column(1).to_numpy(zero_copy_only=False)
-            key = np.stack([blocks, kinds])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), len(blocks)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if blocks[a] != now:
-                    now, numbers, ids, table = blocks[a], [], [], None
-                if kinds[a] == 0:
-                    numbers.append(batch.column(2).slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64))
-                    ids.append(batch.column(3).slice(a, b - a))
-                    continue
-                if table is None:
-                    table = _WordIds(numbers, ids)
-                    numbers, ids = [], []
-                for i in range(a, b):
-                    flat, upto = table.ids(unpack_numbers(batch.column(6)[i].as_py()))
-                    words = np.concatenate(([0], np.cumsum(np.array(batch.column(5)[i].as_py(), dtype=np.int64))))
-                    ends = upto[words]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(4).slice(i, 1).flatten(),
-                            pa.array(np.diff(ends)),
-                            _binary(flat, 4 * ends),
-                        ],
-                        schema=out,
-                    )
+    """A block's number streams and its words' ids to documents with their ids."""
+
+    def assemble(streams: pa.Table, lists: pa.Table) -> pa.Table:
+        table = _WordIds(lists.to_pylist())
+        made = []
+        for batch in streams.to_batches():
+            packed, sizes = batch.column("numbers").to_pylist(), batch.column("sizes").to_pylist()
+            for i in range(batch.num_rows):
+                flat, upto = table.ids(unpack_ints(packed[i]))
+                ends = upto[np.concatenate(([0], np.cumsum(unpack_ints(sizes[i]))))]
+                rows = batch.column("rows").slice(i, 1).flatten()
+                made.append(
+                    pa.RecordBatch.from_arrays([rows, pa.array(np.diff(ends)), _binary(flat, 4 * ends)], schema=out)
+                )
+        return pa.Table.from_batches(made, schema=out)
 
     return assemble
 
@@ -228,8 +203,9 @@ def encode(
 
     Each match of ``pattern`` is encoded by the ranks in ``path`` by itself, without special
     tokens. A NULL text counts as empty and has no ids; repeated rows and ids stand as they are.
-    A block's word list and one document are what a task must hold.
+    A task holds one block: its word list, numbers and ids, or one document if that is longer.
     """
+    spark = docs.sparkSession
     columns = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     told = docs.select(F.struct(*columns).alias("row"), text.alias("text"))
@@ -238,40 +214,36 @@ def encode(
         [
             T.StructField("block", T.LongType()),
             T.StructField("kind", T.IntegerType()),
-            T.StructField("number", T.LongType()),
-            T.StructField("word", T.StringType()),
+            T.StructField("bucket", T.LongType()),
+            T.StructField("numbers", T.BinaryType()),
+            T.StructField("body", T.BinaryType()),
+            T.StructField("sizes", T.BinaryType()),
             T.StructField("rows", T.ArrayType(row)),
-            T.StructField("sizes", T.ArrayType(T.IntegerType())),
-            T.StructField("stream", T.BinaryType()),
         ]
     )
-    parts = settle(told.mapInArrow(_cut(pattern, block_chars, stream_chars, _arrow(cut)), cut))
-    words = parts.where("kind = 0").select("block", "number", "word")
-    coded = (
-        words.repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(_encode_words(path, pattern), "block long, number long, ids binary")
-    )
-    none = lambda c: F.lit(None).cast(parts.schema[c].dataType).alias(c)
-    both = coded.select(
-        "block", F.lit(0).alias("kind"), "number", "ids", none("rows"), none("sizes"), none("stream")
-    ).unionByName(
-        parts.where("kind = 1").select(
-            "block", "kind", "number", F.lit(None).cast("binary").alias("ids"), "rows", "sizes", "stream"
-        )
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = told.mapInArrow(_cut(pattern, 2 * partitions, block_chars, stream_chars, to_arrow_schema(cut)), cut)
+    parts = _by_block(spark, parts, partitions)
+    lists = parts.where("kind = 0").select("block", "bucket", "numbers", "body", "sizes")
+    lists = (
+        lists.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_encode_words(path, pattern), "block long, numbers binary, ids binary, sizes binary")
     )
     out = T.StructType(
         [T.StructField("row", row), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     )
-    return (
-        both.repartition("block")
-        .sortWithinPartitions("block", "kind")
-        .mapInArrow(_assemble(_arrow(out)), out)
-    )
+    streams = parts.where("kind = 1").select("block", "numbers", "sizes", "rows")
+    together = streams.groupBy("block").cogroup(lists.groupBy("block"))
+    return together.applyInArrow(_assemble(to_arrow_schema(out)), out)
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    return to_arrow_schema(schema)
+def _by_block(spark: SparkSession, parts: DataFrame, buckets: int) -> DataFrame:
+    """``parts`` in the shared folder, bucketed by block, so that later groupings by block find
+    them in place. A task has few blocks and so writes few files."""
+    name = f"blocks_{uuid.uuid4().hex}"
+    parts.write.bucketBy(buckets, "block").option("path", shared_dir(spark)).saveAsTable(name)
+    return spark.table(name)
 
 
 def decode(ids: Column, path: str) -> Column:

@@ -12,6 +12,8 @@ ones; what stands outside the list is counted by its text, so no phrase is lost.
 
 from __future__ import annotations
 
+import sys
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,17 +21,19 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import utf8
+from martloom.llm.packed import pack_ints, unpack_ints
 from martloom.session import settle
 
 LISTED = 1 << 19  # words, and phrases of a length, that have a number
 SIDE, GRID = 256, 8  # a tile's side, and how many tiles a side of the dense corner has
 DENSE = SIDE * SIDE // 16  # pairs at once that make a tile dense
-HELD = 1 << 22  # pairs, or different texts, that a task holds before it counts or emits them
+HELD = 1 << 20  # pairs that a task holds before it counts them; it holds twice as many different ones
 UNKNOWN_LANG = "und"
 
 _BREAK = b"."
@@ -39,8 +43,12 @@ _PLAIN = bytes(
 )
 NOTHING, UNLISTED = -1, -2  # no phrase that could be frequent; one that has no number
 
-_COUNTED = "first long, last long, lang string, phrase binary, n long"
-_COUNTED_ARROW = pa.schema(
+# Counts on their way: the sorted pairs (first << 32 | last), or the texts of a language, of one
+# task and one bucket, packed into a row.
+_RUNS = "bucket long, lang string, body binary, counts binary"
+_RUNS_ARROW = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("body", pa.binary()), ("counts", pa.binary())])
+_SUMS = "first long, last long, lang string, phrase binary, n long"
+_SUMS_ARROW = pa.schema(
     [("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())]
 )
 
@@ -166,10 +174,11 @@ class Tiles:
         self.kept += len(self.sparse[-1][0])
 
     def full(self) -> bool:
-        return self.kept >= HELD
+        return self.kept >= 2 * HELD
 
-    def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``first``, ``last`` and how often, of all pairs so far; begins anew."""
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """All different pairs so far, sorted, as ``first << 32 | last``, and how often each came;
+        begins anew."""
         self.count()
         keys, counts = [], []
         for t, cells in self.dense.items():
@@ -180,14 +189,18 @@ class Tiles:
         keys += [k for k, _ in self.sparse]
         counts += [c for _, c in self.sparse]
         self.dense, self.sparse, self.kept = {}, [], 0
-        if not sum(map(len, keys)):
-            return (np.zeros(0, np.int64),) * 3
-        key, count = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(key)
-        key, count = key[order], count[order]
-        begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        key, count = key[begin], np.add.reduceat(count, begin)
-        return key >> 32, key & 0xFFFFFFFF, count
+        return add_up(keys, counts)
+
+
+def add_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts added up by key, the keys sorted."""
+    if not sum(map(len, keys)):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[begin], np.add.reduceat(count, begin)
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
@@ -224,15 +237,9 @@ def _word_rows(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _counted(first=None, last=None, lang=None, phrase=None, n=()) -> pa.RecordBatch:
-    given = dict(first=first, last=last, lang=lang, phrase=phrase, n=n)
-    arrays = [
-        pa.nulls(len(n), f.type) if given[f.name] is None else pa.array(given[f.name], f.type) for f in _COUNTED_ARROW
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=_COUNTED_ARROW)
-
+def _count_phrases(shared: Broadcast, size: int, buckets: int):
+    """Each task's counts of the phrases of ``size`` words, by bucket."""
 
-def _count_phrases(shared: Broadcast, size: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listing: Listing = shared.value
         tiles, texts = Tiles(), {}
@@ -249,51 +256,89 @@ def _count_phrases(shared: Broadcast, size: int):
                     own = texts.setdefault(lang, Counter())
                     own.update([b" ".join(tokens[i : i + size]) for i in at])
             if tiles.full():
-                yield from _pair_rows(tiles)
+                yield from _pair_runs(tiles, buckets)
             if sum(map(len, texts.values())) >= HELD // 4:
-                yield from _text_rows(texts)
+                yield from _text_runs(texts, buckets)
                 texts = {}
-        yield from _pair_rows(tiles)
-        yield from _text_rows(texts)
+        yield from _pair_runs(tiles, buckets)
+        yield from _text_runs(texts, buckets)
 
     return count
 
 
-def _pair_rows(tiles: Tiles) -> Iterator[pa.RecordBatch]:
-    first, last, n = tiles.counted()
-    for i in range(0, len(n), 1 << 17):
-        j = i + (1 << 17)
-        yield _counted(first=first[i:j], last=last[i:j], n=n[i:j])
+def _pair_runs(tiles: Tiles, buckets: int) -> Iterator[pa.RecordBatch]:
+    key, n = tiles.counted()
+    bucket = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
+    rows = []
+    for part in _parts(bucket.astype(np.int64)):
+        rows.append((int(bucket[part[0]]), None, pack_ints(np.diff(key[part], prepend=0)), pack_ints(n[part])))
+    yield _runs(rows)
 
 
-def _text_rows(texts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+def _text_runs(texts: dict[str, Counter], buckets: int) -> Iterator[pa.RecordBatch]:
+    rows = []
     for lang, own in texts.items():
-        phrases, n = list(own), list(own.values())
-        for i in range(0, len(n), 1 << 17):
-            part = phrases[i : i + (1 << 17)]
-            yield _counted(lang=[lang] * len(part), phrase=part, n=n[i : i + (1 << 17)])
-
-
-def _spell(shared: Broadcast, size: int):
-    """Numbered phrases get their language and text."""
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases, n = list(own), np.array(list(own.values()), dtype=np.int64)
+        bucket = np.fromiter((zlib.crc32(p) % buckets for p in phrases), dtype=np.int64, count=len(phrases))
+        for part in _parts(bucket):
+            body = zstandard.ZstdCompressor(level=1).compress(_BREAK.join([phrases[i] for i in part.tolist()]))
+            rows.append((int(bucket[part[0]]), lang, body, pack_ints(n[part])))
+    yield _runs(rows)
+
+
+def _parts(bucket: np.ndarray) -> list[np.ndarray]:
+    """Which rows fall into each bucket, in their order."""
+    order = np.argsort(bucket, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+
+
+def _runs(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUNS_ARROW)], schema=_RUNS_ARROW)
+
+
+def _sum_phrases(shared: Broadcast, size: int, least: int):
+    """Sums of each bucket's runs from ``least`` up, with their texts. Holds one bucket's
+    different phrases."""
+
+    def close(keys, counts, texts, listing: Listing) -> pa.RecordBatch:
+        key, n = add_up(keys, counts)
+        key, n = key[n >= least], n[n >= least]
+        first, last = key >> 32, key & 0xFFFFFFFF
+        lang, phrase = listing.spell(first, last, size)
+        first, last, n = first.tolist(), last.tolist(), n.tolist()
+        for own_lang, own in texts.items():
+            for text, m in own.items():
+                if m >= least:
+                    first.append(None), last.append(None), lang.append(own_lang), phrase.append(text), n.append(m)
+        columns = (first, last, lang, phrase, n)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SUMS_ARROW)], schema=_SUMS_ARROW)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listing: Listing = shared.value
+        now, keys, counts, texts, held = None, [], [], {}, 0
         for batch in batches:
-            first = batch.column(0)
-            listed = np.asarray(first.is_valid().to_numpy(zero_copy_only=False))
-            lang, phrase = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            at = np.flatnonzero(listed)
-            a = first.filter(pa.array(listed)).to_numpy(zero_copy_only=False)
-            b = batch.column(1).filter(pa.array(listed)).to_numpy(zero_copy_only=False)
-            for i, own_lang, own in zip(at.tolist(), *listing.spell(a, b, size)):
-                lang[i], phrase[i] = own_lang, own
-            yield pa.RecordBatch.from_arrays(
-                [first, batch.column(1), pa.array(lang, pa.string()), pa.array(phrase, pa.binary()), batch.column(4)],
-                schema=_COUNTED_ARROW,
-            )
-
-    return spell
+            for bucket, lang, body, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if bucket != now:
+                    if now is not None:
+                        yield close(keys, counts, texts, listing)
+                    now, keys, counts, texts, held = bucket, [], [], {}, 0
+                n = unpack_ints(packed)
+                if lang is None:
+                    keys.append(np.cumsum(unpack_ints(body)))
+                    counts.append(n)
+                    held += len(n)
+                    if held >= 2 * HELD:
+                        key, n = add_up(keys, counts)
+                        keys, counts, held = [key], [n], 0
+                else:
+                    own = texts.setdefault(lang, {})
+                    for text, m in zip(zstandard.ZstdDecompressor().decompress(body).split(_BREAK), n.tolist()):
+                        own[text] = own.get(text, 0) + m
+        if now is not None:
+            yield close(keys, counts, texts, listing)
+
+    return add
 
 
 def _most_frequent(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:
@@ -335,7 +380,7 @@ def mine_phrases(
     top, complete = _most_frequent(words, listed)
     rows = top.toArrow()
     order = np.lexsort((np.arange(len(rows)), -rows["n"].to_numpy()))
-    listing.langs = rows["lang"].take(pa.array(order)).to_pylist()
+    listing.langs = list(map(sys.intern, rows["lang"].take(pa.array(order)).to_pylist()))
     listing.texts = rows["word"].take(pa.array(order)).to_pylist()
     listing.complete.append(complete)
     for i, (lang, word) in enumerate(zip(listing.langs, listing.texts)):
@@ -344,12 +389,12 @@ def mine_phrases(
         own[_BREAK] = NOTHING
 
     levels = []
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     for size in range(2, most_words + 1):
         shared = spark.sparkContext.broadcast(listing)
-        found = told.mapInArrow(_count_phrases(shared, size), _COUNTED)
-        found = found.groupBy("first", "last", "lang", "phrase").agg(F.sum("n").alias("n"))
-        found = found.where(F.col("n") >= least).mapInArrow(_spell(shared, size), _COUNTED)
-        level = settle(found)
+        runs = told.mapInArrow(_count_phrases(shared, size, buckets), _RUNS)
+        runs = runs.repartition("bucket").sortWithinPartitions("bucket")
+        level = settle(runs.mapInArrow(_sum_phrases(shared, size, least), _SUMS))
         levels.append(level.select("lang", _text("phrase").alias("phrase"), F.lit(size).alias("size"), "n"))
         if size < most_words:
             top, complete = _most_frequent(level.where("first IS NOT NULL"), listed)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm import byte_bpe, fill_middle, phrases, queries
 from martloom.llm.common import ready
+from martloom.llm.packed import pack_ints, pack_words, unpack_ints, unpack_words
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", "   ", "\n", "x", "x" * 5000, " a  b ", "Größe, né. ,. a.)  b!! don't", "<P>x", "a<S", "𝄞 𝄞　é́ \x0b z", "'s 's it's ''s", "1 12\t 3  4\r\n5", "<|endoftext|> İ̧\u0000\x1c"]
@@ -117,7 +118,7 @@ def test_dense_and_sparse_tiles_count_alike(monkeypatch):
     for i in range(0, 40000, 700):
         tiles.add(first[i : i + 700], last[i : i + 700])
     assert tiles.dense
-    got = {(a, b): n for a, b, n in zip(*(x.tolist() for x in tiles.counted()))}
+    got = {(k >> 32, k & 0xFFFFFFFF): n for k, n in zip(*(x.tolist() for x in tiles.counted()))}
     assert got == collections.Counter(zip(first.tolist(), last.tolist()))
     assert len(tiles.counted()[0]) == 0
 
@@ -224,26 +225,43 @@ def test_bytes_of_nothing(spark):
 
 
 def test_each_word_is_encoded_once():
-    """The worker that holds a word's rows encodes it for the first of them only."""
+    """The worker that holds a bucket's lists encodes a word for the first of them only."""
     calls = []
 
     class Coder:
         def _encode_single_piece(self, word):
             calls.append(word)
-            return [len(word)]
+            return [len(word)] * 2
 
-    rows = [(b, n, w) for n, w in enumerate(("a", "bb", "ccc")) for b in range(5)]
-    batches = [
-        pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["block", "number", "word"])
-        for part in (rows[:3], rows[3:8], rows[8:])
-    ]
+    lists = [(b, k, [w for w in (b"a", b"bb", b"ccc", b"dd") if (len(w) + w[0]) % 2 == k]) for k in (0, 1) for b in range(5)]
+    rows = []
+    for block, bucket, words in lists:
+        body, sizes = pack_words(words)
+        rows.append((block, bucket, pack_ints(np.arange(len(words))), body, sizes))
+    names = ["block", "bucket", "numbers", "body", "sizes"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names) for part in (rows[:3], rows[3:8], rows[8:])]
     original, tiktoken.Encoding = tiktoken.Encoding, lambda *a, **k: Coder()
     try:
         out = [r for b in byte_bpe._encode_words(RANKS, ".")(iter(batches)) for r in b.to_pylist()]
     finally:
         tiktoken.Encoding = original
-    assert calls == ["a", "bb", "ccc"]
-    assert [(r["block"], r["number"], int.from_bytes(r["ids"], "little")) for r in out] == [(b, n, len(w)) for b, n, w in rows]
+    assert sorted(calls) == [b"a", b"bb", b"ccc", b"dd"]
+    assert [(r["block"], unpack_ints(r["ids"]).tolist()) for r in out] == [(b, [len(w) for w in ws for _ in "xx"]) for b, _, ws in lists]
+
+
+@pytest.mark.parametrize("values", [[], [0], [255, 256, 0], [1 << 40, 3], [(1 << 63) - 1, 0]])
+def test_packed_numbers_and_words(values):
+    assert unpack_ints(pack_ints(np.array(values, dtype=np.int64))).tolist() == values
+    words = [b"x" * (v % 50) for v in values]
+    assert unpack_words(*pack_words(words)) == words
+
+
+def test_streams_are_not_shuffled(spark):
+    ready(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    coded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2, plan
 
 
 def test_byte_query_equals_the_library(spark):
