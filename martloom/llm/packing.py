@@ -34,7 +34,8 @@ KEPT_WORDS = 1 << 20  # words whose ids a worker remembers
 JOINED = 2000  # unknown words tokenized by one call
 NODES = 2_000  # steps of one search for fillings
 FILLINGS = 64  # fillings considered around one document
-SEARCHES = 8  # completions tried in all before the best so far is taken
+SEARCHES = 8  # greedy completions before the depth-first search
+STEPS = 3_000  # fillings searched for in the depth-first search
 
 # A full stop or comma between a letter or digit and white space never shares a token with them.
 # (Letters here: ASCII and U+00C0 to U+00FF.)
@@ -52,14 +53,17 @@ _KIND = bytes(
 )
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+# ASCII and U+00C0 to U+00FF: their normal form is themselves, whatever stands beside them.
+_PLAIN = bytes([*range(0xC0), 0xC3])
 
 
 class WordTokens:
     """Ids of whole texts by a ``tokenizers`` file that drops white space and marks word ends.
 
     No token spans white space, so a text's ids are those of its white-space-free stretches,
-    which are remembered up to a bound. Only ASCII letters are lower-cased beforehand, which the
-    tokenizer does anyway. Texts that hold a special token's text go to the tokenizer whole.
+    which are remembered up to a bound. In stretches of ASCII and U+00C0 to U+00FF, ASCII letters
+    are lower-cased beforehand, which the tokenizer does anyway; all others go to it as they
+    stand. So do whole texts that hold a special token's text.
     """
 
     def __init__(self, path: str):
@@ -107,7 +111,7 @@ class WordTokens:
         words, tails, other, parts = set(), set(), [], []
         for s in stretches:
             core = s.rstrip(_MARKS)
-            if not core or len(s) > 64 or not (core.isalpha() or core.decode().isalpha()):
+            if not core or len(s) > 64 or s.translate(None, _PLAIN) or not (core.isalpha() or core.decode().isalpha()):
                 other.append(s)
             elif len(core) < len(s):
                 tail = s[len(core) :]
@@ -136,7 +140,10 @@ class WordTokens:
             if b"<|" in low and any(s in low for s in _SPECIAL):
                 out.append(self.plain(text))
                 continue
-            parts = marks_apart(low).split()
+            if low.translate(None, _PLAIN):
+                parts = [p if p.translate(None, _PLAIN) else p.translate(ASCII_LOWER) for p in text.split()]
+            else:
+                parts = marks_apart(low).split()
             ids = list(map(get, parts))
             if None in ids:
                 for i in [i for i, own in enumerate(ids) if own is None]:
@@ -292,13 +299,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     ]
 
 
-def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[Filling, int]]:
+def fillings(
+    sizes: list[int], counts: dict[int, int], room: int, every: bool = False
+) -> list[tuple[Filling, int]]:
     """Undominated ways to fill ``room`` around the longest piece, least waste first.
 
     A filling is dominated when a left-out piece still fits into its waste, or could take the
     place of a shorter one without overflow; those are not listed. Longest pieces come first.
-    The search ends with a filling without waste, which nothing beats, or after its bound of
-    steps and fillings.
+    The search ends with a filling without waste (unless ``every`` one is wanted), or after
+    ``NODES`` steps or ``FILLINGS`` fillings.
     """
     found: list[tuple[int, Filling]] = []
     left = [NODES]
@@ -324,7 +333,7 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[
             return
         size = sizes[at]
         for k in range(min(counts[size], free // size), -1, -1):
-            if left[0] < 0 or len(found) >= FILLINGS or (found and not found[-1][0]):
+            if left[0] < 0 or len(found) >= FILLINGS or (found and not found[-1][0] and not every):
                 return
             take(at + 1, free - k * size, (*chosen, (size, k)) if k else chosen)
 
@@ -339,14 +348,18 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[
     return sorted(((f, w) for w, f in found), key=lambda x: x[1])
 
 
-def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
+def complete_bins(
+    counts: dict[int, int], capacity: int = CAPACITY, searches: int = SEARCHES, steps: int = STEPS
+) -> list[tuple[Filling, int]]:
     """Fillings and how many sequences use each, covering ``counts`` exactly.
 
     Best-fit decreasing gives the incumbent. Bin completion then fills sequences around the
     longest piece left, each filling repeated as long as its pieces last, the way of least waste
     first; when the waste so far exceeds what the incumbent allows, the search goes back to the
-    step that wasted most and takes its next filling, for a bounded number of tries. It stops
-    early at the lower bound.
+    step that wasted most and takes its next filling, ``searches`` times. Then it goes depth
+    first through all fillings and their repeats, pruned by the waste, for ``steps`` searches for
+    fillings. It stops at the lower bound; with few pieces it ends with the fewest sequences
+    proven, with many it may end above them.
     """
     counts = {n: c for n, c in counts.items() if c}
     incumbent = best_fit(counts, capacity)
@@ -354,7 +367,7 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     bound = lower_bound(counts, capacity)
     total = sum(n * c for n, c in counts.items())
     other: dict[int, int] = {}  # step -> which of its fillings is taken
-    for _ in range(SEARCHES):
+    for _ in range(searches):
         if used <= bound:
             break
         left, plan, waste, worst = dict(counts), [], 0, (0, -1)
@@ -387,6 +400,62 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
         other = {step: way for step, way in other.items() if step < worst[1]} | {
             worst[1]: other.get(worst[1], 0) + 1
         }
+    return _depth_first(counts, capacity, incumbent, bound, steps)
+
+
+def _depth_first(
+    counts: dict[int, int], capacity: int, incumbent: list[tuple[Filling, int]], bound: int, steps: int
+) -> list[tuple[Filling, int]]:
+    """A plan with fewer sequences than ``incumbent``, if ``steps`` lead to one."""
+    used = sum(n for _, n in incumbent)
+    total = sum(n * c for n, c in counts.items())
+    left, plan, waste = dict(counts), [], 0
+
+    def choices() -> list[tuple[Filling, int, int]]:
+        """Fillings around the longest piece left, with repeats and waste; the best one last."""
+        sizes = [n for n in sorted(left, reverse=True) if left[n]]
+        first = sizes[0]
+        left[first] -= 1
+        rest = [n for n in sizes if left[n] and n <= capacity - first]
+        ways = fillings(rest, left, capacity - first, every=True)
+        left[first] += 1
+        out = []
+        for chosen, free in sorted(ways, key=lambda w: w[1]):
+            filling = Counter(dict(chosen)) + Counter({first: 1})
+            most = min(left[n] // k for n, k in filling.items())
+            for times in dict.fromkeys((most, 1)):
+                out.append((tuple(sorted(filling.items(), reverse=True)), times, free * times))
+        return out[::-1]
+
+    if used <= bound or steps < 1:
+        return incumbent
+    open_choices = [choices()]
+    while open_choices:
+        if len(plan) == len(open_choices):  # the choice taken here has been followed: undo it
+            filling, times, lost = plan.pop()
+            waste -= lost
+            for n, k in filling:
+                left[n] += k * times
+        if not open_choices[-1]:
+            open_choices.pop()
+            continue
+        filling, times, lost = open_choices[-1].pop()
+        plan.append((filling, times, lost))
+        waste += lost
+        for n, k in filling:
+            left[n] -= k * times
+        if waste > (used - 1) * capacity - total:
+            continue
+        if not any(left.values()):
+            incumbent = [(filling, times) for filling, times, _ in plan]
+            used = sum(n for _, n in incumbent)
+            if used <= bound:
+                break
+            continue
+        steps -= 1
+        if steps < 1:
+            break
+        open_choices.append(choices())
     return incumbent
 
 
