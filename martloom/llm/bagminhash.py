@@ -12,12 +12,14 @@ length.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import in_runs, runs, spread_tiles, utf8, words_of
@@ -28,12 +30,8 @@ from martloom.session import settle
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 25
-ROWS = 5  # at similarity 0.8 a pair is missed in all bands with probability 5e-5
-SIGNATURE = BANDS * ROWS
-# Pairs whose sketches agree in fewer components are not looked up: at similarity 0.8 that is
-# five standard deviations below the mean, and loses a pair with probability 3e-7.
-LEAST_AGREEING = int(SIGNATURE * THRESHOLD - 5 * (SIGNATURE * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+MISSED = 5e-5  # probability that a pair at the threshold shares no band
+COMPONENTS = 128  # of a signature, at most
 SKETCH_TILE = 512  # documents on a side of a tile in which sketches are compared
 TILE = 128  # documents on a side of a tile in which bags are compared
 KEPT_WORDS = 500_000
@@ -53,6 +51,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@dataclass(frozen=True)
+class Plan:
+    """Bands of a signature for a threshold: as many rows each as ``COMPONENTS`` allows while a
+    pair at the threshold is missed in all bands with probability ``MISSED`` at most."""
+
+    threshold: float
+
+    def __post_init__(self):
+        if not 0.2 <= self.threshold <= 1:
+            raise ValueError(f"the threshold must be from 0.2 to 1: {self.threshold}")
+
+    @property
+    def rows(self) -> int:
+        fitting = [r for r in range(1, 9) if r * self._bands(r) <= COMPONENTS]
+        return max(fitting)
+
+    @property
+    def bands(self) -> int:
+        return self._bands(self.rows)
+
+    @property
+    def size(self) -> int:
+        return self.bands * self.rows
+
+    @property
+    def least_agreeing(self) -> int:
+        """Pairs whose sketches agree in fewer components are not looked up: at the threshold that
+        is five standard deviations below the mean, and loses a pair with probability 3e-7."""
+        t = self.threshold
+        return int(self.size * t - 5 * (self.size * t * (1 - t)) ** 0.5)
+
+    def _bands(self, rows: int) -> int:
+        agree = self.threshold**rows
+        return 1 if agree == 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         out = xxhash.xxh64_intdigest(word)
@@ -77,7 +111,7 @@ def bag(words: list[bytes], hashes: WordHashes, size: int = SHINGLE) -> tuple[np
     return np.unique(_mix(rolled), return_counts=True)
 
 
-def signatures(bags: list[tuple[np.ndarray, np.ndarray]], length: int = SIGNATURE) -> np.ndarray:
+def signatures(bags: list[tuple[np.ndarray, np.ndarray]], length: int) -> np.ndarray:
     """BagMinHash components (times), one row per bag; an empty bag has no finite component."""
     out = np.full((len(bags), length), np.inf)
     sizes = [len(b[0]) for b in bags]
@@ -126,7 +160,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], length: int = SIGNATUR
     return out
 
 
-def bands(signature: np.ndarray, count: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def bands(signature: np.ndarray, count: int, rows: int) -> np.ndarray:
     """One hash per band and bag."""
     bits = np.ascontiguousarray(signature).view(np.uint64).reshape(len(signature), count, rows)
     out = np.repeat(np.arange(count, dtype=np.uint64)[None, :], len(signature), axis=0)
@@ -149,9 +183,13 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / joint if joint else 0.0
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, print, bands, sketch`` of every document with an id and a word. ``print`` is the
-    same for the same words in the same order."""
+def _print(words: list[bytes]) -> bytes:
+    """The same for the same words in the same order."""
+    return hashlib.md5(b" ".join(words)).digest()
+
+
+def _signed(docs: DataFrame, plan: Plan) -> DataFrame:
+    """``doc_id, print, bands, sketch`` of every row; without an id or a word only the id."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -159,26 +197,38 @@ def _signed(docs: DataFrame) -> DataFrame:
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 100):
                 split = [words_of(t) for t in texts[at : at + 100]]
-                rows = [i for i, words in enumerate(split) if words]
-                signed = signatures([bag(split[i], hashes) for i in rows])
-                prints = [hashlib.md5(b" ".join(split[i])).digest() for i in rows]
-                yield pa.RecordBatch.from_arrays(
+                ids = batch.column(0).slice(at, len(split))
+                rows = [i for i, words in enumerate(split) if words and ids[i].is_valid]
+                signed = signatures([bag(split[i], hashes) for i in rows], plan.size)
+                found = pa.StructArray.from_arrays(
                     [
-                        batch.column(0).take(pa.array([at + i for i in rows], pa.int64())),
-                        pa.array(prints, pa.binary()),
-                        pa.array(bands(signed).tolist(), pa.list_(pa.int64())),
+                        pa.array([_print(split[i]) for i in rows], pa.binary()),
+                        pa.array(bands(signed, plan.bands, plan.rows).tolist(), pa.list_(pa.int64())),
                         pa.array([b.tobytes() for b in sketch(signed)], pa.binary()),
                     ],
-                    ["doc_id", "print", "bands", "sketch"],
+                    ["print", "bands", "sketch"],
                 )
+                where = np.full(len(split), -1)
+                where[rows] = np.arange(len(rows))
+                found = found.take(pa.array(where, mask=where < 0))
+                yield pa.RecordBatch.from_arrays([ids, *found.flatten()], ["doc_id", "print", "bands", "sketch"])
 
-    texts = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")
-    )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
     schema = "doc_id long, print binary, bands array<long>, sketch binary"
     return texts.mapInArrow(sign, schema)
 
 
+def _print_of(text: Column) -> Column:
+    """The print of a text's UTF-8 bytes; NULL where there is no word."""
+
+    @F.arrow_udf("binary")
+    def prints(texts: pa.Array) -> pa.Array:
+        split = map(words_of, texts.to_pylist())
+        return pa.array([_print(words) if words else None for words in split], pa.binary())
+
+    return prints(text)
+
+
 def _check(pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` (texts ``text_a``, ``text_b``) that are similar enough."""
 
@@ -201,32 +251,36 @@ def _check(pairs: DataFrame, threshold: float) -> DataFrame:
 _TILE = ["key", "tile_a", "tile_b"]
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each member of a tile that resembles another by sketch: the member, and the smallest
-    it resembles there."""
+def _likely(least: int):
+    """For each member of a tile that resembles another by sketch (in ``least`` components): the
+    member, and the smallest it resembles there."""
+    return lambda batches: _likely_in_tiles(batches, least)
+
+
+def _likely_in_tiles(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for tile in runs(batches, len(_TILE)):
-        rep, chunk = tile["rep"].to_numpy(), tile["chunk"].to_numpy()
-        order = np.argsort(rep)
-        rep, chunk = rep[order], chunk[order]
-        own = np.frombuffer(b"".join(tile["sketch"].to_pylist()), np.uint8).reshape(len(rep), -1)[order]
+        node, chunk = tile["node"].to_numpy(), tile["chunk"].to_numpy()
+        order = np.argsort(node)
+        node, chunk = node[order], chunk[order]
+        own = np.frombuffer(b"".join(tile["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)[order]
         across = tile["tile_a"][0] != tile["tile_b"][0]
         found, partner = [], []
-        for at in range(0, len(rep), 64):
+        for at in range(0, len(node), 64):
             some = own[at : at + 64]
             agree = np.zeros((len(some), len(own)), dtype=np.uint16)
             for c in range(own.shape[1]):
                 agree += some[:, c, None] == own[None, :, c]
-            like = agree >= LEAST_AGREEING
+            like = agree >= least
             like[np.arange(len(some)), at + np.arange(len(some))] = False
             if across:
                 like &= chunk[at : at + 64, None] != chunk[None, :]
             row = np.flatnonzero(like.any(axis=1))
-            found.append(rep[at + row])
-            partner.append(rep[like[row].argmax(axis=1)])
+            found.append(node[at + row])
+            partner.append(node[like[row].argmax(axis=1)])
         found, partner = np.concatenate(found), np.concatenate(partner)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(found), tile["key"][0].as_py())), pa.array(found), pa.array(partner)],
-            ["key", "rep", "partner"],
+            ["key", "node", "partner"],
         )
 
 
@@ -268,7 +322,7 @@ def _links_in_tile(threshold: float):
 
 
 def _joining(tile: pa.Table, hashes: WordHashes, threshold: float) -> list[tuple[int, int]]:
-    ids, groups = tile["rep"].to_pylist(), tile["root"].to_pylist()
+    ids, groups = tile["node"].to_pylist(), tile["root"].to_pylist()
     if len(set(groups)) < 2:
         return []
     chunk = tile["chunk"].to_pylist()
@@ -297,77 +351,80 @@ def _joining(tile: pa.Table, hashes: WordHashes, threshold: float) -> list[tuple
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id, text`` of the wanted ids (column ``rep``). A Bloom filter of bounded size keeps
-    most other texts from being shuffled; the join is exact."""
+    """``node, text`` of the wanted nodes (``node, rep, print``). A Bloom filter of bounded size
+    keeps most other texts from being shuffled; the join, by the words' print, is exact."""
     bloom = build_bloom(wanted, "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
     texts = texts.where(bloom.may_hold(F.col("doc_id"), docs.sparkSession))
-    found = texts.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id")
-    return settle(found.groupBy("doc_id").agg(F.min("text").alias("text")))
+    texts = texts.withColumn("print", _print_of(F.col("text"))).where("print IS NOT NULL")
+    found = lookup_join(texts, wanted.select("node", "print"), ["print"], "inner")
+    return settle(found.groupBy("node").agg(F.min("text").alias("text")))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, class_id``: for every different non-NULL id of a document with words, the
-    smallest id it is linked to, directly or through others.
+    """One row per row of ``docs``: ``doc_id, print, class_id, kept``. ``class_id`` is the smallest
+    id among the documents it is linked to, directly or through others; ``kept`` marks the class's
+    first document (by id, then print). ``print`` is NULL where there is no id or no word.
 
     Documents are linked when they have the same words in the same order, or when their bags of
     five-word shingles have a weighted Jaccard similarity of ``threshold`` or more. The steps:
 
-    1. Copies are folded into their smallest id, so a group of any size is one row from there.
-    2. Representatives that agree in a band share a bucket. Their sketches (a byte per component)
-       are compared in tiles of bounded size; each that resembles another there keeps its bucket
-       and the smallest it resembles. Only their texts are read again, and these pairs, at most
-       one per member and tile, are compared exactly.
+    1. Copies are folded into one node, so a group of any size is one row from there. A node
+       stands for words, not for an id: rows that share an id need not be alike.
+    2. Nodes that agree in a band share a bucket. Their sketches (a byte per component) are
+       compared in tiles of bounded size; each that resembles another there keeps its bucket and
+       the smallest it resembles. Only their texts are read again, and these pairs, at most one
+       per member and tile, are compared exactly.
     3. Where a bucket's members are then not all connected, the rest of its pairs is compared
        exactly, in tiles, passing over what is already connected. So every pair of a bucket is
-       compared, or known to be connected, or too unlike by sketch.
+       compared, or known to be connected, or too unlike by sketch. A bucket of n nodes that are
+       neither copies nor alike costs (n / 512)^2 tiles of sketches.
 
-    Texts without words, NULL texts and NULL ids are in no class. Rows that share an id are one
-    document. Ties go to the smaller id. An empty table gives no rows.
+    Bands and the least agreement of sketches follow from the threshold. Texts without words, NULL
+    texts and NULL ids are in no class: their class is their own id and they are kept. Equal rows
+    fare alike. An empty table gives no rows.
     """
-    signed = settle(_signed(docs))
-    folded = settle(signed.groupBy("print").agg(F.min("doc_id").alias("rep")))
-    reps = signed.join(
-        folded.select(F.col("rep").alias("doc_id"), F.col("print").alias("_print")), "doc_id"
-    ).where("print = _print")
-    reps = settle(reps.groupBy(F.col("doc_id").alias("rep")).agg(
-        F.min_by("bands", "print").alias("bands"), F.min_by("sketch", "print").alias("sketch")
-    ))
-    keyed = reps.select("rep", F.posexplode("bands").alias("band", "value")).select(
-        F.xxhash64("band", "value").alias("key"), "rep"
+    plan = Plan(threshold)
+    signed = settle(_signed(docs, plan))
+    nodes = signed.where("print IS NOT NULL").groupBy("print").agg(
+        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")
+    )
+    nodes = settle(nodes.withColumn("node", F.monotonically_increasing_id()))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+        F.xxhash64("band", "value").alias("key"), "node"
     )
     buckets = (
         keyed.groupBy("key")
         .agg(
-            F.min("rep").alias("first"),
+            F.min("node").alias("first"),
             F.count("*").alias("size"),
-            F.bit_xor(F.xxhash64("rep")).alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("members"),
         )
         .where("size > 1")
         .groupBy("first", "size", "members")  # the same members in several bands: once
         .agg(F.min("key").alias("key"))
     )
     member = lookup_join(keyed, buckets.select("key", "size"), ["key"], "inner")
-    member = member.join(reps.select("rep", "sketch"), "rep")
-    tiles = spread_tiles(member, ["key"], "size", "rep", SKETCH_TILE)
-    tiles = in_runs(tiles.select(*_TILE, "chunk", "rep", "sketch"), _TILE)
-    likely = settle(tiles.mapInArrow(_likely, "key long, rep long, partner long"))
+    member = member.join(nodes.select("node", "sketch"), "node")
+    tiles = spread_tiles(member, ["key"], "size", "node", SKETCH_TILE)
+    tiles = in_runs(tiles.select(*_TILE, "chunk", "node", "sketch"), _TILE)
+    likely = settle(tiles.mapInArrow(_likely(plan.least_agreeing), "key long, node long, partner long"))
     pairs = likely.select(
-        F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b")
+        F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")
     ).distinct()
-    texts = _texts_of(docs, likely.select("rep").distinct())
+    texts = _texts_of(docs, nodes.join(likely.select("node").distinct(), "node").select("node", "rep", "print"))
     pairs = pairs.join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
+        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
     pairs = lookup_join(
-        pairs, texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), ["a"], "inner"
+        pairs, texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), ["a"], "inner"
     )
     links = settle(_check(pairs, threshold))
     joined = settle(components(links, "a", "b"))
 
-    grouped = likely.select("key", "rep").distinct().join(
-        joined.select(F.col("node").alias("rep"), "root"), "rep", "left"
-    ).withColumn("root", F.coalesce("root", "rep"))
+    grouped = likely.select("key", "node").distinct().join(joined, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
+    )
     # A bucket of two has no pair beyond the one already compared.
     open_buckets = (
         grouped.groupBy("key")
@@ -375,30 +432,48 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .where("low < high AND size > 2")
         .select("key", "size")
     )
-    rest = lookup_join(grouped, open_buckets, ["key"], "inner").join(
-        texts.withColumnRenamed("doc_id", "rep"), "rep"
-    )
-    tiles = spread_tiles(rest, ["key"], "size", "rep", TILE)
-    tiles = in_runs(tiles.select(*_TILE, "chunk", "rep", "root", "text"), _TILE)
+    rest = lookup_join(grouped, open_buckets, ["key"], "inner").join(texts, "node")
+    tiles = spread_tiles(rest, ["key"], "size", "node", TILE)
+    tiles = in_runs(tiles.select(*_TILE, "chunk", "node", "root", "text"), _TILE)
     more = tiles.mapInArrow(_links_in_tile(threshold), "a long, b long")
     roots = components(links.unionByName(more), "a", "b")
-    classes = folded.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "print", F.coalesce("root", "rep").alias("class_id")
+    rooted = nodes.select("node", "rep", "print").join(roots, "node", "left")
+    rooted = settle(rooted.select("rep", "print", F.coalesce("root", "node").alias("root")))
+    first = rooted.groupBy("root").agg(F.min(F.struct("rep", "print")).alias("first"))
+    classes = lookup_join(rooted.select("print", "root"), first, ["root"], "inner").select(
+        "print", F.col("first.rep").alias("class_id"), F.col("first.print").alias("first")
+    )
+    found = lookup_join(signed.select("doc_id", "print"), classes, ["print"], "left")
+    kept = (F.col("print") == F.col("first")) & (F.col("doc_id") == F.col("class_id"))
+    return found.select(
+        "doc_id", "print", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce(kept, F.lit(True)).alias("kept")
     )
-    found = lookup_join(signed.select("doc_id", "print"), classes, ["print"], "inner")
-    # Rows that share an id but not their words belong together: the smallest class wins.
-    return found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without those that have a near duplicate with a smaller id; of rows that
-    repeat an id, one stays. Documents in no class stay, so do all rows without an id. All columns
-    are kept."""
-    gone = near_duplicates(docs, threshold).where("doc_id <> class_id").select("doc_id")
+    """The documents without those that have a near duplicate with a smaller id: of each class one
+    row stays. Documents in no class stay, so do all rows without an id. All columns are kept.
+
+    Only ids are shuffled, and the rows that a Bloom filter of bounded size holds for rows to go
+    or for ids on several rows; of the latter the words decide, so no unlike row goes with them.
+    """
+    judged = near_duplicates(docs, threshold).where("doc_id IS NOT NULL")
+    judged = settle(judged.groupBy("doc_id", "print", "kept").agg(F.count("*").alias("n")))
+    fate = judged.groupBy("doc_id").agg(F.sum("n").alias("n"), F.bool_or("kept").alias("stays"))
+    fate = settle(fate.where("n > 1 OR NOT stays").select("doc_id", "stays"))
+    held = build_bloom(fate, "doc_id").may_hold(F.col("_id"), docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct("*").alias("_row"))
-    named = rows.where("_id IS NOT NULL").join(
-        gone.select(F.col("doc_id").alias("_id")), "_id", "left_anti"
-    )
-    return named.groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*").unionByName(
-        rows.where("_id IS NULL").select("_row.*")
+    told = lookup_join(rows.where(held), fate.withColumnRenamed("doc_id", "_id"), ["_id"])
+    single = told.where("stays IS NULL")
+    several = told.where("stays").withColumn("print", _print_of(F.col("_row.text").cast("string").cast("binary")))
+    kept = judged.where("kept AND print IS NOT NULL").select(F.col("doc_id").alias("_id"), "print")
+    chosen = (
+        lookup_join(several.where("print IS NOT NULL"), kept, ["_id", "print"], "inner")
+        .groupBy("_id", "print")
+        .agg(F.min_by("_row", "_row.text").alias("_row"))
     )
+    parts = [rows.where(~held), single, several.where("print IS NULL"), chosen]
+    out = parts[0].select("_row.*")
+    for part in parts[1:]:
+        out = out.unionByName(part.select("_row.*"))
+    return out

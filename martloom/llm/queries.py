@@ -201,10 +201,7 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of documents with its class; a document in no class is its own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    classes = bagminhash.near_duplicates(docs)
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(classes, "doc_id", "left")
-    found = found.withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return bagminhash.near_duplicates(docs).select("doc_id", "class_id", "kept")
 
 
 _CONTAMINATION_SQL = r"""
