@@ -100,14 +100,14 @@ def _cells(reps: DataFrame, threshold: float, blocks: int, payload: bool) -> Dat
                             pa.array(np.full(len(at), any(visit))),
                         ]
                         if payload:
-                            columns += [taken.column(n) for n in ("rep", "copies", "vector")]
+                            columns += [taken.column(n) for n in ("node", "copies", "vector")]
                         yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = [*_CELL, "visitor", *(["rep", "copies", "vector"] if payload else [])]
+    names = [*_CELL, "visitor", *(["node", "copies", "vector"] if payload else [])]
     kind = dict(reps.dtypes)
     schema = f"label {kind['label']}, dims int, block int, cell_a long, cell_b long, visitor boolean"
     if payload:
-        schema += f", rep long, copies long, vector {kind['vector']}"
+        schema += f", node long, copies long, vector {kind['vector']}"
     return reps.mapInArrow(place, schema)
 
 
@@ -119,22 +119,22 @@ def _tile_links(threshold: float, blocks: int):
     def links(key: tuple[pa.Scalar, ...], tile: pa.Table) -> pa.Table:
         dims, block = key[1].as_py(), key[2].as_py()
         across = key[5].as_py() != key[6].as_py()
-        rep = tile["rep"].to_numpy()
-        order = np.argsort(rep, kind="stable")
-        tile, rep = tile.take(pa.array(order)), rep[order]
+        node = tile["node"].to_numpy()
+        order = np.argsort(node, kind="stable")
+        tile, node = tile.take(pa.array(order)), node[order]
         copies, chunk = tile["copies"].to_numpy(), tile["chunk"].to_numpy()
         visitor = np.array(tile["visitor"].to_pylist(), dtype=bool)
         flat = tile["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        own = unit(flat.astype(np.float64).reshape(len(rep), dims))
+        own = unit(flat.astype(np.float64).reshape(len(node), dims))
         spun = own @ rotation(dims)
         bounds = block_bounds(dims, blocks)
         share = [limit * (hi - lo) / dims + SLACK for lo, hi in bounds]
 
-        left, right = np.arange(len(rep)), np.arange(len(rep))
+        left, right = np.arange(len(node)), np.arange(len(node))
         if across:
             left, right = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk != chunk.min())
-        links = np.zeros(len(rep), dtype=np.int64)
-        root = np.arange(len(rep))
+        links = np.zeros(len(node), dtype=np.int64)
+        root = np.arange(len(node))
         found_a, found_b = [], []
         lo, hi = bounds[block]
         for at in range(0, len(left), 256):
@@ -170,7 +170,7 @@ def _tile_links(threshold: float, blocks: int):
             if np.array_equal(before, root):
                 break
         linked = np.flatnonzero(links)
-        return pa.table({"rep": rep[linked], "links": links[linked], "root": rep[root[linked]]})
+        return pa.table({"node": node[linked], "links": links[linked], "root": node[root[linked]]})
 
     return links
 
@@ -193,7 +193,8 @@ def near_vectors(
 
     NULL, empty or zero vectors, and vectors with NULL or non-finite components, link with
     nothing: 0 links, their own id, kept. So do rows with a NULL label or id. Rows that repeat an
-    id, label and vector are one vector. An empty table gives no rows.
+    id, label and vector are one vector; rows that share an id but not the vector are vectors of
+    their own. An empty table gives no rows.
     """
     rows = vectors.select(
         F.col(id_column).cast("long").alias("vec_id"),
@@ -206,6 +207,7 @@ def near_vectors(
         rows.where("usable")
         .groupBy("label", "vector")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     sizes = (
         _cells(reps.select("label", "vector"), threshold, blocks, payload=False)
@@ -215,25 +217,28 @@ def near_vectors(
         .drop("homes")
     )
     placed = lookup_join(_cells(reps, threshold, blocks, payload=True), sizes, _CELL, "inner")
-    tiles = spread_tiles(placed, _CELL, "size", "rep", TILE)
+    tiles = spread_tiles(placed, _CELL, "size", "node", TILE)
     tile_key = [*_CELL, "tile_a", "tile_b"]
     counted = settle(
-        tiles.select(*tile_key, "chunk", "visitor", "rep", "copies", "vector")
+        tiles.select(*tile_key, "chunk", "visitor", "node", "copies", "vector")
         .groupBy(*tile_key)
-        .applyInArrow(_tile_links(threshold, blocks), "rep long, links long, root long")
+        .applyInArrow(_tile_links(threshold, blocks), "node long, links long, root long")
     )
-    links = counted.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(counted, "rep", "root").withColumnRenamed("node", "rep")
-    classes = (
-        reps.join(links, "rep", "left")
-        .join(roots, "rep", "left")
+    links = counted.groupBy("node").agg(F.sum("links").alias("links"))
+    roots = components(counted, "node", "root")
+    rooted = (
+        reps.join(links, "node", "left")
+        .join(roots, "node", "left")
         .select(
             "label",
             "vector",
+            "rep",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("root", "rep").alias("component_id"),
+            F.coalesce("root", "node").alias("root"),
         )
     )
+    first = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    classes = lookup_join(rooted.drop("rep"), first, ["root"], "inner").drop("root")
     found = lookup_join(rows.where("usable"), classes, ["label", "vector"], "inner")
     alone = rows.where("NOT usable").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
