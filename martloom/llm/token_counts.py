@@ -265,8 +265,10 @@ class PrefixCounts:
 
         Counts at the ends of words never fall, so it ends in, or in the spaces before, the first
         word whose end is beyond the budget; only there are single characters looked at. (A
-        further character may join tokens, so the last prefix within the budget is meant.)
+        further character may join tokens, so the last prefix within the budget is meant.) A
+        negative budget counts as none.
         """
+        budget = max(budget, 0)
         words = _plain(text).split(b" ")
         ends = self._runs(words)
         if ends[-1] <= budget:
@@ -367,31 +369,37 @@ def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
 
 
 def prefix_index(docs: DataFrame, model: str) -> DataFrame:
-    """``row`` and ``steps``: how the token count changes with each further character, one
-    signed byte per character. The running sum is the count at every prefix."""
+    """``row`` and ``steps``: how the token count changes with each further character, a signed
+    16-bit number per character. The running sum is the count at every prefix."""
 
     @F.pandas_udf("binary")
     def index(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counts = counter(model)
         for texts in batches:
-            yield pd.Series(
-                [np.diff(counts.prefixes(t or b"")).astype(np.int8).tobytes() for t in texts],
-                dtype=object,
-            )
+            yield pd.Series([_steps(counts.prefixes(t or b"")) for t in texts], dtype=object)
 
     return beside(docs, steps=index(utf8("text")))
 
 
+def _steps(counts: np.ndarray) -> bytes:
+    steps = np.diff(counts)
+    if len(steps) and np.abs(steps).max() >= 1 << 15:
+        raise ValueError("a token count changes by more than 16 bits hold")
+    return steps.astype("<i2").tobytes()
+
+
 def prefix_answers(indexed: DataFrame, chars: Column, budget: Column) -> DataFrame:
     """From an index, without any tokenizer: ``tokens_at`` (tokens of the first ``chars``
-    characters) and ``chars_within`` (characters of the longest prefix within ``budget``)."""
+    characters) and ``chars_within`` (characters of the longest prefix within ``budget``). NULL
+    asked gives NULL; fewer than no characters or tokens count as none."""
 
     @F.pandas_udf("tokens_at long, chars_within long")
     def answer(steps: pd.Series, chars: pd.Series, budget: pd.Series) -> pd.DataFrame:
         out = []
         for raw, n, most in zip(steps, chars, budget):
-            counts = np.concatenate(([0], np.cumsum(np.frombuffer(raw, np.int8), dtype=np.int64)))
-            out.append((counts[min(max(n, 0), len(counts) - 1)], np.flatnonzero(counts <= most)[-1]))
-        return pd.DataFrame(out, columns=["tokens_at", "chars_within"])
+            counts = np.concatenate(([0], np.cumsum(np.frombuffer(raw, "<i2"), dtype=np.int64)))
+            at = None if pd.isna(n) else counts[int(min(max(n, 0), len(counts) - 1))]
+            out.append((at, None if pd.isna(most) else np.flatnonzero(counts <= max(most, 0))[-1]))
+        return pd.DataFrame(out, columns=["tokens_at", "chars_within"], dtype="Int64")
 
     return indexed.select("row", answer("steps", chars, budget).alias("found")).select("row", "found.*")

@@ -401,6 +401,13 @@ def test_prefix_index_answers_without_a_tokenizer(spark):
     assert got[0]["tokens_at"] == len(library.encode(text[:9]))
     assert got[0]["chars_within"] == max(k for k in range(27) if len(library.encode(text[:k])) <= 3)
     assert (got[1]["tokens_at"], got[1]["chars_within"]) == (0, 0)
+    asked = token_counts.prefix_answers(index, F.lit(-4), F.lit(-1)).collect()
+    assert all((r["tokens_at"], r["chars_within"]) == (0, 0) for r in asked)
+    none = F.lit(None).cast("int")
+    assert all((r["tokens_at"], r["chars_within"]) == (None, None) for r in token_counts.prefix_answers(index, none, none).collect())
+    counter = token_counts.counter(public_tokenizers.path(queries.PIECE_MODEL))
+    counter.learn([b"some words"])
+    assert counter.cut(b"some words", -3) == 0
 
 
 # ---- vectors ----------------------------------------------------------------------------------
@@ -454,6 +461,20 @@ def test_vectors_against_brute_force(spark, dims, monkeypatch):
     assert embedding_dedup.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_that_share_an_id_are_apart(spark):
+    ready(spark)
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0])]
+    frame = spark.createDataFrame([(i, 0, v) for i, v in rows], "vec_id long, label int, embedding array<double>")
+    got = sorted(tuple(r) for r in embedding_dedup.near_vectors(frame).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
+def test_vector_query_against_brute_force(spark, sf):
+    rows = [(r["vec_id"], r["label"], r["embedding"]) for r in sf["embeddings"].collect()]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in queries.QUERIES["op7_embedding_dedup"](spark, SF).collect()}
+    assert got == linked(rows, 0.93)
+
+
 def test_components_of_a_chain_a_star_and_loops(spark):
     ready(spark)
     links = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (None, 3)]
@@ -509,8 +530,11 @@ def test_near_documents_chains_weights_and_odd_rows(spark, monkeypatch):
     cases += ["tick " * 100, "tick " * 104, "tick " * 300, "one two", "One, two!", *ODD]
     texts = dict(enumerate(cases))
     docs = table(spark, [*cases, "null id", cases[0]], [*range(len(cases)), None, 0])
-    got = {r["doc_id"]: r["class_id"] for r in bagminhash.near_duplicates(docs).collect()}
+    found = bagminhash.near_duplicates(docs).collect()
+    assert len(found) == docs.count()
+    got = {r["doc_id"]: r["class_id"] for r in found if r["print"] is not None}
     assert got == classes(texts)
+    assert all(r["kept"] and r["class_id"] == r["doc_id"] for r in found if r["print"] is None)
     kept = bagminhash.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
@@ -519,6 +543,51 @@ def test_near_documents_chains_weights_and_odd_rows(spark, monkeypatch):
     assert bagminhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def made_near(words, keep, r):
+    """The text with its last words replaced, so that ``keep`` of its words stay."""
+    return " ".join([*words[:keep], *(f"n{r.randrange(10**9)}" for _ in words[keep:])])
+
+
+def test_near_documents_with_repeated_ids(spark):
+    r = random.Random(31)
+    texts = {}
+    for name in "ABCE":
+        texts[name] = " ".join(f"{name}{r.randrange(10**6)}" for _ in range(100))
+    texts["E'"] = made_near(texts["E"].split(), 98, r)
+    cases = [(1, "A"), (1, "B"), (2, "B"), (3, "C"), (3, "E"), (4, "E'"), (1, "A"), (4, ""), (6, "C"), (3, "E'")]
+    docs = table(spark, [texts.get(t, "") for _, t in cases], [i for i, _ in cases])
+    names = {t: n for n, t in texts.items()} | {"": ""}
+    found = bagminhash.near_duplicates(docs).collect()
+    prints = {bagminhash._print(words_of(t.encode())): n for n, t in texts.items()} | {None: ""}
+    got = collections.Counter((x["doc_id"], prints[x["print"]], x["class_id"]) for x in found)
+    assert got == collections.Counter(
+        [(1, "A", 1), (1, "A", 1), (1, "B", 1), (2, "B", 1), (3, "C", 3), (3, "E", 3), (4, "E'", 3), (4, "", 4), (6, "C", 3), (3, "E'", 3)]
+    )
+    kept = sorted((x["doc_id"], names[x["text"]]) for x in bagminhash.keep_one(docs).collect())
+    first = min("E", "E'", key=lambda n: bagminhash._print(words_of(texts[n].encode())))
+    assert kept == sorted([(1, "A"), (1, "B"), (3, "C"), (3, first), (4, "")])
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.95])
+def test_near_documents_at_other_thresholds(spark, threshold):
+    r = random.Random(int(100 * threshold))
+    plan = bagminhash.Plan(threshold)
+    assert (1 - threshold**plan.rows) ** plan.bands <= bagminhash.MISSED and plan.size <= bagminhash.COMPONENTS
+    texts = []
+    for _ in range(40):
+        words = [f"w{r.randrange(10**9)}" for _ in range(104)]
+        texts += [" ".join(words), made_near(words, r.choice((20, 52, 60, 84, 86, 100, 102, 103)), r)]
+    docs = table(spark, texts)
+    got = {x["doc_id"]: x["class_id"] for x in bagminhash.near_duplicates(docs, threshold).collect()}
+    assert got == classes(dict(enumerate(texts)), threshold)
+    assert len(set(got.values())) < len(texts)
+
+
+def test_near_documents_refuse_a_threshold_near_none():
+    with pytest.raises(ValueError):
+        bagminhash.Plan(0.1)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(6)
     keys = rng.integers(1, 1 << 62, 200).astype(np.uint64)
@@ -636,7 +705,34 @@ def test_bin_completion_against_every_placement(seed):
         placed.update({a: b * n for a, b in filling})
     assert placed == counts
     best = fewest(sizes, 20)
-    assert packing.lower_bound(counts, 20) <= best <= sum(n for _, n in plan) <= best + 1
+    assert packing.lower_bound(counts, 20) <= best == sum(n for _, n in plan)
+
+
+def test_bin_completion_searches_beyond_the_greedy_tries():
+    """Without the greedy tries the depth-first search finds what best-fit misses."""
+    counts, capacity = {44: 2, 24: 3, 22: 2, 21: 1, 17: 1, 8: 2, 6: 2, 3: 1, 2: 1}, 61
+    first = sum(n for _, n in packing.best_fit(counts, capacity))
+    sizes = sorted((n for n, c in counts.items() for _ in range(c)), reverse=True)
+    best = fewest(sizes, capacity)
+    plan = packing.complete_bins(counts, capacity, searches=0)
+    assert sum(n for _, n in plan) == best <= first
+
+
+def test_word_tokens_of_odd_letters_equal_the_library():
+    """Letters whose lower case or normal form depends on what stands beside them."""
+    r = random.Random(20)
+    path = public_tokenizers.path(queries.WORD_MODEL)
+    library, own = Tokenizer.from_file(path), packing.WordTokens(path)
+    letters = "aAbHJTWYǰİıßÉéçÇĲŉẞΣςK\u0307\u0331\u030c\u0308\u030a\u0301\u0327.,.,!?()'\"-  \n\t0١字한글\u200d’–\xa0\u3000\x85\x1c"
+    texts = ["BELEDİYESİ.", "TARİHİ, x", "H̱ J̌ T̈ W̊ Y̊", "é. É, e\u0301. E\u0301,", "<|endoftext|> İ.", None, ""]
+    for _ in range(20000):
+        n = r.randrange(1, 25)
+        pick = lambda: r.choice(letters) if r.random() < 0.9 else chr(r.choice((r.randrange(1, 0x250), r.randrange(0x300, 0x3000), r.randrange(0x1E00, 0x2100))))
+        texts.append("".join(pick() for _ in range(n)))
+    want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    got = own.encode([None if t is None else t.encode() for t in texts])
+    for text, a, b in zip(texts, got, want):
+        assert np.frombuffer(a, "<u4").tolist() == b, text
 
 
 # ---- the pipeline -----------------------------------------------------------------------------
