@@ -34,6 +34,7 @@ LISTED = 1 << 19  # words, and phrases of a length, that have a number
 SIDE, GRID = 256, 8  # a tile's side, and how many tiles a side of the dense corner has
 DENSE = SIDE * SIDE // 16  # pairs at once that make a tile dense
 HELD = 1 << 20  # pairs that a task holds before it counts them; it holds twice as many different ones
+SLICES = 64  # of a language, ranked apart
 UNKNOWN_LANG = "und"
 
 _BREAK = b"."
@@ -43,10 +44,12 @@ _PLAIN = bytes(
 )
 NOTHING, UNLISTED = -1, -2  # no phrase that could be frequent; one that has no number
 
-# Counts on their way: the sorted pairs (first << 32 | last), or the texts of a language, of one
-# task and one bucket, packed into a row.
-_RUNS = "bucket long, lang string, body binary, counts binary"
-_RUNS_ARROW = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("body", pa.binary()), ("counts", pa.binary())])
+# Counts on their way: the sorted pairs (``body`` has the steps from first to first), or the texts
+# of a language, of one task and one bucket, packed into a row.
+_RUNS = "bucket long, lang string, body binary, last binary, counts binary"
+_RUNS_ARROW = pa.schema(
+    [("bucket", pa.int64()), ("lang", pa.string()), ("body", pa.binary()), ("last", pa.binary()), ("counts", pa.binary())]
+)
 _SUMS = "first long, last long, lang string, phrase binary, n long"
 _SUMS_ARROW = pa.schema(
     [("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())]
@@ -269,9 +272,11 @@ def _count_phrases(shared: Broadcast, size: int, buckets: int):
 def _pair_runs(tiles: Tiles, buckets: int) -> Iterator[pa.RecordBatch]:
     key, n = tiles.counted()
     bucket = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
+    first, last = key >> 32, key & 0xFFFFFFFF
     rows = []
     for part in _parts(bucket.astype(np.int64)):
-        rows.append((int(bucket[part[0]]), None, pack_ints(np.diff(key[part], prepend=0)), pack_ints(n[part])))
+        steps = np.diff(first[part], prepend=0)
+        rows.append((int(bucket[part[0]]), None, pack_ints(steps), pack_ints(last[part]), pack_ints(n[part])))
     yield _runs(rows)
 
 
@@ -282,7 +287,7 @@ def _text_runs(texts: dict[str, Counter], buckets: int) -> Iterator[pa.RecordBat
         bucket = np.fromiter((zlib.crc32(p) % buckets for p in phrases), dtype=np.int64, count=len(phrases))
         for part in _parts(bucket):
             body = zstandard.ZstdCompressor(level=1).compress(_BREAK.join([phrases[i] for i in part.tolist()]))
-            rows.append((int(bucket[part[0]]), lang, body, pack_ints(n[part])))
+            rows.append((int(bucket[part[0]]), lang, body, None, pack_ints(n[part])))
     yield _runs(rows)
 
 
@@ -293,7 +298,7 @@ def _parts(bucket: np.ndarray) -> list[np.ndarray]:
 
 
 def _runs(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 4
+    columns = list(zip(*rows)) or [()] * 5
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUNS_ARROW)], schema=_RUNS_ARROW)
 
 
@@ -318,14 +323,14 @@ def _sum_phrases(shared: Broadcast, size: int, least: int):
         listing: Listing = shared.value
         now, keys, counts, texts, held = None, [], [], {}, 0
         for batch in batches:
-            for bucket, lang, body, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for bucket, lang, body, last, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != now:
                     if now is not None:
                         yield close(keys, counts, texts, listing)
                     now, keys, counts, texts, held = bucket, [], [], {}, 0
                 n = unpack_ints(packed)
                 if lang is None:
-                    keys.append(np.cumsum(unpack_ints(body)))
+                    keys.append(np.cumsum(unpack_ints(body)) << 32 | unpack_ints(last))
                     counts.append(n)
                     held += len(n)
                     if held >= 2 * HELD:
@@ -446,7 +451,11 @@ def without_parts(scored: DataFrame, percent: int = 50) -> DataFrame:
 
 
 def rank_phrases(scored: DataFrame, top: int) -> DataFrame:
-    """Each language's first ``top`` phrases, best score first; ``rank`` from 1."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.withColumn("rank", F.col("rank").cast("long"))
+    """Each language's first ``top`` phrases, best score first; ``rank`` from 1. They are among the
+    first ``top`` of each of ``SLICES`` slices of the language, so no task sorts a whole one."""
+    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    first = Window.partitionBy("lang", "slice").orderBy(*best)
+    some = scored.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(SLICES)))
+    some = some.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)))
+    return ranked.where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long")).drop("slice")
