@@ -13,9 +13,13 @@ from martloom.plans.inputs import (
     WINDOW, ctes, staging,
 )
 from martloom.plans.suite import Tables, query
+from martloom.sources import loads
+from martloom.sources.file_table import FileTable
 from martloom.sources.publish import VersionedTable
-from martloom.sources.tables import load_days, load_many, load_table, load_totals
-from martloom.streaming.ingest import ingest_files, ingest_partitioned
+from martloom.sources.tables import (
+    load_days, load_many, load_table, load_totals, merge_partitions, write_partitioned,
+)
+from martloom.streaming.ingest import ingest_files, ingest_once, ingest_partitioned
 
 REPLACED = """
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
@@ -87,6 +91,20 @@ def load_business_key(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query("load_keyed_files", ctes(
+    t0=TARGET, s=STAGING_SQL, t=_GROUP_DELETED.replace("FROM t ", "FROM t0 t "),
+) + REPLACED)
+def load_keyed_files(t: Tables) -> DataFrame:
+    """The same load into a file table: only the files that may hold a key or a group are
+    rewritten."""
+    table = FileTable(t.spark, t.scratch(), (("o_orderkey",), tuple(_GROUP)))
+    table.publish(TARGET.spark(t))
+    outcome = loads.load_keyed(table, staging(t), ["o_orderkey"], _GROUP)
+    if not outcome["success"]:
+        raise RuntimeError(outcome["message"])
+    return table.read()
+
+
 @query("upsert_partial_update", ctes(t=TARGET, s=STAGING_SQL) + """
 SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_custkey ELSE s.o_custkey END AS o_custkey,
@@ -138,6 +156,24 @@ def multi_load_summary(t: Tables) -> DataFrame:
     return load_totals(load_many(t.spark, table, paths, ["o_orderkey"]))
 
 
+@query("multi_load_files", ctes(
+    t=TARGET, s=f"{STAGING_SQL}",
+) + REPLACED)
+def multi_load_files(t: Tables) -> DataFrame:
+    """Two good drops, a missing and a misfitting one, loaded with one rewrite of the table."""
+    root = t.scratch()
+    table = FileTable(t.spark, f"{root}/table", (("o_orderkey",),))
+    table.publish(TARGET.spark(t))
+    CHANGED.spark(t).write.parquet(f"{root}/changed")
+    NEW.spark(t).write.parquet(f"{root}/new")
+    t.customer.select(F.col("c_name").alias("o_orderkey")).write.parquet(f"{root}/other")
+    paths = [f"{root}/{name}" for name in ("changed", "missing", "other", "new")]
+    outcome = loads.load_many_files(table, paths, ["o_orderkey"])
+    if outcome.where("ok").count() != 2 or table.version() != 2:
+        raise RuntimeError("expected two drops in one version")
+    return table.read()
+
+
 _READY = "o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'P'"
 
 
@@ -185,9 +221,16 @@ _BOTH = f"""SELECT *, 0 AS origin FROM ({LINES.sql}) WHERE {_OLD}
 UNION ALL SELECT *, 1 FROM ({LINES.sql}) WHERE {_NEW}"""
 
 
-@query("partition_merge_dedup", ctes(
-    both_rows=_BOTH, merged=_merged_sql(f"{_PART}, ", ", ".join(_KEYS)),
-) + "SELECT * FROM merged WHERE l_returnflag IN (SELECT l_returnflag FROM both_rows WHERE origin = 1)")
+# The last row per partition and key, by ``arg_max``; the incoming rows outrank the old ones.
+_LAST_OF = f"""
+SELECT arg_max(r, ({', '.join(['origin', *LINE_SEQ, 'l_linestatus'])})) AS r FROM (
+  SELECT l AS r, l.*, 0 AS origin FROM ({LINES.sql}) l WHERE {_OLD}
+  UNION ALL SELECT l AS r, l.*, 1 FROM ({LINES.sql}) l WHERE {_NEW})
+GROUP BY {_PART}, {', '.join(_KEYS)}"""
+_TOUCHED = f"l_returnflag IN (SELECT DISTINCT l_returnflag FROM ({LINES.sql}) WHERE {_NEW})"
+
+
+@query("partition_merge_dedup", f"SELECT * FROM (SELECT unnest(r) FROM ({_LAST_OF})) WHERE {_TOUCHED}")
 def partition_merge_dedup(t: Tables) -> DataFrame:
     lines = LINES.spark(t)
     return merge_keep_last(
@@ -195,6 +238,31 @@ def partition_merge_dedup(t: Tables) -> DataFrame:
     )
 
 
+# Untouched partitions keep their rows as they are, repeated keys among them.
+_MERGED_WHOLE = f"""
+SELECT * FROM (SELECT unnest(r) FROM ({_LAST_OF})) WHERE {_TOUCHED}
+UNION ALL BY NAME SELECT * FROM ({LINES.sql}) WHERE {_OLD} AND NOT {_TOUCHED}"""
+
+
+@query("partition_merge_write", _MERGED_WHOLE)
+def partition_merge_write(t: Tables) -> DataFrame:
+    """Merged into a partitioned dataset, touched partitions replaced."""
+    path, lines = t.scratch(), LINES.spark(t)
+    write_partitioned(lines.where(_OLD), path, [_PART])
+    merge_partitions(t.spark, lines.where(_NEW), path, [_PART], _KEYS, [*LINE_SEQ, "l_linestatus"])
+    return t.spark.read.schema(lines.schema).parquet(path).select(*lines.columns)
+
+
+@query("partition_merge_files", _MERGED_WHOLE)
+def partition_merge_files(t: Tables) -> DataFrame:
+    """Merged into a file table: one record makes all touched partitions current."""
+    lines = LINES.spark(t)
+    table = FileTable(t.spark, t.scratch(), ((_PART,),))
+    table.publish(lines.where(_OLD))
+    loads.merge_in_table(table, lines.where(_NEW), [_PART], _KEYS, [*LINE_SEQ, "l_linestatus"])
+    return table.read()
+
+
 @query("merge_dedup", ctes(both_rows=_BOTH) + f"""
 SELECT * EXCLUDE (rn, origin) FROM (
   SELECT *, row_number() OVER (PARTITION BY {', '.join(_KEYS)}
@@ -282,3 +350,20 @@ def stream_upsert_partitioned(t: Tables) -> DataFrame:
     arrive(TARGET.spark(t))
     arrive(staging(t))
     return t.spark.read.schema(schema).parquet(f"{root}/table").select(*schema.fieldNames())
+
+
+@query("stream_upsert_once", ctes(t=TARGET, s=STAGING_SQL) + REPLACED)
+def stream_upsert_once(t: Tables) -> DataFrame:
+    """Drops into a file table; the last batch is then run again, as after a failure."""
+    root = t.scratch()
+    table = FileTable(t.spark, f"{root}/table", (("o_orderkey",),))
+    schema = TARGET.spark(t).schema
+
+    def arrive(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{root}/drops")
+        ingest_once(t.spark, f"{root}/drops", schema, table, ["o_orderkey"], f"{root}/checkpoint")
+
+    arrive(TARGET.spark(t))
+    arrive(staging(t))
+    loads.load_keyed(table, staging(t), ["o_orderkey"], batch=(f"{root}/checkpoint", 1))
+    return table.read()

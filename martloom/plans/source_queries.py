@@ -7,7 +7,7 @@ import json
 import uuid
 import zipfile
 from collections.abc import Iterator
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +18,8 @@ from martloom.operators.validate import catalog_schema, schema_findings
 from martloom.plans.inputs import CHANGED, ORDER_COLUMNS, WINDOW
 from martloom.plans.suite import Tables, query
 from martloom.sources import files, tables
+from martloom.sources.file_table import FileTable
+from martloom.sources.loads import replace_in_table
 from martloom.sources.publish import VersionedTable
 from martloom.sources.queries import optional_filter, run_named
 
@@ -207,6 +209,18 @@ def partition_replace(t: Tables) -> DataFrame:
     return t.spark.read.schema(t.orders.schema).parquet(path).select(*ORDER_COLUMNS)
 
 
+@query("partition_replace_files", """
+SELECT * FROM orders WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderpriority < '3')
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderpriority < '3'""")
+def partition_replace_files(t: Tables) -> DataFrame:
+    """The same partitions of a file table, replaced together."""
+    table = FileTable(t.spark, t.scratch(), (("o_orderpriority",),))
+    table.publish(t.orders)
+    replace_in_table(table, CHANGED.spark(t).where("o_orderpriority < '3'"), ["o_orderpriority"])
+    return table.read()
+
+
 @query("insert_modes", "SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
 def insert_modes(t: Tables) -> DataFrame:
     name = f"{_database(t)}.orders_copy"
@@ -304,6 +318,21 @@ def compact(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query("compact_small_files", "SELECT * FROM orders")
+def compact_small_files(t: Tables) -> DataFrame:
+    """One large file and many small ones of one table; the small ones are packed, what they were
+    expires."""
+    table = FileTable(t.spark, t.scratch(), (("o_orderkey",),))
+    table.publish(t.orders.where("o_orderkey % 4 <> 0"))
+    small = t.orders.where("o_orderkey % 4 = 0")
+    for k in range(3):
+        table.commit(add=small.where(F.pmod("o_custkey", F.lit(3)) == k))
+    large = table.files().agg(F.max("bytes")).first()[0]
+    table.compact(large, large)
+    table.expire(datetime.now(timezone.utc))
+    return table.read()
+
+
 @query("table_size", """
 SELECT COUNT(*) AS "rows", true AS has_bytes, true AS has_files FROM lineitem""")
 def table_size(t: Tables) -> DataFrame:

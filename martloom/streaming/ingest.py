@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from martloom.operators.change import replace_by_name
+from martloom.sources.file_table import FileTable
 from martloom.sources.files import is_missing
+from martloom.sources.loads import load_keyed
 from martloom.sources.publish import VersionedTable
 from martloom.sources.tables import replace_keys_in_partitions, write_partitioned
 
@@ -78,3 +80,29 @@ def ingest_partitioned(
                 replace_keys_in_partitions(spark, batch, path, by, keys)
 
     _run(_reader(spark, schema, files_per_batch), source, checkpoint, apply)
+
+
+def ingest_once(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    table: FileTable,
+    keys: list[str],
+    checkpoint: str,
+    files_per_batch: int | None = None,
+) -> int | None:
+    """Load the files that arrived since the last call into a file table, each batch once.
+
+    The version that a batch makes records its number, so a batch that is run again after a
+    failure (with or without its version written) adds nothing, rows with NULL keys among them. A
+    batch rewrites only the files that may hold its keys.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        if not table.exists():
+            table.commit(add=batch, batch=(checkpoint, number))
+        else:
+            load_keyed(table, batch, keys, check_types=False, batch=(checkpoint, number))
+
+    _run(_reader(spark, schema, files_per_batch), source, checkpoint, apply)
+    return table.version()
