@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -253,32 +253,42 @@ def sku_by_code(listings: DataFrame, products: DataFrame, keys: Sequence[str]) -
     return listings.join(products.select("ipcode", "whsku"), "ipcode", "left").select(*keys, "whsku")
 
 
-def marketplace_sales(sales: DataFrame, skus: DataFrame, rules: Marketplace) -> DataFrame:
-    """Sales with typed events: (code, event, quantity, order, date, invoice, amount)."""
-    event = F.col("event")
-    kept = sales.where(~event.isin(list(rules.drop_types))) if rules.drop_types else sales
-    mapped = lookup_join(kept, skus.withColumnRenamed("platformcode", "code"), ["code"])
+Named = Callable[[str], Column]
+
+
+def marketplace_kept(c: Named, rules: Marketplace) -> Column:
+    return ~c("event").isin(list(rules.drop_types)) if rules.drop_types else F.lit(True)
+
+
+def marketplace_columns(c: Named, rules: Marketplace) -> dict[str, Column]:
+    """Sales columns of typed events (code, event, quantity, order, date, invoice, amount) and the
+    SKU looked up for the code."""
+    event = c("event")
     sku = F.coalesce("whsku", F.lit(UNMAPPED))
     saletype = reduce(
-        lambda c, kv: c.when(event == kv[0], kv[1]), rules.sale_types.items(), F.when(F.lit(False), "")
+        lambda x, kv: x.when(event == kv[0], kv[1]), rules.sale_types.items(), F.when(F.lit(False), "")
     )
     negative = event.isin(list(rules.negative_types)) if rules.negative_types else F.lit(False)
-    return _sales(
-        mapped,
-        {
-            "product_code": F.col("code"),
-            "whsku": sku,
-            "whsku_key": F.upper(sku),
-            "quantity": F.when(negative, -F.col("quantity")).otherwise(F.col("quantity")),
-            "externalordernumber": F.col("order_id"),
-            "invoicedate": F.col("invoice_date"),
-            "invoicenumber": F.col("invoice_id"),
-            "netsales": F.col("amount"),
-            "saletype": saletype,
-            "rto": F.when(saletype == "RTO", F.col("amount")).otherwise(F.lit(0)),
-            **_constants(rules),
-        },
-    )
+    return {
+        "product_code": c("code"),
+        "whsku": sku,
+        "whsku_key": F.upper(sku),
+        "quantity": F.when(negative, -c("quantity")).otherwise(c("quantity")),
+        "externalordernumber": c("order_id"),
+        "invoicedate": c("invoice_date"),
+        "invoicenumber": c("invoice_id"),
+        "netsales": c("amount"),
+        "saletype": saletype,
+        "rto": F.when(saletype == "RTO", c("amount")).otherwise(F.lit(0)),
+        **_constants(rules),
+    }
+
+
+def marketplace_sales(sales: DataFrame, skus: DataFrame, rules: Marketplace) -> DataFrame:
+    """Sales with typed events: (code, event, quantity, order, date, invoice, amount)."""
+    kept = sales.where(marketplace_kept(F.col, rules))
+    mapped = lookup_join(kept, skus.withColumnRenamed("platformcode", "code"), ["code"])
+    return _sales(mapped, marketplace_columns(F.col, rules))
 
 
 def _constants(rules: Marketplace) -> dict[str, Column]:
@@ -287,6 +297,36 @@ def _constants(rules: Marketplace) -> dict[str, Column]:
     return {n: F.lit(getattr(rules, n)) for n in names}
 
 
+def gross_price_columns(c: Named, rules: Marketplace) -> dict[str, Column]:
+    """One unit per row at a tax-inclusive price."""
+    sku = F.coalesce("whsku", F.lit(UNMAPPED))
+    return {
+        "product_code": c("code"),
+        "whsku": sku,
+        "whsku_key": F.upper(sku),
+        "quantity": F.lit(1),
+        "externalordernumber": c("order_id"),
+        "invoicedate": c("invoice_date"),
+        "netsales": F.round(c("amount") / F.lit(TAX_DIVISOR).cast("decimal(3,2)"), 2),
+        "saletype": F.lit("Sale"),
+        "rto": F.lit(0),
+        **_constants(rules),
+    }
+
+
+def skus_of_models(
+    listings: DataFrame, products: DataFrame, channel_of_model: Mapping[str, int]
+) -> DataFrame:
+    """``code, business_model, whsku`` of active listings.
+
+    "model A and channel 1, or model B and channel 2" is one equality once the listing carries
+    the model of its channel.
+    """
+    pairs = [F.when(F.col("channelid") == ch, model) for model, ch in channel_of_model.items()]
+    of_model = listings.where("isactive").withColumn("business_model", F.coalesce(*pairs))
+    return sku_by_code(of_model.withColumnRenamed("platformcode", "code"), products, ["code", "business_model"])
+
+
 def gross_price_sales(
     sales: DataFrame,
     listings: DataFrame,
@@ -294,35 +334,10 @@ def gross_price_sales(
     channel_of_model: Mapping[str, int],
     rules: Marketplace,
 ) -> DataFrame:
-    """One unit per row at a tax-inclusive price; the business model picks the listing's channel.
-
-    "model A and channel 1, or model B and channel 2" is one equality once the listing carries
-    the model of its channel.
-    """
+    """One unit per row at a tax-inclusive price; the business model picks the listing's channel."""
     kept = sales.where(~F.col("order_status").isin(list(rules.drop_types)))
-    pairs = [F.when(F.col("channelid") == ch, model) for model, ch in channel_of_model.items()]
-    of_model = listings.where("isactive").withColumn("business_model", F.coalesce(*pairs))
-    skus = sku_by_code(
-        of_model.withColumnRenamed("platformcode", "code"), products, ["code", "business_model"]
-    )
-    mapped = lookup_join(kept, skus, ["code", "business_model"])
-    sku = F.coalesce("whsku", F.lit(UNMAPPED))
-    net = F.round(F.col("amount") / F.lit(TAX_DIVISOR).cast("decimal(3,2)"), 2)
-    return _sales(
-        mapped,
-        {
-            "product_code": F.col("code"),
-            "whsku": sku,
-            "whsku_key": F.upper(sku),
-            "quantity": F.lit(1),
-            "externalordernumber": F.col("order_id"),
-            "invoicedate": F.col("invoice_date"),
-            "netsales": net,
-            "saletype": F.lit("Sale"),
-            "rto": F.lit(0),
-            **_constants(rules),
-        },
-    )
+    skus = skus_of_models(listings, products, channel_of_model)
+    return _sales(lookup_join(kept, skus, ["code", "business_model"]), gross_price_columns(F.col, rules))
 
 
 def first_marketing_type(order_lines: DataFrame) -> DataFrame:
@@ -337,6 +352,32 @@ def first_marketing_type(order_lines: DataFrame) -> DataFrame:
     return newest.select("ordername", "marketingtype")
 
 
+def warehouse_columns(c: Named, datasource: str, returns: bool = False) -> dict[str, Column]:
+    """Warehouse sales, or returns with quantity and value negated; D2C splits by the marketing
+    type looked up for the order."""
+    sign = F.lit(-1 if returns else 1)
+    value = c("netsale") * sign
+    d2c = c("channel") == "D2C"
+    finance = (
+        F.when(d2c & (F.col("marketingtype") == "CORE"), CORE_LABEL)
+        .when(d2c, NON_CORE_LABEL)
+        .otherwise(c("financepartyname"))
+    )
+    plain = ["whsku", "externalordernumber", "invoicedate", "invoicenumber", "channel", "platform",
+             "saletype", "subchannel", "demandchannel"]
+    return {
+        **{n: c(n) for n in plain},
+        "whsku_key": F.upper(c("whsku")),
+        "quantity": c("qty") * sign,
+        **({} if returns else {"orderid": c("orderid")}),
+        "netsales": value,
+        "party_name": c("partyname"),
+        "datasource": F.lit(datasource),
+        "rto": F.when(c("saletype") == "RTO", value).otherwise(F.lit(0)),
+        "financepartyname": finance,
+    }
+
+
 def warehouse_sales(
     rows: DataFrame,
     types: DataFrame,
@@ -349,53 +390,80 @@ def warehouse_sales(
     typed = lookup_join(
         kept, types.withColumnRenamed("ordername", "externalordernumber"), ["externalordernumber"]
     )
-    sign = F.lit(-1 if returns else 1)
-    value = F.col("netsale") * sign
-    d2c = F.col("channel") == "D2C"
-    finance = (
-        F.when(d2c & (F.col("marketingtype") == "CORE"), CORE_LABEL)
-        .when(d2c, NON_CORE_LABEL)
-        .otherwise(F.col("financepartyname"))
-    )
-    plain = ["whsku", "externalordernumber", "invoicedate", "invoicenumber", "channel", "platform",
-             "saletype", "subchannel", "demandchannel"]
-    return _sales(
-        typed,
-        {
-            **{c: F.col(c) for c in plain},
-            "whsku_key": F.upper("whsku"),
-            "quantity": F.col("qty") * sign,
-            **({} if returns else {"orderid": F.col("orderid")}),
-            "netsales": value,
-            "party_name": F.col("partyname"),
-            "datasource": F.lit(datasource),
-            "rto": F.when(F.col("saletype") == "RTO", value).otherwise(F.lit(0)),
-            "financepartyname": finance,
-        },
-    )
+    return _sales(typed, warehouse_columns(F.col, datasource, returns))
 
 
-def ledger_sales(rows: DataFrame, datasource: str) -> DataFrame:
+def ledger_columns(c: Named, datasource: str) -> dict[str, Column]:
     plain = ["whsku", "quantity", "party_name", "channel", "platform", "saletype"]
-    return _sales(
-        rows,
-        {
-            **{c: F.col(c) for c in plain},
-            "whsku_key": F.upper("whsku"),
-            "invoicedate": F.col("date"),
-            "invoicenumber": F.col("voucher_number"),
-            "netsales": F.col("amount"),
-            "datasource": F.lit(datasource),
-            "rto": F.when(F.col("saletype") == "RTO", F.col("amount")).otherwise(F.lit(0)),
-            "subchannel": F.lit(""),
-            "demandchannel": F.lit(""),
-            "financepartyname": F.col("party_name"),
-        },
+    return {
+        **{n: c(n) for n in plain},
+        "whsku_key": F.upper(c("whsku")),
+        "invoicedate": c("date"),
+        "invoicenumber": c("voucher_number"),
+        "netsales": c("amount"),
+        "datasource": F.lit(datasource),
+        "rto": F.when(c("saletype") == "RTO", c("amount")).otherwise(F.lit(0)),
+        "subchannel": F.lit(""),
+        "demandchannel": F.lit(""),
+        "financepartyname": c("party_name"),
+    }
+
+
+def ledger_sales(rows: DataFrame, datasource: str) -> DataFrame:
+    return _sales(rows, ledger_columns(F.col, datasource))
+
+
+@dataclass(frozen=True)
+class Branch:
+    """One report among several in a table: its rows, its columns as SQL over the table's, the
+    rows to keep, the lookup (``source``) and its code, and the sales columns. The last three are
+    told through a function that gives the report's columns."""
+
+    where: str
+    reads: Sequence[str]
+    keep: Callable[[Named], Column]
+    source: str | None
+    code: Callable[[Named], Column]
+    columns: Callable[[Named], Mapping[str, Column]]
+
+
+def fan_out(rows: DataFrame, branches: Sequence[Branch], lookups: DataFrame) -> DataFrame:
+    """Sales of all branches from one scan: each row is tagged with the first branch whose rows it
+    belongs to, and one lookup keyed by (source, code) maps all of them.
+
+    ``lookups`` has ``source, code, whsku, marketingtype``. Rows of no branch are left out; a row
+    whose code is not listed, or NULL, keeps NULLs; a code listed twice gives two rows.
+    """
+    tag = reduce(lambda x, i: x.when(F.expr(branches[i].where), i), range(len(branches)), F.when(F.lit(False), -1))
+    report = lambda i: F.struct(*[F.expr(e) for e in branches[i].reads])
+    tagged = rows.withColumn("_tag", tag).where("_tag IS NOT NULL")
+    tagged = tagged.select("_tag", *[F.when(F.col("_tag") == i, report(i)).alias(f"_b{i}") for i in range(len(branches))])
+    named = [lambda n, i=i: F.col(f"_b{i}.{n}") for i in range(len(branches))]
+
+    def chosen(of: Callable[[int], Column | None]) -> Column:
+        out = F.when(F.lit(False), None)
+        for i in range(len(branches)):
+            value = of(i)
+            if value is not None:
+                out = out.when(F.col("_tag") == i, value)
+        return out
+
+    kept = tagged.where(chosen(lambda i: branches[i].keep(named[i])))
+    kept = kept.withColumn("source", chosen(lambda i: F.lit(branches[i].source).cast("string")))
+    kept = kept.withColumn("code", chosen(lambda i: branches[i].code(named[i]) if branches[i].source else None))
+    mapped = lookup_join(kept, lookups, ["source", "code"])
+    columns = [b.columns(n) for b, n in zip(branches, named)]
+    return mapped.select(
+        *[
+            chosen(lambda i: columns[i][c].cast(kind) if c in columns[i] else None).cast(kind).alias(c)
+            for c, kind in SALES_COLUMNS.items()
+        ]
     )
 
 
 def primary_sales(branches: Sequence[DataFrame], costs: DataFrame) -> DataFrame:
-    """All branches as one table, with price and cost of the nearest cost snapshot."""
+    """All branches (from tables of their own, or fanned out of one) as one table, with price and
+    cost of the nearest cost snapshot."""
     base = reduce(DataFrame.unionByName, branches)
     keyed = costs.withColumn("whsku_key", F.upper("whsku")).drop("whsku")
     costed = join_nearest_snapshot(

@@ -75,6 +75,25 @@ def json_records(t: Tables) -> DataFrame:
     return files.read_json_records(t.spark, path, schema, doc_per_line=True)
 
 
+@query("json_in_order", """
+SELECT o_orderkey AS key, o_totalprice AS price FROM orders
+UNION ALL SELECT -o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+def json_in_order(t: Tables) -> DataFrame:
+    """Documents whose first filled list differs in name; a later list, first by name, is passed
+    over."""
+    path = t.scratch()
+    one = F.struct(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"))
+    two = F.struct((-F.col("o_orderkey")).alias("key"), F.col("o_totalprice").alias("price"))
+    records = F.when(F.col("o_orderstatus") == "F", F.array(one, two)).otherwise(F.array(one))
+    none, odd = F.slice(records, 1, 0), F.col("o_orderkey") % 2 == 1
+    docs = t.orders.select(
+        F.lit("[ok]").alias("status"), none.alias("zero"), F.when(odd, records).alias("results"),
+        F.when(~odd, records).alias("orders"), F.array(F.struct(F.lit(0).alias("key"))).alias("also"),
+    )
+    docs.write.json(path)
+    return files.read_json_in_order(t.spark, path, "key bigint, price double", doc_per_line=True)
+
+
 def _nested_orders(t: Tables) -> DataFrame:
     """Order documents with two items each, written and read as JSON."""
     path = t.scratch()

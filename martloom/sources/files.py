@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import io
-import json
+import itertools
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -97,6 +98,34 @@ def read_json_records(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
 
+def read_json_in_order(
+    spark: SparkSession, path: str, schema: T.StructType | str, doc_per_line: bool = False
+) -> DataFrame:
+    """JSON drops as rows of ``schema``: a list gives its items; an object gives the items of its
+    first non-empty list, *first in the document*, whatever the lists are called; an object
+    without one is a row itself. Items that are no objects are left out, as are broken documents.
+
+    Each document is read as text and its fields are looked at in the order they stand there; a
+    document must fit in a task (a line, with ``doc_per_line``).
+    """
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    if doc_per_line:
+        docs = spark.read.text(path).select(F.col("value").alias("doc"))
+    else:
+        docs = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
+    docs = docs.select(F.trim("doc").alias("doc")).where("doc <> ''")
+    # ``json_object_keys`` gives the outermost names as they stand in the document.
+    names = F.json_object_keys("doc")
+    fields = F.from_json("doc", "map<string, variant>")
+    as_list = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    lists = F.filter(names, lambda n: F.size(as_list(F.try_element_at(fields, n))) > 0)
+    body = F.when(names.isNull(), F.try_parse_json("doc")).otherwise(F.try_element_at(fields, F.get(lists, F.lit(0))))
+    whole = names.isNotNull() & (F.size(lists) == 0)
+    items = F.when(whole, F.array("doc")).otherwise(F.transform(as_list(body), lambda v: F.to_json(v)))
+    texts = docs.select(F.explode(items).alias("item")).where(F.col("item").startswith("{"))
+    return texts.select(F.from_json("item", kind).alias("r")).select("r.*")
+
+
 def split_items(
     docs: DataFrame, key: str, items: str = "items"
 ) -> tuple[DataFrame, DataFrame]:
@@ -117,11 +146,61 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     )
 
 
+# Characters of a member that are decoded at a time, and of records that are passed on together.
+PIECE = 1 << 20
+
+
+def json_records(pieces: Iterator[str]) -> Iterator[str]:
+    """The records of a JSON document that comes in pieces: the items of a list, or the document
+    itself, each as text. Holds one record and one piece; an unfinished document is an error."""
+    held, at, depth, start = "", 0, 0, None
+    listed = quoted = escaped = False
+    scan = re.compile(r'["\\\[\]{},]')
+    for piece in itertools.chain(pieces, [None]):
+        if piece is None:
+            break
+        held += piece
+        while True:
+            if escaped:  # the character after a backslash
+                if at >= len(held):
+                    break
+                at, escaped = at + 1, False
+            found = scan.search(held, at)
+            if not found:
+                at = len(held)
+                break
+            c, at = found.group(), found.end()
+            if quoted:
+                quoted = c != '"'
+                escaped = c == "\\"
+                continue
+            if c == '"':
+                quoted = True
+            elif c in "[{":
+                if depth == 0 and c == "[" and not held[: at - 1].strip():
+                    listed, held, at = True, held[at:], 0
+                depth += 1
+            elif c in "]}":
+                depth -= 1
+                if listed and depth == 0:
+                    if held[: at - 1].strip():
+                        yield held[: at - 1].strip()
+                    held, at = held[at:], 0
+            elif c == "," and listed and depth == 1:
+                yield held[: at - 1].strip()
+                held, at = held[at:], 0
+    if depth or quoted:
+        raise ValueError("the JSON document is not finished")
+    if not listed and held.strip():
+        yield held.strip()
+
+
 def unzip_records(archives: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of the JSON documents in a ``content`` column of zip archives.
 
-    Archives are unpacked in parallel, one at a time per task. A record is passed on as JSON text
-    and typed by Spark.
+    Archives are unpacked in parallel. Members are read as streams and cut into records while
+    they are unpacked, so a member may be larger than a worker's memory; the archive itself, and
+    one record, must fit. A record is passed on as JSON text and typed by Spark.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,11 +208,16 @@ def unzip_records(archives: DataFrame, schema: T.StructType) -> DataFrame:
             for blob in batch["content"]:
                 with zipfile.ZipFile(io.BytesIO(blob)) as archive:
                     for member in archive.namelist():
-                        data = json.loads(archive.read(member))
-                        records = data if isinstance(data, list) else [data]
-                        for start in range(0, len(records), 10000):
-                            part = records[start:start + 10000]
-                            yield pd.DataFrame({"record": [json.dumps(r) for r in part]})
+                        with archive.open(member) as data, io.TextIOWrapper(data, "utf-8-sig") as text:
+                            part, size = [], 0
+                            for record in json_records(iter(lambda: text.read(PIECE), "")):
+                                part.append(record)
+                                size += len(record)
+                                if size >= PIECE:
+                                    yield pd.DataFrame({"record": part})
+                                    part, size = [], 0
+                            if part:
+                                yield pd.DataFrame({"record": part})
 
     records = archives.select("content").mapInPandas(unpack, "record string")
     return records.select(F.from_json("record", schema).alias("r")).select("r.*")

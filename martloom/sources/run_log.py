@@ -10,9 +10,12 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.operators.ledger import run_state
+from martloom.sources.files import is_missing, remove_folder
 
 EVENTS = (
     "run_id string, step_name string, event_time timestamp_ntz, event_seq bigint, status string, "
@@ -80,7 +83,56 @@ class RunLog:
         self.complete(run_id, "success", step_name, **outcome)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENTS).parquet(self.path)
+        """All events: those of the last fold, and the files that came after it."""
+        folder, folded = self._folded()
+        fresh = [f for f in self._files() if f not in folded]
+        parts = ([f"{self.path}/{folder}"] if folder else []) + fresh
+        if not parts:
+            return self.spark.createDataFrame([], EVENTS)
+        return self.spark.read.schema(EVENTS).parquet(*parts)
+
+    def fold(self) -> int:
+        """Write all events so far as a few files, so that reading does not open one file for each
+        event. A record that names the folded files then stands for them; events that come
+        meanwhile are not among them and stay. Returns how many files were folded.
+
+        Folds are numbered, and a number's record is written once: of two folds at a time the
+        later one fails and changes nothing. The folded files are removed after the record.
+        """
+        folder, before = self._folded()
+        files = self._files()
+        fresh = [f for f in files if f not in before]
+        if not fresh:
+            return 0
+        number = int(folder.rsplit("/", 1)[1].split("-")[0]) + 1 if folder else 1
+        target = f"_folds_/{number:010d}-{uuid.uuid4().hex}"
+        self.events().sort("run_id", "event_seq").coalesce(1 + len(fresh) // 100_000).write.parquet(f"{self.path}/{target}")
+        record = self.spark.createDataFrame([(target, f) for f in files], "folder string, file string")
+        record.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/_folded_/{number:010d}")
+        for file in files:
+            remove_folder(self.spark, file)
+        return len(fresh)
+
+    def _files(self) -> list[str]:
+        """The files of events that were appended."""
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+        try:
+            return sorted(r["path"] for r in listed.load(self.path).select("path").toLocalIterator())
+        except AnalysisException as problem:
+            if is_missing(problem):
+                return []
+            raise
+
+    def _folded(self) -> tuple[str | None, set[str]]:
+        """The folder of the last fold and the files it stands for."""
+        try:
+            records = self.spark.read.schema("folder string, file string").parquet(f"{self.path}/_folded_/*")
+            last = records.agg(F.max("folder")).first()[0]
+        except AnalysisException as problem:
+            if is_missing(problem):
+                return None, set()
+            raise
+        return last, {r["file"] for r in records.where(F.col("folder") == last).toLocalIterator()}
 
     def runs(self) -> DataFrame:
         """Current state of every run."""

@@ -98,3 +98,24 @@ def test_findings(spark):
         "need": ("missing in file", True), "more": ("extra in file", False),
     }
     assert len(compatible(file, table)) == 2
+
+
+def test_keys_are_screened_in_one_scan(spark, monkeypatch):
+    """Only what may be a key is checked exactly."""
+    from martloom.operators import inference
+
+    df = spark.range(20000).selectExpr(
+        "id div 2 AS order_id", "IF(id = 7, NULL, id) AS id", "id % 2 AS line_no", "IF(id = 3, 2, id) AS item_id"
+    )
+    candidates = [["order_id"], ["id"], ["order_id", "line_no"], ["item_id"]]
+    # One repeat among 20,000 rows is below the sketch's error: it passes here and fails exactly.
+    assert inference.may_be_keys(df, candidates) == [False, False, True, True]
+    assert [inference.is_key(df, c) for c in candidates] == [False, False, True, False]
+    assert inference.may_be_keys(df, []) == []
+    checked = []
+    exact = inference.is_key
+    monkeypatch.setattr(inference, "is_key", lambda d, k: checked.append(tuple(k)) or exact(d, k))
+    found = inference.discover_keys(df, "order_lines")
+    assert found["composite"] == ["order_id", "line_no"] and ("order_id",) not in checked and ("id",) not in checked
+    empty = inference.may_be_keys(df.limit(0), [["id"]])
+    assert empty == [True] and inference.is_key(df.limit(0), ["id"])

@@ -38,6 +38,49 @@ def test_json_lists_of_different_kinds(spark, folder, rows):
     assert rows(kept.select("x", "y", "n")) == [(1, None, None), (None, 3, None), (None, None, 9)]
 
 
+def test_json_lists_in_document_order(spark, folder, rows):
+    """The first list by name is not the first in the document."""
+    docs = [
+        '{"note": "[1, 2]", "z": [{"k": 1, "v": "x"}], "a": [{"k": 9}]}', '{"z": [], "m": {"k": 8}, "a": [{"k": 2}, 7, "q"]}',
+        '[{"k": 3}, {"v": "[]"}]', '{"k": 4, "z": []}', '{"a": [{"k": 5}], "z": [{"k": 9}]}', "", "{broken", "[]",
+    ]
+    for i, doc in enumerate(docs):
+        Path(folder, f"d{i}.json").write_text(doc)
+    want = [(1, "x"), (2, None), (3, None), (4, None), (5, None), (None, "[]")]
+    assert rows(files.read_json_in_order(spark, folder, "k int, v string")) == want
+    Path(folder, "lines").mkdir()
+    Path(folder, "lines", "all.json").write_text("\n".join(docs))
+    got = files.read_json_in_order(spark, f"{folder}/lines", "k int, v string", doc_per_line=True)
+    assert rows(got) == want
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_json_records_cut_from_a_stream(size):
+    items = [{"a": 'x"],{\\', "b": [1, {"c": "]"}]}, 5, "t,]\\\"", [], [[1], {}], {}, None, True, "é"]
+    for doc in (items, [], {"a": [1, 2], "b": "[,"}, "text", 7, [[]]):
+        for text in (json.dumps(doc), json.dumps(doc, indent=2, ensure_ascii=False)):
+            pieces = (text[i : i + size] for i in range(0, len(text), size))
+            got = [json.loads(r) for r in files.json_records(pieces)]
+            assert got == (doc if isinstance(doc, list) else [doc])
+    with pytest.raises(ValueError):
+        list(files.json_records(iter(['[{"a": 1}, {"a"', ": 2}"])))
+
+
+def test_a_zip_member_is_never_held_whole():
+    """Records come while the member is still being read."""
+    read = []
+
+    def pieces():
+        yield "["
+        for i in range(1000):
+            read.append(i)
+            yield json.dumps({"i": i, "pad": "x" * 1000}) + ("," if i < 999 else "]")
+
+    for n, record in enumerate(files.json_records(pieces())):
+        assert json.loads(record)["i"] == n and len(read) <= n + 2
+    assert n == 999
+
+
 def test_partition_keyed_replace_leaves_other_partitions_alone(spark, folder, rows):
     schema = "k int, v string, p int"
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "n", 1), (4, "d", None)], schema)
