@@ -352,10 +352,12 @@ def _joining(tile: pa.Table, hashes: WordHashes, threshold: float) -> list[tuple
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, text`` of the wanted nodes (``node, rep, print``). A Bloom filter of bounded size
-    keeps most other texts from being shuffled; the join, by the words' print, is exact."""
+    keeps most other texts from being shuffled; the join, by the words' print, is exact. Filter and
+    print run in different stages, so a task has one Python worker at a time."""
     bloom = build_bloom(wanted, "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
     texts = texts.where(bloom.may_hold(F.col("doc_id"), docs.sparkSession))
+    texts = texts.repartition("doc_id", F.xxhash64("text"))
     texts = texts.withColumn("print", _print_of(F.col("text"))).where("print IS NOT NULL")
     found = lookup_join(texts, wanted.select("node", "print"), ["print"], "inner")
     return settle(found.groupBy("node").agg(F.min("text").alias("text")))
@@ -465,14 +467,17 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct("*").alias("_row"))
     told = lookup_join(rows.where(held), fate.withColumnRenamed("doc_id", "_id"), ["_id"])
     single = told.where("stays IS NULL")
-    several = told.where("stays").withColumn("print", _print_of(F.col("_row.text").cast("string").cast("binary")))
-    kept = judged.where("kept AND print IS NOT NULL").select(F.col("doc_id").alias("_id"), "print")
-    chosen = (
-        lookup_join(several.where("print IS NOT NULL"), kept, ["_id", "print"], "inner")
-        .groupBy("_id", "print")
-        .agg(F.min_by("_row", "_row.text").alias("_row"))
-    )
-    parts = [rows.where(~held), single, several.where("print IS NULL"), chosen]
+    parts = [rows.where(~held), single]
+    if not fate.where("stays").isEmpty():
+        several = settle(told.where("stays").select("_id", "_row"))
+        several = several.withColumn("print", _print_of(F.col("_row.text").cast("string").cast("binary")))
+        kept = judged.where("kept AND print IS NOT NULL").select(F.col("doc_id").alias("_id"), "print")
+        chosen = (
+            lookup_join(several.where("print IS NOT NULL"), kept, ["_id", "print"], "inner")
+            .groupBy("_id", "print")
+            .agg(F.min_by("_row", "_row.text").alias("_row"))
+        )
+        parts += [several.where("print IS NULL"), chosen]
     out = parts[0].select("_row.*")
     for part in parts[1:]:
         out = out.unionByName(part.select("_row.*"))
