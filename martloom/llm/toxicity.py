@@ -20,6 +20,7 @@ SIZES = (3, 4, 5)  # n-gram lengths; a word counts with a space on both sides
 SAMPLE_ROWS = 20_000  # labelled rows the classifier is fitted on, at most
 THRESHOLD = 0.7
 KEPT_WORDS = 600_000  # words whose features a worker remembers
+LEARNT = 16_384  # new words hashed together
 ROUNDS = 60  # steps of the fit, at most
 NEAR = 1e-3  # and until its gradient is this share of the first one
 GRAIN = 2.0**-40  # weights are added up as whole multiples of this, so that their order is nothing
@@ -89,9 +90,9 @@ class _Features:
             self._forget()
         rows = [list(words_in(text)) for text in texts]
         number = self.number
-        new = {w for words in rows for w in words if w not in number}
-        if new:
-            self._learn(list(new))
+        new = list({w for words in rows for w in words if w not in number})
+        for i in range(0, len(new), LEARNT):
+            self._learn(new[i : i + LEARNT])
         start, held, last = self.start, self.held, self.last
         for words in rows:
             own = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
