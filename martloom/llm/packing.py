@@ -30,7 +30,7 @@ from martloom.session import settle
 
 CAPACITY = 2048
 END_ID = 0
-KEPT_WORDS = 1 << 20  # words whose ids a worker remembers
+KEPT_WORDS = 1 << 19  # words whose ids a worker remembers
 JOINED = 2000  # unknown words tokenized by one call
 NODES = 2_000  # steps of one search for fillings
 FILLINGS = 64  # fillings considered around one document
