@@ -1,11 +1,13 @@
 """Class-based n-gram scoring: exchange clustering of words, class transitions, word emissions.
 
-The probability of a token is P(its class | the class before) x P(its unit | its class), and for
-words that share a unit also x P(word | unit). Units are what is clustered: each of the most
-frequent words alone, all other words by their ending. Every word, known or not, has a unit, so
-the clustering and the transitions use every token of the training texts, while their tables stay
-bounded: at most ``HEAD + ENDINGS + 1`` units. Word counts are not bounded: they stay in a table
-that texts are joined with; only the most frequent are broadcast.
+The probability of a token is P(its class | the class before) x P(word | its class). Classes come
+in two steps. Units are clustered by exchange: each of the most frequent words alone, all other
+words by their ending; their tables stay bounded, at most ``HEAD + ENDINGS + 1`` units. Then every
+other word of the training texts, however rare, gets the class under which its neighbours are
+likeliest. Only words never seen in training take the class of their ending.
+
+Word counts and classes are not bounded: they stay a table that texts are joined with; only the
+most frequent words are broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +38,8 @@ DICTIONARY = 1 << 17  # most frequent words, broadcast with their counts
 DICTIONARY_BYTES = 256  # longer words are never broadcast
 FLUSH = 200_000  # different words a counting task holds
 FLUSH_TOKENS = 4_000_000  # tokens after which a task sums up its pairs
-DISCOUNT = 0.75  # taken off each known word of an ending, for the unknown ones
+DISCOUNT = 0.75  # taken off each word outside the head, for the unknown ones of its class
+LEAN = 2.0  # occurrences with its ending's neighbours that each word outside the head starts with
 PRIOR = 5.0  # weight of the class distribution in each row of transitions
 UNITS = HEAD + ENDINGS + 1
 END = UNITS - 1
@@ -95,17 +99,17 @@ def _counted(held: Counter[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "n"])
 
 
-def _dictionary(counts: DataFrame) -> tuple[pd.DataFrame, int]:
+def _dictionary(counts: DataFrame, size: int) -> tuple[pd.DataFrame, int]:
     """The most frequent words with their counts, and the least count among them. The limit is
     found from how many words have each count, so that all words of a count are in or out and
-    never more than ``DICTIONARY`` rows are collected."""
+    never more than ``size`` rows are collected."""
     short = counts.where(f"word <> '' AND octet_length(word) <= {DICTIONARY_BYTES}")
     step = F.when(F.col("c") < 65536, F.col("c")).otherwise(
         F.pow(F.lit(2.0), F.floor(F.log2(F.col("c")))).cast("long")
     )
     held = short.groupBy(step.alias("step")).agg(F.count("*").alias("n")).toPandas()
     held = held.sort_values("step", ascending=False)
-    fits = held[held["n"].cumsum() <= DICTIONARY]
+    fits = held[held["n"].cumsum() <= size]
     least = int(fits["step"].min()) if len(fits) else 1 << 62
     top = short.where(F.col("c") >= least).toPandas()
     top["word"] = [w.encode() for w in top["word"]]
@@ -282,86 +286,313 @@ def exchange(near: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndar
     return best_classes, best_pairs
 
 
+def _neighbour_likelihoods(pairs: np.ndarray) -> np.ndarray:
+    """Log-likelihood, for each class of a word, of a neighbour's class after it (first rows) and
+    before it (last rows), by the smoothed class pairs."""
+    held = pairs + PRIOR * np.outer(pairs.sum(axis=1) + 0.5, pairs.sum(axis=0) + 0.5) / (
+        (pairs.sum() + 0.5 * CLASSES) * CLASSES
+    )
+    after = np.log(held / held.sum(axis=1, keepdims=True)).T
+    before = np.log(held / held.sum(axis=0, keepdims=True))
+    return np.concatenate((after, before))
+
+
+def _ending_neighbours(near: DataFrame, classes: np.ndarray) -> np.ndarray:
+    """Of each ending, the share of each class after it and before it (zeros for one not seen)."""
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = []
+            for (right, n), (left, m) in zip(_near(batch.column(1)), _near(batch.column(2))):
+                after = np.bincount(classes[right], n, CLASSES) / max(n.sum(), 1)
+                before = np.bincount(classes[left], m, CLASSES) / max(m.sum(), 1)
+                held.append(np.concatenate((after, before)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(held, pa.binary())], ["unit", "held"]
+            )
+
+    out = np.zeros((ENDINGS, 2 * CLASSES))
+    endings = near.where(f"unit >= {HEAD} AND unit < {END}").select("unit", "after", "before")
+    for r in endings.mapInArrow(share, "unit int, held binary").collect():
+        out[r["unit"] - HEAD] = np.frombuffer(r["held"])
+    return out
+
+
+def word_neighbours(texts: DataFrame, head: dict[bytes, int], classes: np.ndarray) -> DataFrame:
+    """``word, codes, counts`` of the words outside the head: how often a neighbour's class (a
+    byte; plus ``CLASSES`` if it stands before) was met. Neighbours outside the head count by their
+    ending. A word has a row for each task and flush, with at most ``2 * CLASSES`` codes."""
+    shared = texts.sparkSession.sparkContext.broadcast((head, classes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, classes = shared.value
+        units = _Units(head)
+        number: dict[bytes, int] = {}
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = tokens_of(text)
+                unit = np.array([END, *map(units.__getitem__, own), END], dtype=np.int64)
+                tail = np.flatnonzero(unit[1:-1] >= HEAD)
+                named = [number.setdefault(own[i], len(number)) for i in tail.tolist()]
+                at = np.array(named, dtype=np.int64) * 2 * CLASSES
+                near = classes[unit]
+                held += [at + near[tail + 2], at + CLASSES + near[tail]]
+                size += len(tail)
+                if size >= FLUSH_TOKENS or len(number) >= FLUSH:
+                    yield _coded(number, held)
+                    number, held, size = {}, [], 0
+        if number:
+            yield _coded(number, held)
+
+    return texts.select("text").mapInArrow(count, "word string, codes binary, counts binary")
+
+
+def _coded(number: dict[bytes, int], held: list[np.ndarray]) -> pa.RecordBatch:
+    flat, n = np.unique(np.concatenate(held), return_counts=True)
+    ends = np.searchsorted(flat, np.arange(len(number) + 1) * 2 * CLASSES)
+
+    def packed(values: np.ndarray) -> pa.Array:
+        offsets = pa.py_buffer((ends * values.itemsize).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(number), [None, offsets, pa.py_buffer(values)])
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(list(number), pa.binary()).cast(pa.string()),
+            packed((flat % (2 * CLASSES)).astype(np.uint8)),
+            packed(n.astype("<u4")),
+        ],
+        ["word", "codes", "counts"],
+    )
+
+
+def word_classes(rows: DataFrame, likely: np.ndarray, endings: np.ndarray) -> DataFrame:
+    """``word, c, class`` from the rows of ``word_neighbours``: each word's occurrences, and the
+    class under which its neighbours, and ``LEAN`` more of its ending's, are likeliest.
+
+    Rows are sorted by word and summed as they pass, so a task holds one batch and one sum.
+    """
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, np.zeros(2 * CLASSES)
+        for batch in batches:
+            size = batch.num_rows
+            if not size:
+                continue
+            words = batch.column(0)
+            first = np.ones(size, dtype=bool)
+            first[1:] = pc.not_equal(words.slice(1), words.slice(0, size - 1)).to_numpy(False)
+            group = np.cumsum(first) - 1
+            code = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
+            n = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4")
+            group = np.repeat(group, pc.binary_length(batch.column(1)).to_numpy())
+            width = 2 * CLASSES
+            met = np.bincount(group * width + code, n, int(first.sum()) * width).reshape(-1, width)
+            names = words.take(pa.array(np.flatnonzero(first))).cast(pa.binary()).to_pylist()
+            if names[0] == last:
+                met[0] += held
+            elif last is not None:
+                names, met = [last, *names], np.concatenate((held[None], met))
+            last, held = names.pop(), met[-1]
+            if names:
+                yield chosen(names, met[:-1])
+        if last is not None:
+            yield chosen([last], held[None])
+
+    def chosen(names: list[bytes], met: np.ndarray) -> pa.RecordBatch:
+        own = [ending(w) - HEAD for w in names]
+        fit = (met + LEAN * endings[own]) @ likely
+        best = np.argmax(fit[:, :-1], axis=1)  # the last class is the end's alone
+        count = met[:, :CLASSES].sum(axis=1)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(names, pa.binary()).cast(pa.string()),
+                pa.array(count.astype(np.int64)),
+                pa.array(best.astype(np.int32)),
+                pa.array(own, pa.int32()),
+            ],
+            ["word", "c", "class", "ending"],
+        )
+
+    rows = rows.repartition("word").sortWithinPartitions("word")
+    return rows.mapInArrow(choose, "word string, c long, class int, ending int")
+
+
+def _numbers(words: list[bytes], classes: np.ndarray):
+    """From words to their numbers in the dictionary and the classes of a text's path, end to end;
+    both are -1 for words outside."""
+    get = {w: i for i, w in enumerate(words)}.get
+    of = np.append(classes, -1)  # the number -1 finds -1
+
+    def path(own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array([get(w, -1) for w in own], dtype=np.int64)
+        out = np.full(len(own) + 2, CLASSES - 1, dtype=np.int64)
+        out[1:-1] = of[ids]
+        return ids, out
+
+    return path
+
+
+def _outside(own: list[bytes], path: np.ndarray, held: Counter) -> None:
+    """Count the words of a text that are outside the dictionary: ``(word, None, class before,
+    class after)``, no class for a neighbour that is outside as well, and ``(word, next word, None,
+    None)`` for such neighbours."""
+    for i in np.flatnonzero(path[1:-1] < 0).tolist():
+        before, after = int(path[i]), int(path[i + 2])
+        held[own[i], None, before if before >= 0 else None, after if after >= 0 else None] += 1
+        if after < 0:
+            held[own[i], own[i + 1], None, None] += 1
+
+
+_MET = "word string, next string, before int, after int, n long"
+
+
+def _met(held: dict) -> list[pa.Array]:
+    word, following, before, after = zip(*held) if held else ((), (), (), ())
+    return [
+        pa.array(word, pa.binary()).cast(pa.string()),
+        pa.array(following, pa.binary()).cast(pa.string()),
+        pa.array(before, pa.int32()),
+        pa.array(after, pa.int32()),
+        pa.array(held.values(), pa.int64()),
+    ]
+
+
+def class_pairs(texts: DataFrame, words: list[bytes], classes: np.ndarray, rare: DataFrame) -> np.ndarray:
+    """How often a class follows a class in the texts, each word in its own class. Pairs of
+    dictionary words and ends are summed in the tasks; the other words meet their classes in joins."""
+    shared = texts.sparkSession.sparkContext.broadcast((words, classes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path_of = _numbers(*shared.value)
+        held: Counter = Counter()
+        known = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+        for batch in batches:
+            paths = []
+            for text in batch.column(0).to_pylist():
+                own = tokens_of(text)
+                path = path_of(own)[1]
+                _outside(own, path, held)
+                paths += [path, [-1]]
+                if len(held) >= FLUSH:
+                    yield pa.RecordBatch.from_arrays(_met(held), ["word", "next", "before", "after", "n"])
+                    held = Counter()
+            if paths:
+                path = np.concatenate(paths)
+                both = (path[:-1] >= 0) & (path[1:] >= 0)
+                known += np.bincount(path[:-1][both] * CLASSES + path[1:][both], minlength=len(known))
+        for pair in np.flatnonzero(known).tolist():
+            held[None, None, pair // CLASSES, pair % CLASSES] = int(known[pair])
+        yield pa.RecordBatch.from_arrays(_met(held), ["word", "next", "before", "after", "n"])
+
+    rows = settle(texts.select("text").mapInArrow(count, _MET))
+    own = F.col("class")
+    alone = rows.where("word IS NOT NULL AND next IS NULL").join(rare, "word")
+    two = _two(rows, rare, "inner")
+    pairs = (
+        rows.where("word IS NULL").select("before", "after", "n")
+        .unionByName(alone.where("before IS NOT NULL").select("before", own.alias("after"), "n"))
+        .unionByName(alone.where("after IS NOT NULL").select(own.alias("before"), "after", "n"))
+        .unionByName(two.select(own.alias("before"), F.col("next_class").alias("after"), "n"))
+    )
+    out = np.zeros((CLASSES, CLASSES))
+    # At most CLASSES ** 2 rows.
+    for r in pairs.groupBy("before", "after").agg(F.sum("n").alias("n")).collect():
+        out[r["before"], r["after"]] = r["n"]
+    return out
+
+
+def _two(rows: DataFrame, rare: DataFrame, how: str) -> DataFrame:
+    """The neighbours outside the dictionary with both classes, ``class`` and ``next_class``."""
+    second = rare.select(F.col("word").alias("next"), F.col("class").alias("next_class"))
+    return rows.where("next IS NOT NULL").join(rare, "word", how).join(second, "next", how)
+
+
 @dataclass(frozen=True)
 class BrownModel:
-    """What scoring needs. ``counts`` is the whole word table; the rest is bounded."""
+    """What scoring needs. ``rare`` (``word, c, class``) holds the training words outside the
+    dictionary; the rest is bounded."""
 
-    counts: DataFrame
+    rare: DataFrame
     train_tokens: int
     vocabulary: int
+    train_texts: int
     words: list[bytes]  # the dictionary
     word_counts: np.ndarray
-    least: int  # the dictionary holds every word with this count or more
-    classes: np.ndarray
+    classes: np.ndarray  # of its words
+    emit: np.ndarray  # log10 P(word | class) of its words
+    pairs: np.ndarray  # how often a class follows a class
     step: np.ndarray  # log10 P(class | class before)
-    emit: np.ndarray  # log10 P(unit | class)
-    train_texts: int
-    ending_tokens: np.ndarray  # tokens of each ending
-    ending_words: np.ndarray  # different words of each ending
+    taken: np.ndarray  # per class: taken off the count of each word outside the head
+    norm: np.ndarray  # per class: log10 of its mass
+    ending_classes: np.ndarray  # classes of words never seen, by ending
+    unknown: np.ndarray  # log10 P(a word never seen, of this ending | its class)
 
     @property
     def base_norm(self) -> float:
         return math.log10(self.train_tokens + 0.5 * (self.vocabulary + 1))
 
 
-def fit(texts: DataFrame) -> BrownModel:
-    """Fit on the column ``text`` (UTF-8 bytes). No texts at all give uniform distributions."""
+def fit(texts: DataFrame, head: int = HEAD, dictionary: int = DICTIONARY) -> BrownModel:
+    """Fit on the column ``text`` (UTF-8 bytes). The ``head`` (at most ``HEAD``) most frequent words
+    are clustered each alone, ``dictionary`` words are broadcast. No texts at all give uniform
+    distributions."""
     ends = F.sum(F.when(F.col("word") == "", F.col("c")))
     counts = settle(word_counts(texts))
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), ends.alias("ends")).first()
-    top, least = _dictionary(counts)
+    top, least = _dictionary(counts, dictionary)
     words, known = top["word"].tolist(), top["c"].to_numpy(dtype=np.int64)
-    head = {w: i for i, w in enumerate(words[:HEAD])}
-    near = unit_neighbours(texts, head)
-    classes, pairs = exchange(near)
-
-    shared = texts.sparkSession.sparkContext.broadcast(head)
-
-    def by_ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = shared.value
-        held = np.zeros((ENDINGS, 2), dtype=np.int64)
-        for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word and word not in head:
-                    held[ending(word) - HEAD] += (c, 1)
-        used = np.flatnonzero(held[:, 1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(held[used, 0]), pa.array(held[used, 1])],
-            ["e", "tokens", "words"],
-        )
-
-    tail = np.zeros((ENDINGS, 2), dtype=np.int64)
-    per_ending = (
-        counts.select(F.col("word").cast("binary").alias("word"), "c")
-        .mapInArrow(by_ending, "e int, tokens long, words long")
-        .groupBy("e")
-        .agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words"))
+    alone = {w: i for i, w in enumerate(words[: min(head, HEAD)])}
+    near = unit_neighbours(texts, alone)
+    units, pairs = exchange(near)
+
+    met = word_neighbours(texts, alone, units)
+    lexicon = settle(word_classes(met, _neighbour_likelihoods(pairs), _ending_neighbours(near, units)))
+    common = (F.col("c") >= least) & (F.octet_length("word") <= DICTIONARY_BYTES)
+    rare = lexicon.where(~common).select("word", "c", "class")
+    class_of = {r["word"].encode(): r["class"] for r in lexicon.where(common).select("word", "class").toLocalIterator()}
+    classes = np.array(
+        [units[i] if i < len(alone) else class_of[w] for i, w in enumerate(words)], dtype=np.int64
     )
-    for row in per_ending.collect():
-        tail[row["e"]] = row["tokens"], row["words"]
+    pairs = class_pairs(texts, words, classes, rare)
+
+    # Mass taken off a class's words goes to the endings of that class, by their different words.
+    own = lexicon.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
+    tokens, types = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in own:
+        tokens[r["class"]], types[r["class"]] = r["c"], r["v"]
+    tokens += np.bincount(classes[: len(alone)], known[: len(alone)], CLASSES)
+    share = np.full(ENDINGS, 0.5)
+    for r in lexicon.groupBy("ending").agg(F.count("*").alias("v")).collect():
+        share[r["ending"]] += r["v"]
+    ending_classes = units[HEAD:END]
+    open_ = np.bincount(ending_classes, minlength=CLASSES)
+    taken = np.where(open_ > 0, DISCOUNT, 0.0)
+    left = taken * types + 0.5 * open_
+    mass = np.maximum(tokens + 0.5 * open_, 1e-300)
+    unknown = share / np.bincount(ending_classes, share, CLASSES)[ending_classes]
+    unknown = np.log10(unknown * left[ending_classes] / mass[ending_classes])
+    count = known - np.where(np.arange(len(words)) < len(alone), 0.0, taken[classes])
 
     follow = pairs.sum(axis=0)
     prior = (follow + 0.5) / (follow.sum() + 0.5 * CLASSES)
     step = np.log10((pairs + PRIOR * prior) / (pairs.sum(axis=1, keepdims=True) + PRIOR))
-    seen = np.zeros(UNITS)
-    seen[: len(head)] = known[: len(head)]
-    seen[HEAD : HEAD + ENDINGS] = tail[:, 0] + 0.5  # an ending may also be new
-    seen[END] = 1.0
-    in_class = np.bincount(classes, seen, CLASSES)
-    emit = np.log10(np.maximum(seen, 1e-300) / np.maximum(in_class[classes], 1e-300))
     return BrownModel(
-        counts=counts,
+        rare=rare,
         train_tokens=int(total["n"] or 0),
         vocabulary=int(total["v"]),
+        train_texts=int(total["ends"] or 0),
         words=words,
         word_counts=known,
-        least=least,
         classes=classes,
+        emit=np.log10(count) - np.log10(mass)[classes],
+        pairs=pairs,
         step=step,
-        emit=emit,
-        train_texts=int(total["ends"] or 0),
-        ending_tokens=tail[:, 0],
-        ending_words=tail[:, 1],
+        taken=taken,
+        norm=np.log10(mass),
+        ending_classes=ending_classes,
+        unknown=unknown,
     )
 
 
@@ -370,125 +601,119 @@ def score(docs: DataFrame, model: BrownModel) -> DataFrame:
 
     Both scores are log10 probabilities over the same events: each known word, the end, and
     "a word never seen", which the class model further splits by ending. Words of the dictionary
-    are scored where the text lies; only the others are shuffled, to meet their counts, each of
-    them too rare to make a hot key. NULL and empty texts consist of the end alone; repeated rows
-    and NULL ids are scored like any other row; an empty table gives an empty result.
+    are scored where the text lies; only the others are shuffled, to meet their counts and classes,
+    each of them too rare to make a hot key; where two of them stand side by side, the pair meets
+    both classes. NULL and empty texts consist of the end alone; repeated rows and NULL ids are
+    scored like any other row; an empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType
-    unknown = np.log10(DISCOUNT * model.ending_words + 0.5)
-    norm = np.log10(model.ending_tokens + 0.5)
-    part = np.zeros(len(model.words))
-    units = np.array([i if i < HEAD else ending(w) for i, w in enumerate(model.words)], dtype=np.int64)
-    rare = np.arange(len(model.words)) >= HEAD
-    part[rare] = np.log10(model.word_counts[rare] - DISCOUNT) - norm[units[rare] - HEAD]
     shared = spark.sparkContext.broadcast(
-        {
-            "words": model.words,
-            "unit": units,
-            "base": np.log10(model.word_counts + 0.5),
-            "part": part,
-            "classes": model.classes,
-            "step": model.step,
-            "emit": model.emit,
-            "norm": norm,
-            "unknown": unknown,
-        }
+        (model.words, model.classes, np.log10(model.word_counts + 0.5), model.emit, model.step)
     )
     fields = [
         T.StructField("key", T.LongType()),
         T.StructField("word", T.StringType()),
+        T.StructField("next", T.StringType()),
+        T.StructField("before", T.IntegerType()),
+        T.StructField("after", T.IntegerType()),
         T.StructField("n", T.LongType()),
+        T.StructField("ending", T.IntegerType()),
+        T.StructField("next_ending", T.IntegerType()),
         T.StructField("doc_id", id_type),
         T.StructField("n_tokens", T.LongType()),
-        T.StructField("n_known", T.LongType()),
+        T.StructField("known", T.LongType()),
         T.StructField("base", T.DoubleType()),
         T.StructField("score", T.DoubleType()),
-        T.StructField("unknown", T.DoubleType()),
     ]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        number = {w: i for i, w in enumerate(m["words"])}
-        at = TaskContext.get().partitionId() << 40
-        get = number.get
+        words, classes, bases, emit, step = shared.value
+        path_of = _numbers(words, classes)
+        first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            keys, words, ns, known, base, score, unknowns, sizes, rows = [], [], [], [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
+            size, held, ends = batch.num_rows, [], []
+            tokens, known, base, score = [], [], [], []
+            for text in batch.column(1).to_pylist():
                 own = tokens_of(text)
-                ids = np.array([get(w, -1) for w in own], dtype=np.int64)
-                inside = ids >= 0
-                unit = np.empty(len(own) + 1, dtype=np.int64)
-                unit[-1] = END
-                unit[:-1][inside] = m["unit"][ids[inside]]
-                outside = np.flatnonzero(~inside)
-                tail = [own[i] for i in outside.tolist()]
-                unit[outside] = [ending(w) for w in tail]
-                classes = m["classes"][unit]
-                path = np.concatenate((m["classes"][END:], classes))
-                value = m["step"][path[:-1], path[1:]].sum() + m["emit"][unit].sum()
-                value += m["part"][ids[inside]].sum() - m["norm"][unit[outside] - HEAD].sum()
-                # A word with a blank is in no table: the document's own row goes anywhere.
-                keys.append(at)
-                words.append(b"%d " % at)
-                ns.append(None)
-                known.append(int(inside.sum()))
-                base.append(float(m["base"][ids[inside]].sum()))
-                score.append(float(value))
-                sizes.append(len(own) + 1)
-                unknowns.append(None)
-                rows.append(row)
-                for w, n in Counter(tail).items():
-                    keys.append(at)
-                    words.append(w)
-                    ns.append(n)
-                    known.append(None)
-                    base.append(None)
-                    score.append(None)
-                    sizes.append(None)
-                    unknowns.append(m["unknown"][ending(w) - HEAD])
-                    rows.append(None)
-                at += 1
-            ids = batch.column(0).take(pa.array(rows, pa.int64()))
+                ids, path = path_of(own)
+                both = (path[:-1] >= 0) & (path[1:] >= 0)
+                ids = ids[ids >= 0]
+                tokens.append(len(own) + 1)
+                known.append(len(ids))
+                base.append(float(bases[ids].sum()))
+                score.append(float(step[path[:-1][both], path[1:][both]].sum() + emit[ids].sum()))
+                outside: Counter = Counter()
+                if len(ids) < len(own):
+                    _outside(own, path, outside)
+                held += outside.items()
+                ends.append(len(held))
+            # The documents' own rows first, then those of the words outside the dictionary.
+            owner = np.repeat(np.arange(size), np.diff([0, *ends]))
+            rows = [(None, None, None, None)] * size + [k for k, _ in held]
+            word, following, before, after = zip(*rows) if rows else ((), (), (), ())
+            blank = [None] * len(held)
+            row = pa.array([*range(size), *blank], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys, pa.int64()),
-                    pa.array(words, pa.binary()).cast(pa.string()),
-                    pa.array(ns, pa.int64()),
-                    ids,
-                    pa.array(sizes, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(score, pa.float64()),
-                    pa.array(unknowns, pa.float64()),
+                    pa.array(first + np.concatenate((np.arange(size), owner))),
+                    pa.array(word, pa.binary()).cast(pa.string()),
+                    pa.array(following, pa.binary()).cast(pa.string()),
+                    pa.array(before, pa.int32()),
+                    pa.array(after, pa.int32()),
+                    pa.array([None] * size + [n for _, n in held], pa.int64()),
+                    pa.array([None if w is None else ending(w) - HEAD for w in word], pa.int32()),
+                    pa.array([None if w is None else ending(w) - HEAD for w in following], pa.int32()),
+                    batch.column(0).take(row),
+                    pa.array([*tokens, *blank], pa.int64()),
+                    pa.array([*known, *blank], pa.int64()),
+                    pa.array([*base, *blank], pa.float64()),
+                    pa.array([*score, *blank], pa.float64()),
                 ],
                 names=[f.name for f in fields],
             )
+            first += size
 
     rows = docs.select("doc_id", utf8("text").alias("text")).mapInArrow(scored, T.StructType(fields))
-    rare_counts = model.counts.where(
-        (F.col("c") < model.least) | (F.octet_length("word") > DICTIONARY_BYTES)
-    ).where("word <> ''")
-    joined = rows.join(rare_counts, "word", "left")
-    found = F.col("n").isNotNull()
-    c = F.coalesce(F.col("c"), F.lit(0))
-    joined = joined.select(
+    rows = settle(rows)
+    step = F.lit(model.step.ravel())
+    unseen = F.lit(model.ending_classes.astype(np.int32))
+
+    def stepped(a, b):
+        return F.get(step, (a * CLASSES + b).cast("int"))
+
+    own = F.coalesce("class", F.get(unseen, F.col("ending")))
+    c = F.coalesce("c", F.lit(0))
+    alone = rows.where("word IS NOT NULL AND next IS NULL").join(model.rare, "word", "left")
+    emitted = F.when(
+        c > 0, F.log10(c - F.get(F.lit(model.taken), own)) - F.get(F.lit(model.norm), own)
+    ).otherwise(F.get(F.lit(model.unknown), F.col("ending")))
+    beside = [F.coalesce(stepped(F.col("before"), own), F.lit(0.0)), F.coalesce(stepped(own, F.col("after")), F.lit(0.0))]
+    alone = alone.select(
         "key",
-        "doc_id",
-        "n_tokens",
-        F.when(found, F.when(c > 0, F.col("n")).otherwise(0)).otherwise(F.col("n_known")).alias("known"),
-        F.when(found, F.col("n") * F.log10(c + 0.5)).otherwise(F.col("base")).alias("base"),
-        F.when(found, F.col("n") * F.when(c > 0, F.log10(c - DISCOUNT)).otherwise(F.col("unknown")))
-        .otherwise(F.col("score"))
-        .alias("score"),
+        F.when(c > 0, F.col("n")).otherwise(0).alias("known"),
+        (F.col("n") * F.log10(c + 0.5)).alias("base"),
+        (F.col("n") * (emitted + beside[0] + beside[1])).alias("score"),
+    )
+    following = F.coalesce("next_class", F.get(unseen, F.col("next_ending")))
+    two = _two(rows, model.rare, "left").select(
+        "key",
+        F.lit(0).cast("long").alias("known"),
+        F.lit(0.0).alias("base"),
+        (F.col("n") * stepped(own, following)).alias("score"),
     )
     # The document's id stands in its own row only; the others have NULL there.
-    summed = joined.groupBy("key").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum("known").alias("known"),
-        F.sum("base").alias("base"),
-        F.sum("score").alias("score"),
+    summed = (
+        rows.where("word IS NULL").select("key", "doc_id", "n_tokens", "known", "base", "score")
+        .unionByName(alone.unionByName(two), allowMissingColumns=True)
+        .groupBy("key")
+        .agg(
+            F.max("doc_id").alias("doc_id"),
+            F.sum("n_tokens").alias("n_tokens"),
+            F.sum("known").alias("known"),
+            F.sum("base").alias("base"),
+            F.sum("score").alias("score"),
+        )
     )
     end = math.log10(model.train_texts + 0.5)
     return summed.select(

@@ -148,27 +148,94 @@ def test_language_model_base_and_mass(spark, sf, texts):
     assert sum(got[d]["score"] for d in out) > sum(got[d]["base_score"] for d in out)
 
 
-def test_language_model_is_a_distribution(spark):
+@pytest.mark.parametrize("head, dictionary", [(brown.HEAD, brown.DICTIONARY), (9, 20), (9, 9), (0, 0)])
+def test_language_model_is_a_distribution(spark, head, dictionary):
     """From the first state, all known words, the end and the unseen of each ending sum to 1."""
     words = [f"w{i % 7}{chr(97 + i % 11)}" for i in range(60)]
     docs = table(spark, [" ".join(words[i : i + 9]) for i in range(52)])
-    model = brown.fit(docs.select(utf8("text").alias("text")))
+    model = brown.fit(docs.select(utf8("text").alias("text")), head, dictionary)
     known = sorted(set(words))
+    rare = {r["word"]: r["class"] for r in model.rare.collect()}
+    class_of = {**rare, **{w.decode(): k for w, k in zip(model.words, model.classes.tolist())}}
+    assert sorted(class_of) == known and (dictionary > 60) == (not rare)
     fresh = {}
     for i in range(20000):
         w = f"q{i}".encode()
         fresh.setdefault(brown.ending(w), w.decode())
+    for e, w in fresh.items():
+        class_of[w] = model.ending_classes[e - brown.HEAD]
     probes = table(spark, ["", *known, *fresh.values()])
     score = {r["doc_id"]: r["score"] for r in brown.score(probes, model).collect()}
-    end = brown.END
-    after = {
-        i: model.step[model.classes[brown.ending(w.encode()) if i > len(known) else model.words.index(w.encode())], -1]
-        for i, w in enumerate([*known, *fresh.values()], 1)
-    }
-    total = 10 ** score[0] + sum(10 ** (score[i] - a - model.emit[end]) for i, a in after.items())
+    after = [model.step[class_of[w], -1] for w in [*known, *fresh.values()]]
+    total = 10 ** score[0] + sum(10 ** (score[i] - a) for i, a in enumerate(after, 1))
     assert total <= 1 + 1e-6
-    if len(fresh) == brown.ENDINGS:
-        assert total == pytest.approx(1, abs=1e-3)
+    assert len(fresh) == brown.ENDINGS and total == pytest.approx(1, abs=1e-6)
+
+
+@pytest.mark.parametrize("dictionary", [12, 40, 10_000])
+def test_language_model_classes_against_brute_force(spark, dictionary):
+    """Every training word, however rare, takes its class from its own neighbours; class pairs and
+    scores are those of plain loops over the whole path."""
+    r = random.Random(4)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in ("un", "de", "ist", "x")] + [f"r{i}" for i in range(80)]
+    odds = [1 / (i + 1) for i in range(len(names))]
+    texts = [" ".join(r.choices(names, odds, k=r.randint(0, 14))) for _ in range(250)]
+    docs = table(spark, texts)
+    model = brown.fit(docs.select(utf8("text").alias("text")), 8, dictionary)
+    class_of = {w.decode(): k for w, k in zip(model.words, model.classes.tolist())}
+    rare = {x["word"]: x for x in model.rare.collect()}
+    assert not class_of.keys() & rare.keys()
+    class_of |= {w: x["class"] for w, x in rare.items()}
+    counts = collections.Counter(w for t in texts for w in t.split())
+    assert class_of.keys() == counts.keys() and all(x["c"] == counts[w] for w, x in rare.items())
+
+    end = brown.CLASSES - 1
+    pairs = np.zeros((brown.CLASSES, brown.CLASSES))
+    for t in texts:
+        path = [end, *[class_of[w] for w in t.split()], end]
+        for a, b in zip(path, path[1:]):
+            pairs[a, b] += 1
+    assert (pairs == model.pairs).all()
+
+    head = {w for w in model.words[:8]}
+    probes = ["", "unseen", "r1 r2 unseen other r3 aun", "r70 r71 r72 r73", " ".join(names), *texts[:40]]
+    got = {x["doc_id"]: x for x in brown.score(table(spark, probes), model).collect()}
+    for i, t in enumerate(probes):
+        before, total = end, 0.0
+        for w in t.split():
+            e = brown.ending(w.encode()) - brown.HEAD
+            k = class_of.get(w, model.ending_classes[e])
+            total += model.step[before, k]
+            if w in counts:
+                c = counts[w] - (0 if w.encode() in head else model.taken[k])
+                total += math.log10(c) - model.norm[k]
+            else:
+                total += model.unknown[e]
+            before = k
+        total += model.step[before, end]
+        assert got[i]["score"] == pytest.approx(total, abs=1e-9)
+        assert got[i]["n_known"] == 1 + sum(w in counts for w in t.split())
+
+
+def test_word_classes_follow_the_neighbours(spark):
+    """Rows of a word may come from many tasks; its class is that of greatest likelihood of all."""
+    ready(spark)
+    rng = np.random.default_rng(3)
+    likely = np.log(rng.dirichlet(np.ones(brown.CLASSES), 2 * brown.CLASSES))
+    endings = np.zeros((brown.ENDINGS, 2 * brown.CLASSES))
+    rows, whole = [], collections.defaultdict(lambda: np.zeros(2 * brown.CLASSES))
+    for i in range(3000):
+        word = f"w{i % 700 if i < 1500 else 5}"
+        codes = np.sort(rng.choice(2 * brown.CLASSES, rng.integers(1, 30), replace=False))
+        counts = rng.integers(1, 400, len(codes))
+        whole[word][codes] += counts
+        rows.append((word, bytearray(codes.astype(np.uint8).tobytes()), bytearray(counts.astype("<u4").tobytes())))
+    frame = spark.createDataFrame(rows, "word string, codes binary, counts binary").repartition(7)
+    got = {r["word"]: r for r in brown.word_classes(frame, likely, endings).collect()}
+    assert got.keys() == whole.keys()
+    for word, met in whole.items():
+        assert got[word]["c"] == met[: brown.CLASSES].sum()
+        assert got[word]["class"] == int(np.argmax((met @ likely)[:-1]))
 
 
 def test_exchange_gain_is_the_change_of_likelihood():
