@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 
@@ -47,6 +48,24 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_WORD).split() if text else []
 
 
+_kept: dict[tuple, Any] = {}
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """A large helper that a worker process keeps from task to task. Workers serve one operator
+    after another, so one that is asked for takes the place of the one before."""
+    if key not in _kept:
+        let_go()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Free what ``kept`` holds, and Arrow's unused memory."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def utf8(column: str) -> Column:
     """A text column as its UTF-8 bytes."""
     return F.col(f"`{column}`").cast("string").cast("binary")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import ASCII_LOWER, utf8
+from martloom.llm.common import ASCII_LOWER, kept, utf8
 from martloom.session import settle
 
 CAPACITY = 2048
@@ -232,14 +232,9 @@ def cut_pieces(
     return docs.select("doc_id", utf8("text").alias("text")).mapInArrow(cut, T.StructType(fields))
 
 
-_held: dict[str, WordTokens] = {}
-
-
 def _tokens(path: str) -> WordTokens:
     """One tokenizer per worker process."""
-    if path not in _held:
-        _held[path] = WordTokens(path)
-    return _held[path]
+    return kept(("words", path), lambda: WordTokens(path))
 
 
 # A filling: how often each length occurs in it, longest first.

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import beside, utf8
+from martloom.llm.common import beside, kept, utf8
 
 LIMIT = 4096
 KEPT_WORDS = 1 << 20  # words whose counts a worker remembers
@@ -317,14 +317,9 @@ def _lookup(ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, in
     return np.concatenate((hashes, pad.view(np.uint64))), np.concatenate((tokens, pad)), first, most
 
 
-_held: dict[str, PrefixCounts] = {}
-
-
 def counter(path: str) -> PrefixCounts:
     """One counter per worker process."""
-    if path not in _held:
-        _held[path] = PrefixCounts(path)
-    return _held[path]
+    return kept(("prefixes", path), lambda: PrefixCounts(path))
 
 
 def _plain(text: bytes | None) -> bytes:

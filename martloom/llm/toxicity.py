@@ -12,14 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import beside
+from martloom.llm.common import beside, let_go
 from martloom.session import settle
 
 BUCKETS = 1 << 18  # hashed n-grams that are counted
 SIZES = (3, 4, 5)  # n-gram lengths; a word counts with a space on both sides
 SAMPLE_ROWS = 20_000  # labelled rows the classifier is fitted on, at most
 THRESHOLD = 0.7
-KEPT_WORDS = 600_000  # words whose features a worker remembers
+KEPT_WORDS = 200_000  # words whose features a worker remembers
 LEARNT = 16_384  # new words hashed together
 ROUNDS = 60  # steps of the fit, at most
 NEAR = 1e-3  # and until its gradient is this share of the first one
@@ -121,6 +121,7 @@ class ToxicityModel:
 
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            let_go()
             features = _Features(whole != 0)
             for texts in batches:
                 odds = [bias + int(whole[held].sum()) * GRAIN for held in features.of(texts)]
