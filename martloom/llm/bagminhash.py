@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import in_runs, runs, spread_tiles, utf8, words_of
+from martloom.llm.common import in_runs, let_go, runs, spread_tiles, utf8, words_of
 from martloom.llm.components import components
 from martloom.llm.url_filter import build_bloom
 from martloom.operators.skew import lookup_join
@@ -34,7 +34,7 @@ MISSED = 5e-5  # probability that a pair at the threshold shares no band
 COMPONENTS = 128  # of a signature, at most
 SKETCH_TILE = 512  # documents on a side of a tile in which sketches are compared
 TILE = 128  # documents on a side of a tile in which bags are compared
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 _G = 0x9E3779B97F4A7C15
 _P = np.uint64(0xD6E8FEB86659FD93)
@@ -192,6 +192,7 @@ def _signed(docs: DataFrame, plan: Plan) -> DataFrame:
     """``doc_id, print, bands, sketch`` of every row; without an id or a word only the id."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes = WordHashes()
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -233,6 +234,7 @@ def _check(pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` (texts ``text_a``, ``text_b``) that are similar enough."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes = WordHashes()
         last, left = None, None  # rows of one a come one after another
         for batch in batches:
@@ -310,6 +312,7 @@ def _links_in_tile(threshold: float):
     """Compare the documents of a tile; links that join what is not yet joined come back."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes = WordHashes()
         for tile in runs(batches, len(_TILE)):
             out = _joining(tile, hashes, threshold)
