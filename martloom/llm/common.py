@@ -14,8 +14,18 @@ from pyspark.sql import functions as F
 
 from martloom.session import tune
 
-# Rows per Arrow batch: documents can be long, so a batch holds few of them.
+# Rows and bytes per Arrow batch: documents can be long, so a batch holds few of them.
 BATCH_ROWS = 500
+BATCH_BYTES = "8m"
+
+# Python workers serve task after task: what a task frees goes back to the system instead of
+# staying with a worker that waits.
+ALLOCATOR = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": str(2 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+}
 
 _HOME = str(Path(__file__).resolve().parents[2])
 
@@ -32,7 +42,10 @@ def ready(spark: SparkSession) -> SparkSession:
     this package where the driver has it (a cluster without it there needs ``--py-files``)."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     environment = spark.sparkContext.environment
+    for name, value in ALLOCATOR.items():
+        environment.setdefault(name, value)
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _HOME not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([_HOME, *paths])
