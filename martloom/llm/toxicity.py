@@ -152,6 +152,7 @@ def labelled_sample(
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents of either label per n-gram, summed over the task; bucket -1 counts documents."""
+    let_go()
     held = np.zeros((BUCKETS + 1, 2), dtype=np.int64)
     for pdf in batches:
         for text, label in zip(pdf["text"], pdf["label"]):
@@ -227,6 +228,7 @@ def fit(sample: DataFrame, regularisation: float = 1e-4) -> ToxicityModel:
 
     @F.pandas_udf("array<int>")
     def held_grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         known = np.zeros(BUCKETS, dtype=bool)
         known[buckets] = True
         features = _Features(known)
@@ -242,6 +244,7 @@ def fit(sample: DataFrame, regularisation: float = 1e-4) -> ToxicityModel:
         bias, weights = at[-1], at[:-1] * scale
 
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             loss, grown = 0.0, np.zeros(BUCKETS + 1)
             for batch in batches:
                 label = batch.column(0).to_numpy()
