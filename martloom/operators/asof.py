@@ -79,9 +79,11 @@ def join_nearest_snapshot(
         F.coalesce(slot_of(F.date_sub("_to", 1)), high),
         F.expr(_STEP[slot]),
     )
+    # The planner takes the intervals for as small as the snapshots' files, but each is repeated once
+    # per slot: without the hint the driver would collect them for a broadcast.
     cut = intervals.select(
         *keys, *values, *extra, "_from", "_to", F.explode(slots).alias("_slot")
-    ).alias("i")
+    ).hint("merge").alias("i")
 
     day = F.col(date).cast("date")
     placed = facts.withColumn(

@@ -249,8 +249,10 @@ def first_active_listing(listings: DataFrame) -> DataFrame:
 
 def sku_by_code(listings: DataFrame, products: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Platform code (and further keys) to warehouse SKU: the two lookup tables joined up front,
-    so that the sales are joined once."""
-    return listings.join(products.select("ipcode", "whsku"), "ipcode", "left").select(*keys, "whsku")
+    so that the sales are joined once. Both grow with the assortment, and texts built from a
+    narrow column are many times its size in a file: the hint keeps them off the driver."""
+    skus = products.select("ipcode", "whsku").hint("merge")
+    return listings.join(skus, "ipcode", "left").select(*keys, "whsku")
 
 
 Named = Callable[[str], Column]

@@ -56,3 +56,12 @@ def test_no_snapshots_at_all(spark, rows):
     costs = spark.createDataFrame([], SNAP)
     got = join_nearest_snapshot(facts, costs, ["k"], "day", "d", "u", ["cost"])
     assert rows(got) == [("a", BASE, None)]
+
+
+def test_intervals_are_shuffled_and_not_broadcast(spark, rows):
+    """However small the planner takes the snapshots for: each interval is repeated once per slot."""
+    costs = spark.createDataFrame([("a", BASE, 1, 5), ("a", BASE + timedelta(days=900), 1, 6)], SNAP)
+    facts = spark.createDataFrame([("a", BASE + timedelta(days=400)), ("b", BASE)], "k string, day date")
+    got = join_nearest_snapshot(facts, costs, ["k"], "day", "d", "u", ["cost"])
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == [("a", BASE + timedelta(days=400), 5), ("b", BASE, None)]
