@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators.asof import join_nearest_snapshot
-from martloom.operators.skew import lookup_join, next_in_key, one_per_key, with_keys, without_keys
+from martloom.operators import skew
+from martloom.operators.dedup import merge_keep_last
+from martloom.operators.skew import in_groups, lookup_join, next_in_key, one_per_key, with_keys, without_keys
 
 HOT = "CASE WHEN id % 3 = 0 THEN 0 ELSE id END"
 
@@ -88,3 +90,22 @@ def test_next_in_key_equals_lead(spark):
         got = next_in_key(df, ["k"], "ts", "id", "id", "following", grain)
         want = df.withColumn("following", lead)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("few", [1, 10_000])
+def test_groups_meet_whether_few_or_many(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(skew, "FEW_GROUPS", few)
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c"), (1, "a")], "v int, g string").repartition(3)
+    other = spark.createDataFrame([("a",), (None,), ("a",), ("x",)], "g string")
+    assert rows(in_groups(df, other, ["g"])) == [(1, "a"), (1, "a"), (3, None)]
+    assert rows(in_groups(df, other, ["g"], inside=False)) == [(2, "b"), (4, "c")]
+
+
+def test_partition_merge_moves_no_partition_to_one_task(spark, small_partitions):
+    """Three partition values: the existing rows meet the touched ones where they lie."""
+    old = spark.range(3000).select("id", F.expr("id % 3").alias("g"), F.lit(0).alias("v"))
+    new = old.where("id < 10 AND g = 1").withColumn("v", F.lit(1))
+    merged = merge_keep_last(old, new, ["id"], ["v"], partition_by=["g"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(coalesce(g" not in plan and "BroadcastHashJoin" in plan
+    assert merged.count() == 1000 and merged.where("v = 1").count() == new.count()
