@@ -29,7 +29,7 @@ from martloom.operators.skew import all_not_null
 from martloom.sources.files import is_missing, remove_folder
 
 FILE_ROWS = 1_000_000
-BITS_PER_ROW, PROBES = 12, 6  # of a file's Bloom filter: about one other key in 200 passes
+BITS_PER_KEY, PROBES = 12, 6  # of a file's Bloom filter: about one other key in 200 passes
 BOUNDS = 128  # values that split an index's range where keys meet files
 
 _RECORD = (
@@ -218,7 +218,10 @@ class FileTable:
         """Write rows as files ordered by the first index; their manifest rows."""
         folder = f"data-{uuid.uuid4().hex}"
         order = list(self.indexes[0])
-        ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        # A value of the index may have a large part of the rows: the other columns spread it.
+        held = [f.name for f in schema.fields if f.name not in order and not _has_map(f.dataType)]
+        spread = [F.xxhash64(*held)] if held else []
+        ordered = df.repartitionByRange(*order, *spread).sortWithinPartitions(*order)
         self._write_files(ordered, folder)
         return self._describe(folder, schema)
 
@@ -227,15 +230,18 @@ class FileTable:
 
     def _describe(self, folder: str, schema: T.StructType) -> DataFrame:
         """Sizes, ranges and Bloom filters of the files of one write."""
-        name = F.concat(F.lit(f"{folder}/"), F.regexp_extract("_metadata.file_path", "[^/]+$", 0))
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
-        rows = rows.select("*", name.alias("_file"), F.col("_metadata.file_size").alias("_bytes"))
-        described = rows.groupBy(F.col("_file").alias("file")).agg(
+        rows = rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_size").alias("_bytes"))
+        described = rows.groupBy("_file").agg(
             F.count(F.lit(1)).alias("rows"), F.max("_bytes").alias("bytes"),
             *[one for i, columns in enumerate(self.indexes) for one in _range(columns, i)],
         )
+        # The folder joins a file's name once per file, not once per row.
+        named = F.concat(F.lit(f"{folder}/"), F.col("_file")).alias("file")
+        described = described.select(named, *[c for c in described.columns if c != "_file"])
         hashes = [_hash(columns).alias(f"h_{i}") for i, columns in enumerate(self.indexes)]
         filters = rows.select("_file", *hashes).mapInArrow(_fill, _FILTERS)
+        filters = filters.withColumn("file", F.concat(F.lit(f"{folder}/"), F.col("file")))
         filters.write.parquet(f"{self.path}/_blooms_/{folder}")
         return described
 
@@ -300,6 +306,13 @@ class FileTable:
         return len(unused)
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map, which Spark does not hash."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
 def _key(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
@@ -331,14 +344,14 @@ def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bloom filters of the files of a scan task: a file's rows come one after another, so a file
-    has one for each task that reads of it. Holds the hashes of one file."""
+    has one for each task that reads of it. Holds the different hashes of one file's batches."""
     now, held = None, []
 
     def close() -> pa.RecordBatch:
-        columns = [np.concatenate(x) for x in zip(*held)]
-        size = -(-max(len(columns[0]), 1) * BITS_PER_ROW // 64) * 64
         bits = []
-        for hashes in columns:
+        for parts in zip(*held):
+            hashes = pa.array(np.concatenate(parts)).unique().to_numpy()
+            size = -(-max(len(hashes), 1) * BITS_PER_KEY // 64) * 64
             marks = np.zeros(size, dtype=bool)
             marks[_bits(hashes, size).ravel().astype(np.int64)] = True
             bits.append(np.packbits(marks, bitorder="little").tobytes())
@@ -349,17 +362,18 @@ def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         name = batch.column(0).dictionary_encode()
-        hashes = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+        hashes = batch.columns[1:]
         code = name.indices.to_numpy(zero_copy_only=False)
-        for part in np.split(np.arange(len(code)), np.flatnonzero(np.diff(code)) + 1):
-            if not len(part):
+        cuts = [0, *(np.flatnonzero(np.diff(code)) + 1).tolist(), len(code)]
+        for first, end in zip(cuts, cuts[1:]):
+            if first == end:
                 continue
-            own = name.dictionary[int(code[part[0]])].as_py()
+            own = name.dictionary[int(code[first])].as_py()
             if own != now and held:
                 yield close()
                 held = []
             now = own
-            held.append([h[part] for h in hashes])
+            held.append([h.slice(first, end - first).unique().to_numpy() for h in hashes])
     if held:
         yield close()
 

@@ -12,12 +12,12 @@ from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators import change
 from martloom.operators.dedup import merge_keep_last
-from martloom.operators.skew import all_not_null, lookup_join
+from martloom.operators.skew import all_not_null, in_groups, lookup_join
 from martloom.operators.validate import compatible
 from martloom.session import settle
 from martloom.sources.file_table import FileTable
@@ -63,21 +63,13 @@ def load_keyed(
     return {"success": True, "message": f"published version {version}", "counts": counts, "rewritten": len(hit)}
 
 
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
-
-
-def _split(rows: DataFrame, partitions: DataFrame, by: Sequence[str], how: str) -> DataFrame:
-    return rows.alias("r").join(partitions.alias("p"), _same("r", "p", by), how)
-
-
 def replace_in_table(table: FileTable, df: DataFrame, by: Sequence[str]) -> int:
     """Replace the partitions (values of the index ``by``, NULL among them) that ``df`` touches.
     Rows of other partitions that share a file with them are written again."""
     now = table.snapshot()
     rows = settle(df)
     hit = table.files_with(rows, by, null_safe=True, now=now)
-    others = _split(table.read(hit, now), rows.select(*by).distinct(), by, "left_anti")
+    others = in_groups(table.read(hit, now), rows, by, inside=False)
     return table.commit(add=others.unionByName(rows), remove=hit, after=now)
 
 
@@ -89,8 +81,8 @@ def merge_in_table(
     now = table.snapshot()
     rows = settle(incoming)
     hit = table.files_with(rows, by, null_safe=True, now=now)
-    touched, partitions = table.read(hit, now), rows.select(*by).distinct()
-    others = _split(touched, partitions, by, "left_anti")
+    touched = table.read(hit, now)
+    others = in_groups(touched, rows, by, inside=False)
     merged = merge_keep_last(touched, rows, keys, seq, partition_by=by)
     return table.commit(add=others.unionByName(merged.select(*others.columns)), remove=hit, after=now)
 

@@ -205,3 +205,21 @@ def test_a_batch_that_runs_again_adds_nothing(spark, folder):
     again = spark.createDataFrame([(1, "b", 2), (None, "m", 2)], KV)
     done = loads.load_keyed(table, again, ["k"], batch=(f"{folder}/cp", 1))
     assert done["message"] == "batch 1 is loaded already" and bag(table.read()) == want and table.version() == 2
+
+
+def test_a_frequent_index_value_is_written_by_several_tasks(spark, folder):
+    table = FileTable(spark, f"{folder}/hot", (("g",),))
+    rows = spark.range(60_000).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("g"), F.lit(0).alias("v"))
+    few = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.publish(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", few)
+    held = table.files().collect()
+    assert len(held) > 1 and max(r["rows"] for r in held) < 60_000 and sum(r["rows"] for r in held) == 60_000
+    assert table.files_with(spark.createDataFrame([("x",)], "g string"), ["g"]) == sorted(r["file"] for r in held)
+    assert table.files_with(spark.createDataFrame([("y",)], "g string"), ["g"]) == []
+    # A filter holds the different keys of a file, not one entry a row.
+    bits = spark.read.parquet(f"{table.path}/_blooms_/*")
+    assert bits.agg(F.max(F.length("bits"))).first()[0] == 8
