@@ -18,8 +18,6 @@ from martloom.llm.common import beside
 from martloom.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_ROWS = 20_000  # rule spans and candidates that the trees are fitted on, at most
-SLOTS = 4  # parts, by a hash, that the sample of each kind and label is drawn from
 TREES = 10
 DEPTH = 3
 RECALL = 0.98  # share of the masked rule spans held out from fitting that a threshold lets pass
@@ -256,15 +254,12 @@ def _overlaps(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> PiiModel:
-    """Fit the trees on at most ``rows`` rule spans and candidates (of each kind and label the first
-    by a hash of the text around them), and calibrate on a third of them kept apart.
+def labelled_spans(docs: DataFrame) -> DataFrame:
+    """What the trees learn from, of all texts: ``label, kind, apart``, the features, and ``n``, how
+    many spans look so. ``apart`` marks a third of the spans, by a hash of the text around them.
 
-    Positives are the rule spans, each written in the ways of ``masked`` that miss its rule, in the
-    context it has. The candidates that overlap no rule span are unlabelled: personal data may be
-    among them, however common. So they serve to rank only; the threshold of a kind looks at the
-    positives alone and lets ``RECALL`` of those kept apart pass. Kinds with less than ``HELD_OUT``
-    of those get nothing added; too few positives, or nothing that could be added: no trees.
+    Equal rows are counted before the shuffle, so the table grows with the different looks of the
+    spans and not with the texts.
     """
     text = F.col("text").cast("string")
     held = docs.select(text.alias("text")).where(text.rlike(HAS_CANDIDATE))
@@ -281,21 +276,31 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> PiiModel:
     held = held.select(
         "label", kind.alias("kind"), (F.col("span.start") - first).alias("at"), "span.found", around.alias("around")
     ).where("kind IS NOT NULL")
-    held = held.withColumn("h", F.xxhash64("found", "around"))
-    held = held.withColumn("slot", F.pmod(F.shiftright("h", 8), F.lit(SLOTS)))
-    order = Window.partitionBy("label", "kind", "slot").orderBy("h", "at")
-    most = max(1, rows // (2 * len(KINDS) * SLOTS))
-    sample = settle(held.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most))
+    held = held.withColumn("apart", F.pmod(F.xxhash64("found", "around"), F.lit(3)) == 0)
     ways = F.when(F.col("label") == 1, masked(F.struct("found", "kind"))).otherwise(F.array("found"))
-    sample = sample.withColumn("end", F.col("at") + F.length("found")).withColumn("found", F.explode(ways))
+    held = held.withColumn("end", F.col("at") + F.length("found")).withColumn("found", F.explode(ways))
     generator = F.when(F.col("kind") == 0, 0).otherwise(2).alias("kind")
     span = F.struct(F.col("at").alias("start"), "end", generator, "found")
     features = _features(F.col("around"), span)
-    sample = sample.select("h", "label", kind_of(span).alias("kind"), features.alias("f"))
-    sample = settle(sample.where("kind IS NOT NULL").select("h", "label", "kind", "f.*").repartition(4))
-    kept_apart = F.pmod("h", F.lit(3)) == 0
-    fitted_on = sample.where(~kept_apart)
-    counts = {(r["label"], r["kind"]): r["n"] for r in fitted_on.groupBy("label", "kind").agg(F.count("*").alias("n")).collect()}
+    looks = held.select("label", kind_of(span).alias("kind"), "apart", features.alias("f")).where("kind IS NOT NULL")
+    looks = looks.select("label", "kind", "apart", "f.*")
+    return looks.groupBy(*looks.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit(docs: DataFrame) -> PiiModel:
+    """Fit the trees on all rule spans and candidates of the texts but a third, and calibrate on the
+    rule spans of that third. Equal rows are folded, with their number as weight.
+
+    Positives are the rule spans, each written in the ways of ``masked`` that miss its rule, in the
+    context it has. The candidates that overlap no rule span are unlabelled: personal data may be
+    among them, however common. So they serve to rank only; the threshold of a kind looks at the
+    positives alone and lets ``RECALL`` of those kept apart pass. Kinds with less than ``HELD_OUT``
+    of those get nothing added; too few positives, or nothing that could be added: no trees.
+    """
+    looks = labelled_spans(docs)
+    looks = settle(looks.sortWithinPartitions(*looks.columns))
+    fitted_on = looks.where(~F.col("apart"))
+    counts = {(r["label"], r["kind"]): r["n"] for r in fitted_on.groupBy("label", "kind").agg(F.sum("n").alias("n")).collect()}
     positives = sum(n for (label, _), n in counts.items() if label)
     if positives < 10 or positives == sum(counts.values()):
         return PiiModel()
@@ -304,19 +309,25 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> PiiModel:
     for (label, k), n in counts.items():
         weight = F.when((F.col("label") == label) & (F.col("kind") == k), 1000 / (n + 20)).otherwise(weight)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    train = assembler.transform(fitted_on.withColumn("weight", weight)).select("label", "weight", "features")
+    weighted = fitted_on.withColumn("weight", weight * F.col("n"))
+    train = assembler.transform(weighted).select("label", "weight", "features")
     fitted = GBTClassifier(
         maxIter=TREES, maxDepth=DEPTH, seed=3, labelCol="label", weightCol="weight"
     ).fit(train)
     trees = tuple(_tree(t._call_java("rootNode")) for t in fitted.trees)
     model = PiiModel(trees, tuple(float(w) for w in fitted.treeWeights))
-    scored = sample.where(kept_apart & (F.col("label") == 1)).select(
-        "kind", F.round(model.odds(F.struct(*FEATURES)), 6).alias("odds")
-    )
+    odds = F.round(model.odds(F.struct(*FEATURES)), 6).alias("odds")
+    scored = looks.where(F.col("apart") & (F.col("label") == 1)).select("kind", odds, "n")
+    scored = scored.groupBy("kind", "odds").agg(F.sum("n").alias("n"))
+    # The least odds that leave no more than the rest of RECALL below them.
+    of_kind = Window.partitionBy("kind")
+    upto = F.sum("n").over(of_kind.orderBy("odds"))
+    ranked = scored.select("kind", "odds", upto.alias("upto"), F.sum("n").over(of_kind).alias("total"))
+    least = ranked.where(F.col("upto") > F.floor(F.col("total") * F.lit(1 - RECALL)))
     thresholds = [float("inf")] * len(KINDS)
-    for r in scored.groupBy("kind").agg(F.sort_array(F.collect_list("odds")).alias("odds")).collect():
-        if len(r["odds"]) >= HELD_OUT:
-            thresholds[r["kind"]] = r["odds"][int(len(r["odds"]) * (1 - RECALL))]
+    for r in least.groupBy("kind").agg(F.min("odds").alias("odds"), F.max("total").alias("total")).collect():
+        if r["total"] >= HELD_OUT:
+            thresholds[r["kind"]] = r["odds"]
     return PiiModel(model.trees, model.weights, tuple(thresholds))
 
 

@@ -309,6 +309,25 @@ def test_rule_spans_against_brute_force(spark, texts):
         assert got[i]["listed"] == spans_text(text or ""), text
 
 
+def test_pii_trees_and_thresholds_come_from_all_spans(spark, monkeypatch):
+    """9,000 different addresses: more than any sample of them that a fit might draw."""
+    n, seen = 9000, {}
+
+    class Spy(pii.GBTClassifier):
+        def fit(self, train):
+            seen.update({r["label"]: r["w"] for r in train.groupBy("label").agg(F.sum("weight").alias("w")).collect()})
+            return super().fit(train)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Spy)
+    text = F.expr("concat('write to user', id, '@example.org or user', id, '(at)example.org')").alias("text")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text)
+    model = pii.fit(docs)
+    spans = lambda w: 20 * w / (1000 - w)  # noqa: E731  weight 1000 / (n + 20) each
+    assert spans(seen[0]) == pytest.approx(2 * n / 3, rel=0.05)
+    assert spans(seen[1]) == pytest.approx(8 * 2 * n / 3, rel=0.05)
+    assert model.threshold < float("inf")
+
+
 def test_pii_query_keeps_the_rules_and_adds_only(spark, texts):
     for r in queries.QUERIES["op3_pii"](spark, SF).collect():
         want = spans_text(texts[r["doc_id"]])
