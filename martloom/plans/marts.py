@@ -87,6 +87,9 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
         high, low = halves(units(F.col(c), scales[c]))
         return [F.sum(high).alias(f"_high_{c}"), F.sum(low).alias(f"_low_{c}")]
 
+    def parts_of(c: str) -> list[str]:
+        return [c] if scales[c] is None else [f"_high_{c}", f"_low_{c}"]
+
     dated = measures.withColumn("orderdate", F.col("orderdate").cast("date"))
     per_order = (
         dated.groupBy(*CHANNEL_KEYS, "ordername", "phone")
@@ -98,19 +101,25 @@ def _channel_orders(lines: DataFrame, sums: Sequence[str], extra: Mapping[str, C
         )
     )
 
+    # Two distinct columns with conditions, not four distinct expressions, and the halves once more:
+    # the counts' hash table has a row per order and customer, each with the buffers of all sums.
+    summed = per_order.groupBy(*CHANNEL_KEYS).agg(
+        F.expr("count(DISTINCT ordername) FILTER (WHERE _counted)").alias("total_order"),
+        F.expr("count(DISTINCT phone) FILTER (WHERE _new)").alias("new_customer"),
+        F.count_distinct("phone").alias("total_customer"),
+        F.expr("count(DISTINCT ordername) FILTER (WHERE _cancelled)").alias("canc_orders"),
+        *[F.sum(part).alias(part) for c in scales for part in parts_of(c)],
+    )
+
     def total(c: str) -> Column:
         value = F.col(c)
         if scales[c] is not None:
             value = whole(F.col(f"_high_{c}"), F.col(f"_low_{c}"), scales[c])
-        return F.coalesce(F.sum(value), F.lit(0)).alias(c)
+            value = value.cast(f"decimal(38,{scales[c]})")
+        return F.coalesce(value, F.lit(0)).alias(c)
 
-    totals = per_order.groupBy(*CHANNEL_KEYS).agg(
-        F.count_distinct(F.when(F.col("_counted"), F.col("ordername"))).alias("total_order"),
-        F.count_distinct(F.when(F.col("_new"), F.col("phone"))).alias("new_customer"),
-        F.count_distinct("phone").alias("total_customer"),
-        F.count_distinct(F.when(F.col("_cancelled"), F.col("ordername"))).alias("canc_orders"),
-        *[total(c) for c in scales],
-    )
+    counts = ["total_order", "new_customer", "total_customer", "canc_orders"]
+    totals = summed.select(*CHANNEL_KEYS, *counts, *[total(c) for c in scales])
     # MAX of a text would turn the hash aggregates above into sorts of every line. The brands are
     # few, so their own narrow pass ends in a small join.
     brands = dated.select(*CHANNEL_KEYS, "brandname").distinct()

@@ -118,3 +118,34 @@ def test_marketplace_rules(spark):
     assert set(got) == {"o1", "o2"}
     assert (got["o1"].quantity, got["o1"].saletype, got["o1"].whsku_key, float(got["o1"].rto)) == (-2, "RTO", "SKU1", 10.0)
     assert (got["o2"].whsku, got["o2"].saletype, float(got["o2"].rto)) == ("Unmapped", None, 0.0)
+
+
+def test_channel_totals_count_over_narrow_rows(spark, rows, capsys):
+    lines = spark.createDataFrame(
+        [
+            ("A", "1995-01-01", "CORE", "DIRECT", "PAID", "o1", "ann", "TRUE", None, 1, "b1", "10.10"),
+            ("A", "1995-01-01", "CORE", "DIRECT", "PAID", "o1", "bob", "FALSE", "Cancelled", 0, "b2", "-0.05"),
+            ("A", "1995-01-01", "CORE", "DIRECT", "PAID", "o2", None, "TRUE", "Cancelled", 2, "b1", None),
+            ("A", "1995-01-01", "CORE", "DIRECT", "PAID", None, "ann", "TRUE", "Cancelled", 2, None, "1.00"),
+            ("A", "1995-01-01", "CORE", "DIRECT", "PAID", "o3", "bob", None, "shipped & returned", 3, "b1", "2.00"),
+            ("B", None, None, "DIRECT", "PAID", "o4", None, "FALSE", "Cancelled", 0, None, None),
+        ],
+        "store string, orderdate string, marketingtype string, marketingsource string, marketingchannel string, "
+        "ordername string, phone string, new_customer string, orderstatus string, quantity int, brandname string, "
+        "netsales string",
+    ).withColumn("netsales", F.col("netsales").cast("decimal(18,2)"))
+    totals = marts._channel_orders(lines, ["netsales"], {})
+    counts = ["total_order", "new_customer", "total_customer", "canc_orders"]
+    assert rows(totals.select("store", *counts, F.col("netsales").cast("string"), "brandname")) == [
+        ("A", 2, 1, 2, 2, "13.05", "b2"),
+        ("B", 0, 0, 0, 1, "0.00", None),
+    ]
+    assert totals.schema["netsales"].dataType.simpleString() == "decimal(38,2)"
+    # Three projections (sums, orders, customers) and the columns they give; no decimals yet.
+    spark.conf.set("spark.sql.maxToStringFields", "1000")
+    try:
+        totals.explain()
+    finally:
+        spark.conf.unset("spark.sql.maxToStringFields")
+    expands = [line for line in capsys.readouterr().out.splitlines() if "Expand [[" in line]
+    assert expands and all(line.count("[store#") == 4 and "decimal" not in line for line in expands)
