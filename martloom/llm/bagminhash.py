@@ -220,14 +220,16 @@ def _signed(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _print_of(text: Column) -> Column:
-    """The print of a text's UTF-8 bytes; NULL where there is no word."""
+    """The print of a text's UTF-8 bytes; NULL where there is no word. Marked as not deterministic,
+    or a filter on it would run it once more, in a second Python worker for each task, and the
+    workers that this leaves take part in all later stages, each with helpers of its own."""
 
     @F.arrow_udf("binary")
     def prints(texts: pa.Array) -> pa.Array:
         split = map(words_of, texts.to_pylist())
         return pa.array([_print(words) if words else None for words in split], pa.binary())
 
-    return prints(text)
+    return prints.asNondeterministic()(text)
 
 
 def _check(pairs: DataFrame, threshold: float) -> DataFrame:

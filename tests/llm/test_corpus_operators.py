@@ -674,6 +674,16 @@ def test_near_documents_refuse_a_threshold_near_none():
         bagminhash.Plan(0.1)
 
 
+def test_a_filter_on_prints_runs_them_once(spark, capsys):
+    docs = spark.createDataFrame([(1, b"a b"), (2, b""), (3, None)], "doc_id long, text binary")
+    texts = docs.repartition("doc_id").withColumn("print", bagminhash._print_of(F.col("text")))
+    found = texts.where("print IS NOT NULL")
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.index("Exchange")
+    assert [(r["doc_id"], bytes(r["print"])) for r in found.collect()] == [(1, bagminhash._print([b"a", b"b"]))]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(6)
     keys = rng.integers(1, 1 << 62, 200).astype(np.uint64)
