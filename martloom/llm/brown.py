@@ -6,15 +6,16 @@ words by their ending; their tables stay bounded, at most ``HEAD + ENDINGS + 1``
 other word of the training texts, however rare, gets the class under which its neighbours are
 likeliest. Only words never seen in training take the class of their ending.
 
-Word counts and classes are not bounded: they stay a table that texts are joined with; only the
-most frequent words are broadcast.
+Texts are read in blocks: a block numbers its different words and holds its texts as numbers, so
+that each of its words is looked up once. Word counts and classes are not bounded: they stay a table,
+dealt into buckets by word; the words of a block travel there packed, one row a bucket, and what was
+found travels back to the block. Only the most frequent words are broadcast.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import ASCII_LOWER, utf8
+from martloom.llm.common import ASCII_LOWER, in_runs, runs, utf8
+from martloom.llm.packed import pack_ints, pack_words, unpack_ints, unpack_words
 from martloom.session import settle
 
 HEAD = 4096  # words that are units of their own
@@ -36,7 +38,13 @@ CLASSES = 100  # the last one is for the end of a text alone
 ROUNDS = 6  # exchange rounds
 DICTIONARY = 1 << 17  # most frequent words, broadcast with their counts
 DICTIONARY_BYTES = 256  # longer words are never broadcast
-FLUSH = 200_000  # different words a counting task holds
+BLOCK_TOKENS = 1 << 21  # a block ends with the batch that brings it to as many tokens
+BLOCK_BYTES = 16 << 20  # or to as many bytes of text
+BUCKETS = 64  # buckets of words at least
+BUCKET_BYTES = 8 << 20  # bytes of training text for each further bucket
+BUCKET_WORDS = 1 << 15  # words of the vocabulary for each further bucket, when texts are scored
+CHOSEN = 5_000  # rows of words whose classes are chosen at a time
+FLUSH = 200_000  # words that a task packs at a time
 FLUSH_TOKENS = 4_000_000  # tokens after which a task sums up its pairs
 DISCOUNT = 0.75  # taken off each word outside the head, for the unknown ones of its class
 LEAN = 2.0  # occurrences with its ending's neighbours that each word outside the head starts with
@@ -54,49 +62,158 @@ def ending(word: bytes) -> int:
     return HEAD + zlib.crc32(word[-3:]) % ENDINGS
 
 
-class _Units(dict):
-    """Word -> unit; words outside the head by their ending, remembered up to a bound."""
+def _units(words: list[bytes], head: dict[bytes, int]) -> np.ndarray:
+    """The unit of each word of a block, whose first one is the end."""
+    get = head.get
+    out = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+    rest = np.flatnonzero(out < 0)
+    out[rest] = [ending(words[i]) for i in rest.tolist()]
+    out[0] = END
+    return out
 
-    def __init__(self, head: dict[bytes, int]):
-        super().__init__(head)
-        self.head = head
 
-    def __missing__(self, word: bytes) -> int:
-        unit = ending(word)
-        if len(word) <= 64:
-            if len(self) > 500_000:
-                self.clear()
-                self.update(self.head)
-            self[word] = unit
-        return unit
+def tokens_of_all(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``tokens_of`` of each text: all words in a row, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = lists.values  # with empty ones before and after
+    real = pc.greater(pc.binary_length(words), 0)
+    upto = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+    return words.filter(real), np.diff(upto[lists.offsets.to_numpy()])
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, c)`` over all texts (column ``text``, UTF-8 bytes); the word '' counts the texts,
-    and so their ends."""
+_WORDS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("bucket", T.IntegerType()),
+            T.StructField("body", T.BinaryType()),
+            T.StructField("sizes", T.BinaryType()),
+            T.StructField("counts", T.BinaryType()),
+        ]
+    )
+)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(tokens_of(text))
-                held[b""] += 1
-                if len(held) >= FLUSH:
-                    yield _counted(held)
-                    held = Counter()
-        yield _counted(held)
-
-    return (
-        texts.select("text")
-        .mapInArrow(count, "word string, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("c"))
+
+def blocks(
+    docs: DataFrame, buckets: int, words: list[bytes] = (), tokens: int = BLOCK_TOKENS
+) -> DataFrame:
+    """Column ``text`` (UTF-8 bytes) as numbers, one row per block of whole texts:
+
+    * ``stream``: the number of each token, 0 for an end; one end stands before the first text;
+    * ``common``: the places in ``words`` of the block's numbers from 1 on that have one;
+    * ``words``: the numbers after those, for each bucket that has any, with their counts here.
+      Without ``words`` the end is among them, as the first word of bucket 0;
+    * ``doc_id``: the texts' ids, if ``docs`` has such a column.
+    """
+    named = "doc_id" in docs.columns
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    fields = [
+        T.StructField("block", T.LongType()),
+        T.StructField("stream", T.BinaryType()),
+        T.StructField("common", T.BinaryType()),
+        T.StructField("words", _WORDS),
+    ]
+    if named:
+        fields.append(T.StructField("doc_id", T.ArrayType(docs.schema["doc_id"].dataType)))
+    kind = pa.list_(
+        pa.struct([("bucket", pa.int32()), *[(n, pa.binary()) for n in ("body", "sizes", "counts")]])
     )
 
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {w: i for i, w in enumerate(shared.value)}
+        block = TaskContext.get().partitionId() << 32
+        words, texts, ids, count, size = [], [], [], 0, 0
+        for batch in batches:
+            own, n = tokens_of_all(batch.column(0))
+            words.append(own)
+            texts.append(n)
+            if named:
+                ids.append(batch.column(1))
+            count += len(own) + len(n)
+            size += batch.column(0).nbytes
+            if count >= tokens or size >= BLOCK_BYTES:
+                yield row(block, place, words, texts, ids)
+                block += 1
+                words, texts, ids, count, size = [], [], [], 0, 0
+        if count:
+            yield row(block, place, words, texts, ids)
+
+    def row(block, place, words, texts, ids) -> pa.RecordBatch:
+        words = pa.chunked_array(words).combine_chunks().dictionary_encode()
+        ends = np.append(0, np.cumsum(np.concatenate(texts) + 1))
+        stream = np.zeros(ends[-1] + 1, dtype=np.int64)
+        inside = np.ones(len(stream), dtype=bool)
+        inside[ends] = False
+        stream[inside] = words.indices.to_numpy() + 1
+        own = [b"", *words.dictionary.cast(pa.binary()).to_pylist()]
+        del words
+        bucket = np.fromiter(map(zlib.crc32, own), np.int64, len(own)) % buckets
+        common = np.zeros(0, dtype=np.int64)
+        if place:
+            get = place.get
+            common = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
+            bucket[common >= 0] = -1
+            common = common[common >= 0]
+        if named:
+            bucket[0] = -1
+        order = np.argsort(bucket, kind="stable")
+        number_of = np.empty(len(own), dtype=np.int64)
+        number_of[order] = np.arange(len(own))
+        stream = number_of[stream]
+        n = np.bincount(stream, minlength=len(own))
+        n[0] -= 1  # the end before the first text
+        own = [own[i] for i in order.tolist()]
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+        dealt = []
+        for b, (i, j) in enumerate(zip(ends, ends[1:])):
+            if i < j:
+                body, sizes = pack_words(own[i:j])
+                counts = None if named else pack_ints(n[i:j])
+                dealt.append({"bucket": b, "body": body, "sizes": sizes, "counts": counts})
+        columns = [
+            pa.array([block], pa.int64()),
+            pa.array([pack_ints(stream)], pa.binary()),
+            pa.array([pack_ints(common) if len(common) else None], pa.binary()),
+            pa.array([dealt], kind),
+        ]
+        if named:
+            flat = pa.concat_arrays(ids)
+            columns.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat))
+        return pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    texts = docs.select("text", "doc_id") if named else docs.select("text")
+    return texts.mapInArrow(number, T.StructType(fields))
+
+
+def _asked(numbered: DataFrame) -> DataFrame:
+    """The words of the blocks, one row for each bucket of a block."""
+    return numbered.select("block", F.explode("words").alias("own")).select("block", "own.*")
+
+
+def _own(row: dict) -> list[bytes]:
+    """All words of a block."""
+    return [w for own in row["words"] for w in unpack_words(own["body"], own["sizes"])]
+
+
+def word_counts(numbered: DataFrame) -> DataFrame:
+    """``(word, c)`` over all blocks; the word '' counts the texts, and so their ends."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket in runs(batches, 1):
+            held: dict[bytes, int] = {}
+            get = held.get
+            for row in bucket.to_pylist():
+                words = unpack_words(row["body"], row["sizes"])
+                for word, n in zip(words, unpack_ints(row["counts"]).tolist()):
+                    held[word] = get(word, 0) + n
+            yield _counted(held)
+
+    rows = _asked(numbered).select("bucket", "body", "sizes", "counts")
+    return in_runs(rows, ["bucket"]).mapInArrow(count, "word string, c long")
+
 
-def _counted(held: Counter[bytes]) -> pa.RecordBatch:
+def _counted(held: dict[bytes, int]) -> pa.RecordBatch:
     words = pa.array(list(held), pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "n"])
+    return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "c"])
 
 
 def _dictionary(counts: DataFrame, size: int) -> tuple[pd.DataFrame, int]:
@@ -116,20 +233,18 @@ def _dictionary(counts: DataFrame, size: int) -> tuple[pd.DataFrame, int]:
     return top.sort_values(["c", "word"], ascending=[False, True], ignore_index=True), least
 
 
-def unit_neighbours(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
-    """One row per unit: the units after it and before it with counts, from all texts. A text
+def unit_neighbours(numbered: DataFrame, head: dict[bytes, int]) -> DataFrame:
+    """One row per unit: the units after it and before it with counts, from all blocks. A text
     begins and ends at the end unit. At most ``UNITS`` rows of at most ``UNITS`` neighbours."""
-    shared = texts.sparkSession.sparkContext.broadcast(head)
+    shared = numbered.sparkSession.sparkContext.broadcast(head)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _Units(shared.value)
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = [END, *map(units.__getitem__, tokens_of(text)), END]
-                held.append(np.array(own, dtype=np.int64))
-                size += len(own)
+            for row in batch.to_pylist():
+                held.append(_units(_own(row), shared.value)[unpack_ints(row["stream"])])
+                size += len(held[-1])
                 if size >= FLUSH_TOKENS:
                     yield _pairs(held)
                     held, size = [], 0
@@ -137,7 +252,7 @@ def unit_neighbours(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
             yield _pairs(held)
 
     pairs = (
-        texts.select("text")
+        numbered.select("stream", "words")
         .mapInArrow(count, "pair int, n long")
         .groupBy("pair")
         .agg(F.sum("n").alias("n"))
@@ -318,48 +433,42 @@ def _ending_neighbours(near: DataFrame, classes: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_neighbours(texts: DataFrame, head: dict[bytes, int], classes: np.ndarray) -> DataFrame:
+def word_neighbours(numbered: DataFrame, head: dict[bytes, int], classes: np.ndarray) -> DataFrame:
     """``word, codes, counts`` of the words outside the head: how often a neighbour's class (a
     byte; plus ``CLASSES`` if it stands before) was met. Neighbours outside the head count by their
-    ending. A word has a row for each task and flush, with at most ``2 * CLASSES`` codes."""
-    shared = texts.sparkSession.sparkContext.broadcast((head, classes))
+    ending. A word has a row for each block, with at most ``2 * CLASSES`` codes."""
+    shared = numbered.sparkSession.sparkContext.broadcast((head, classes))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, classes = shared.value
-        units = _Units(head)
-        number: dict[bytes, int] = {}
-        held: list[np.ndarray] = []
-        size = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = tokens_of(text)
-                unit = np.array([END, *map(units.__getitem__, own), END], dtype=np.int64)
-                tail = np.flatnonzero(unit[1:-1] >= HEAD)
-                named = [number.setdefault(own[i], len(number)) for i in tail.tolist()]
-                at = np.array(named, dtype=np.int64) * 2 * CLASSES
-                near = classes[unit]
-                held += [at + near[tail + 2], at + CLASSES + near[tail]]
-                size += len(tail)
-                if size >= FLUSH_TOKENS or len(number) >= FLUSH:
-                    yield _coded(number, held)
-                    number, held, size = {}, [], 0
-        if number:
-            yield _coded(number, held)
-
-    return texts.select("text").mapInArrow(count, "word string, codes binary, counts binary")
-
-
-def _coded(number: dict[bytes, int], held: list[np.ndarray]) -> pa.RecordBatch:
-    flat, n = np.unique(np.concatenate(held), return_counts=True)
-    ends = np.searchsorted(flat, np.arange(len(number) + 1) * 2 * CLASSES)
+            for row in batch.to_pylist():
+                words, stream = _own(row), unpack_ints(row["stream"])
+                unit = _units(words, head)
+                outside = (unit >= HEAD) & (unit < END)
+                near = classes[unit][stream]
+                tail = np.flatnonzero(outside[stream])
+                at = (np.cumsum(outside) - 1)[stream[tail]] * (2 * CLASSES)
+                yield _coded(
+                    [words[i] for i in np.flatnonzero(outside).tolist()],
+                    np.concatenate((at + near[tail + 1], at + CLASSES + near[tail - 1])),
+                )
+
+    rows = numbered.select("stream", "words")
+    return rows.mapInArrow(count, "word string, codes binary, counts binary")
+
+
+def _coded(words: list[bytes], met: np.ndarray) -> pa.RecordBatch:
+    flat, n = np.unique(met, return_counts=True)
+    ends = np.searchsorted(flat, np.arange(len(words) + 1) * 2 * CLASSES)
 
     def packed(values: np.ndarray) -> pa.Array:
         offsets = pa.py_buffer((ends * values.itemsize).astype(np.int32))
-        return pa.Array.from_buffers(pa.binary(), len(number), [None, offsets, pa.py_buffer(values)])
+        return pa.Array.from_buffers(pa.binary(), len(words), [None, offsets, pa.py_buffer(values)])
 
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(list(number), pa.binary()).cast(pa.string()),
+            pa.array(words, pa.binary()).cast(pa.string()),
             packed((flat % (2 * CLASSES)).astype(np.uint8)),
             packed(n.astype("<u4")),
         ],
@@ -367,19 +476,31 @@ def _coded(number: dict[bytes, int], held: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least ``CHOSEN``, except for the last one."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= CHOSEN:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
 def word_classes(rows: DataFrame, likely: np.ndarray, endings: np.ndarray) -> DataFrame:
     """``word, c, class`` from the rows of ``word_neighbours``: each word's occurrences, and the
     class under which its neighbours, and ``LEAN`` more of its ending's, are likeliest.
 
-    Rows are sorted by word and summed as they pass, so a task holds one batch and one sum.
+    Rows are sorted by word and summed as they pass, so a task holds some batches and one sum.
     """
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, np.zeros(2 * CLASSES)
-        for batch in batches:
+        for batch in _larger(batches):
             size = batch.num_rows
-            if not size:
-                continue
             words = batch.column(0)
             first = np.ones(size, dtype=bool)
             first[1:] = pc.not_equal(words.slice(1), words.slice(0, size - 1)).to_numpy(False)
@@ -419,94 +540,127 @@ def word_classes(rows: DataFrame, likely: np.ndarray, endings: np.ndarray) -> Da
     return rows.mapInArrow(choose, "word string, c long, class int, ending int")
 
 
-def _numbers(words: list[bytes], classes: np.ndarray):
-    """From words to their numbers in the dictionary and the classes of a text's path, end to end;
-    both are -1 for words outside."""
-    get = {w: i for i, w in enumerate(words)}.get
-    of = np.append(classes, -1)  # the number -1 finds -1
-
-    def path(own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array([get(w, -1) for w in own], dtype=np.int64)
-        out = np.full(len(own) + 2, CLASSES - 1, dtype=np.int64)
-        out[1:-1] = of[ids]
-        return ids, out
-
-    return path
-
-
-def _outside(own: list[bytes], path: np.ndarray, held: Counter) -> None:
-    """Count the words of a text that are outside the dictionary: ``(word, None, class before,
-    class after)``, no class for a neighbour that is outside as well, and ``(word, next word, None,
-    None)`` for such neighbours."""
-    for i in np.flatnonzero(path[1:-1] < 0).tolist():
-        before, after = int(path[i]), int(path[i + 2])
-        held[own[i], None, before if before >= 0 else None, after if after >= 0 else None] += 1
-        if after < 0:
-            held[own[i], own[i + 1], None, None] += 1
-
-
-_MET = "word string, next string, before int, after int, n long"
+def _bucketed(lexicon: DataFrame, buckets: int) -> DataFrame:
+    """``word, c, class`` packed, one row for each bucket of a task's words, as block -1."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[bytes] = []
+        c, k = [], []
+        for batch in batches:
+            words += batch.column(0).cast(pa.binary()).to_pylist()
+            c.append(batch.column(1).to_numpy())
+            k.append(batch.column(2).to_numpy())
+            if len(words) >= FLUSH:
+                yield dealt(words, np.concatenate(c), np.concatenate(k))
+                words, c, k = [], [], []
+        if words:
+            yield dealt(words, np.concatenate(c), np.concatenate(k))
+
+    def dealt(words: list[bytes], c: np.ndarray, k: np.ndarray) -> pa.RecordBatch:
+        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        words = [words[i] for i in order.tolist()]
+        c, k = c[order], k[order]
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+        rows = [
+            (b, *pack_words(words[i:j]), pack_ints(c[i:j]), pack_ints(k[i:j]))
+            for b, (i, j) in enumerate(zip(ends, ends[1:]))
+            if i < j
+        ]
+        own, *packed = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own, pa.int32()), *[pa.array(p, pa.binary()) for p in packed]],
+            ["bucket", "body", "sizes", "counts", "codes"],
+        )
 
-def _met(held: dict) -> list[pa.Array]:
-    word, following, before, after = zip(*held) if held else ((), (), (), ())
-    return [
-        pa.array(word, pa.binary()).cast(pa.string()),
-        pa.array(following, pa.binary()).cast(pa.string()),
-        pa.array(before, pa.int32()),
-        pa.array(after, pa.int32()),
-        pa.array(held.values(), pa.int64()),
-    ]
+    rows = lexicon.select("word", "c", "class").mapInArrow(
+        pack, "bucket int, body binary, sizes binary, counts binary, codes binary"
+    )
+    return rows.withColumn("block", F.lit(-1).cast("long"))
 
 
-def class_pairs(texts: DataFrame, words: list[bytes], classes: np.ndarray, rare: DataFrame) -> np.ndarray:
-    """How often a class follows a class in the texts, each word in its own class. Pairs of
-    dictionary words and ends are summed in the tasks; the other words meet their classes in joins."""
-    shared = texts.sparkSession.sparkContext.broadcast((words, classes))
+def looked_up(numbered: DataFrame, lexicon: DataFrame, buckets: int, given: dict[bytes, int]) -> DataFrame:
+    """The blocks' words in the lexicon: ``block, bucket, counts, codes``, both in the order of the
+    block's words there. A code is the class of a word of the lexicon or of ``given``, and
+    ``CLASSES`` plus its ending for any other; those have no count. A task holds one bucket of the
+    lexicon."""
+    shared = numbered.sparkSession.sparkContext.broadcast(given)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path_of = _numbers(*shared.value)
-        held: Counter = Counter()
-        known = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, last = shared.value, None
         for batch in batches:
-            paths = []
-            for text in batch.column(0).to_pylist():
-                own = tokens_of(text)
-                path = path_of(own)[1]
-                _outside(own, path, held)
-                paths += [path, [-1]]
-                if len(held) >= FLUSH:
-                    yield pa.RecordBatch.from_arrays(_met(held), ["word", "next", "before", "after", "n"])
-                    held = Counter()
-            if paths:
-                path = np.concatenate(paths)
-                both = (path[:-1] >= 0) & (path[1:] >= 0)
-                known += np.bincount(path[:-1][both] * CLASSES + path[1:][both], minlength=len(known))
-        for pair in np.flatnonzero(known).tolist():
-            held[None, None, pair // CLASSES, pair % CLASSES] = int(known[pair])
-        yield pa.RecordBatch.from_arrays(_met(held), ["word", "next", "before", "after", "n"])
-
-    rows = settle(texts.select("text").mapInArrow(count, _MET))
-    own = F.col("class")
-    alone = rows.where("word IS NOT NULL AND next IS NULL").join(rare, "word")
-    two = _two(rows, rare, "inner")
-    pairs = (
-        rows.where("word IS NULL").select("before", "after", "n")
-        .unionByName(alone.where("before IS NOT NULL").select("before", own.alias("after"), "n"))
-        .unionByName(alone.where("after IS NOT NULL").select(own.alias("before"), "after", "n"))
-        .unionByName(two.select(own.alias("before"), F.col("next_class").alias("after"), "n"))
-    )
-    out = np.zeros((CLASSES, CLASSES))
-    # At most CLASSES ** 2 rows.
-    for r in pairs.groupBy("before", "after").agg(F.sum("n").alias("n")).collect():
-        out[r["before"], r["after"]] = r["n"]
-    return out
+            for row in batch.to_pylist():
+                if row["bucket"] != last:
+                    last, place, c, k = row["bucket"], {}, [], []
+                words = unpack_words(row["body"], row["sizes"])
+                if row["block"] < 0:
+                    place.update(zip(words, range(len(place), len(place) + len(words))))
+                    c.append(unpack_ints(row["counts"]))
+                    k.append(unpack_ints(row["codes"]))
+                    continue
+                if len(c) != 1:
+                    c = [np.concatenate([*c, np.zeros(0, dtype=np.int64)])]
+                    k = [np.concatenate([*k, np.zeros(0, dtype=np.int64)])]
+                get = place.get
+                at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                counts, codes = np.append(c[0], 0)[at], np.append(k[0], 0)[at]
+                for i in np.flatnonzero(at < 0).tolist():
+                    code = given.get(words[i])
+                    codes[i] = CLASSES + ending(words[i]) - HEAD if code is None else code
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["block"]], pa.int64()),
+                        pa.array([last], pa.int32()),
+                        pa.array([pack_ints(counts)], pa.binary()),
+                        pa.array([pack_ints(codes)], pa.binary()),
+                    ],
+                    ["block", "bucket", "counts", "codes"],
+                )
+
+    asked = _asked(numbered).drop("counts")
+    rows = _bucketed(lexicon, buckets).unionByName(asked, allowMissingColumns=True)
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "block")
+    return rows.mapInArrow(find, "block long, bucket int, counts binary, codes binary")
+
+
+def _with_found(numbered: DataFrame, found: DataFrame) -> DataFrame:
+    """Each block beside what was found for its words, for ``_found``. A task holds the blocks
+    that came from one task, so no more than a part of the input that was read at once."""
+    own = numbered.withColumn("bucket", F.lit(-1))
+    task = F.shiftright("block", 32).cast("int")
+    tasks = numbered.agg(F.max(task)).first()[0]
+    rows = own.unionByName(found, allowMissingColumns=True)
+    return rows.repartitionById((tasks or 0) + 1, task).sortWithinPartitions("block")
+
+
+def _found(block: pa.Table) -> tuple[dict, list[dict]]:
+    """A block's own row, and what its buckets gave in the order of its numbers."""
+    first, *rest = sorted(block.to_pylist(), key=lambda row: row["bucket"])
+    return first, rest
+
+
+def class_pairs(numbered: DataFrame, lexicon: DataFrame, buckets: int, given: dict[bytes, int]) -> np.ndarray:
+    """How often a class follows a class in the blocks, each word in its own class: that of the
+    lexicon, or of ``given`` for the words of the head and the end."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+        for block in runs(batches, 1):
+            own, found = _found(block)
+            path = np.concatenate([unpack_ints(r["codes"]) for r in found])[unpack_ints(own["stream"])]
+            held += np.bincount(path[:-1] * CLASSES + path[1:], minlength=len(held))
+        pair = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pair, pa.int32()), pa.array(held[pair], pa.int64())], ["pair", "n"]
+        )
 
-def _two(rows: DataFrame, rare: DataFrame, how: str) -> DataFrame:
-    """The neighbours outside the dictionary with both classes, ``class`` and ``next_class``."""
-    second = rare.select(F.col("word").alias("next"), F.col("class").alias("next_class"))
-    return rows.where("next IS NOT NULL").join(rare, "word", how).join(second, "next", how)
+    found = looked_up(numbered, lexicon, buckets, given).drop("counts")
+    rows = _with_found(numbered.select("block", "stream"), found).mapInArrow(count, "pair int, n long")
+    out = np.zeros(CLASSES * CLASSES)
+    # At most CLASSES ** 2 rows.
+    for r in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out.reshape(CLASSES, CLASSES)
 
 
 @dataclass(frozen=True)
@@ -539,15 +693,18 @@ def fit(texts: DataFrame, head: int = HEAD, dictionary: int = DICTIONARY) -> Bro
     are clustered each alone, ``dictionary`` words are broadcast. No texts at all give uniform
     distributions."""
     ends = F.sum(F.when(F.col("word") == "", F.col("c")))
-    counts = settle(word_counts(texts))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(BUCKETS, size // BUCKET_BYTES)
+    numbered = settle(blocks(texts.select("text"), buckets))
+    counts = settle(word_counts(numbered))
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), ends.alias("ends")).first()
     top, least = _dictionary(counts, dictionary)
     words, known = top["word"].tolist(), top["c"].to_numpy(dtype=np.int64)
     alone = {w: i for i, w in enumerate(words[: min(head, HEAD)])}
-    near = unit_neighbours(texts, alone)
+    near = unit_neighbours(numbered, alone)
     units, pairs = exchange(near)
 
-    met = word_neighbours(texts, alone, units)
+    met = word_neighbours(numbered, alone, units)
     lexicon = settle(word_classes(met, _neighbour_likelihoods(pairs), _ending_neighbours(near, units)))
     common = (F.col("c") >= least) & (F.octet_length("word") <= DICTIONARY_BYTES)
     rare = lexicon.where(~common).select("word", "c", "class")
@@ -555,7 +712,8 @@ def fit(texts: DataFrame, head: int = HEAD, dictionary: int = DICTIONARY) -> Bro
     classes = np.array(
         [units[i] if i < len(alone) else class_of[w] for i, w in enumerate(words)], dtype=np.int64
     )
-    pairs = class_pairs(texts, words, classes, rare)
+    given = {b"": CLASSES - 1} | {w: int(units[i]) for w, i in alone.items()}
+    pairs = class_pairs(numbered, lexicon, buckets, given)
 
     # Mass taken off a class's words goes to the endings of that class, by their different words.
     own = lexicon.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
@@ -600,123 +758,70 @@ def score(docs: DataFrame, model: BrownModel) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score``, one row per document.
 
     Both scores are log10 probabilities over the same events: each known word, the end, and
-    "a word never seen", which the class model further splits by ending. Words of the dictionary
-    are scored where the text lies; only the others are shuffled, to meet their counts and classes,
-    each of them too rare to make a hot key; where two of them stand side by side, the pair meets
-    both classes. NULL and empty texts consist of the end alone; repeated rows and NULL ids are
-    scored like any other row; an empty table gives an empty result.
+    "a word never seen", which the class model further splits by ending. A block's words of the
+    dictionary are known where its texts lie; the others are packed and meet their counts and
+    classes in their bucket, and the block's texts are scored when these are back. NULL and empty
+    texts consist of the end alone; repeated rows and NULL ids are scored like any other row; an
+    empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
-    id_type = docs.schema["doc_id"].dataType
-    shared = spark.sparkContext.broadcast(
-        (model.words, model.classes, np.log10(model.word_counts + 0.5), model.emit, model.step)
-    )
+    buckets = max(BUCKETS, model.vocabulary // BUCKET_WORDS)
+    numbered = settle(blocks(docs.select("doc_id", utf8("text").alias("text")), buckets, model.words))
+    found = looked_up(numbered, model.rare, buckets, {})
     fields = [
-        T.StructField("key", T.LongType()),
-        T.StructField("word", T.StringType()),
-        T.StructField("next", T.StringType()),
-        T.StructField("before", T.IntegerType()),
-        T.StructField("after", T.IntegerType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("ending", T.IntegerType()),
-        T.StructField("next_ending", T.IntegerType()),
-        T.StructField("doc_id", id_type),
+        T.StructField("doc_id", docs.schema["doc_id"].dataType),
         T.StructField("n_tokens", T.LongType()),
         T.StructField("known", T.LongType()),
         T.StructField("base", T.DoubleType()),
         T.StructField("score", T.DoubleType()),
     ]
+    # Of the end, then of the dictionary's words.
+    first = (
+        np.append(CLASSES - 1, model.classes),
+        np.append(0.0, np.log10(model.word_counts + 0.5)),
+        np.append(0.0, model.emit),
+    )
+    shared = spark.sparkContext.broadcast(
+        (*first, model.step, model.taken, model.norm, model.ending_classes, model.unknown)
+    )
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, classes, bases, emit, step = shared.value
-        path_of = _numbers(words, classes)
-        first = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            size, held, ends = batch.num_rows, [], []
-            tokens, known, base, score = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                own = tokens_of(text)
-                ids, path = path_of(own)
-                both = (path[:-1] >= 0) & (path[1:] >= 0)
-                ids = ids[ids >= 0]
-                tokens.append(len(own) + 1)
-                known.append(len(ids))
-                base.append(float(bases[ids].sum()))
-                score.append(float(step[path[:-1][both], path[1:][both]].sum() + emit[ids].sum()))
-                outside: Counter = Counter()
-                if len(ids) < len(own):
-                    _outside(own, path, outside)
-                held += outside.items()
-                ends.append(len(held))
-            # The documents' own rows first, then those of the words outside the dictionary.
-            owner = np.repeat(np.arange(size), np.diff([0, *ends]))
-            rows = [(None, None, None, None)] * size + [k for k, _ in held]
-            word, following, before, after = zip(*rows) if rows else ((), (), (), ())
-            blank = [None] * len(held)
-            row = pa.array([*range(size), *blank], pa.int64())
+        classes, bases, emit, step, taken, norm, ending_classes, unknown = shared.value
+        for block in runs(batches, 1):
+            own, found = _found(block)
+            none = np.zeros(0, dtype=np.int64)
+            common = np.append(0, unpack_ints(own["common"]) + 1 if own["common"] else none)
+            c = np.concatenate([none, *[unpack_ints(r["counts"]) for r in found]])
+            code = np.concatenate([none, *[unpack_ints(r["codes"]) for r in found]])
+            seen = c > 0
+            tail = np.where(seen, 0, code - CLASSES)  # the ending of a word never seen
+            k = np.where(seen, code, ending_classes[tail])
+            emitted = np.where(seen, np.log10(np.where(seen, c - taken[k], 1.0)) - norm[k], unknown[tail])
+
+            stream = unpack_ints(own["stream"])
+            path = np.append(classes[common], k)[stream]
+            value = step[path[:-1], path[1:]]
+            stream = stream[1:]
+            value += np.append(emit[common], emitted)[stream]
+            ends = np.flatnonzero(stream == 0) + 1
+            starts = np.append(0, ends[:-1])
+            known = np.append(np.arange(len(common)) > 0, seen).astype(np.int64)
+            base = np.append(bases[common], np.log10(c + 0.5))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(first + np.concatenate((np.arange(size), owner))),
-                    pa.array(word, pa.binary()).cast(pa.string()),
-                    pa.array(following, pa.binary()).cast(pa.string()),
-                    pa.array(before, pa.int32()),
-                    pa.array(after, pa.int32()),
-                    pa.array([None] * size + [n for _, n in held], pa.int64()),
-                    pa.array([None if w is None else ending(w) - HEAD for w in word], pa.int32()),
-                    pa.array([None if w is None else ending(w) - HEAD for w in following], pa.int32()),
-                    batch.column(0).take(row),
-                    pa.array([*tokens, *blank], pa.int64()),
-                    pa.array([*known, *blank], pa.int64()),
-                    pa.array([*base, *blank], pa.float64()),
-                    pa.array([*score, *blank], pa.float64()),
+                    block.column("doc_id").combine_chunks().flatten(),
+                    pa.array(ends - starts),
+                    pa.array(np.add.reduceat(known[stream], starts)),
+                    pa.array(np.add.reduceat(base[stream], starts)),
+                    pa.array(np.add.reduceat(value, starts)),
                 ],
                 names=[f.name for f in fields],
             )
-            first += size
-
-    rows = docs.select("doc_id", utf8("text").alias("text")).mapInArrow(scored, T.StructType(fields))
-    rows = settle(rows)
-    step = F.lit(model.step.ravel())
-    unseen = F.lit(model.ending_classes.astype(np.int32))
-
-    def stepped(a, b):
-        return F.get(step, (a * CLASSES + b).cast("int"))
-
-    own = F.coalesce("class", F.get(unseen, F.col("ending")))
-    c = F.coalesce("c", F.lit(0))
-    alone = rows.where("word IS NOT NULL AND next IS NULL").join(model.rare, "word", "left")
-    emitted = F.when(
-        c > 0, F.log10(c - F.get(F.lit(model.taken), own)) - F.get(F.lit(model.norm), own)
-    ).otherwise(F.get(F.lit(model.unknown), F.col("ending")))
-    beside = [F.coalesce(stepped(F.col("before"), own), F.lit(0.0)), F.coalesce(stepped(own, F.col("after")), F.lit(0.0))]
-    alone = alone.select(
-        "key",
-        F.when(c > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * F.log10(c + 0.5)).alias("base"),
-        (F.col("n") * (emitted + beside[0] + beside[1])).alias("score"),
-    )
-    following = F.coalesce("next_class", F.get(unseen, F.col("next_ending")))
-    two = _two(rows, model.rare, "left").select(
-        "key",
-        F.lit(0).cast("long").alias("known"),
-        F.lit(0.0).alias("base"),
-        (F.col("n") * stepped(own, following)).alias("score"),
-    )
-    # The document's id stands in its own row only; the others have NULL there.
-    summed = (
-        rows.where("word IS NULL").select("key", "doc_id", "n_tokens", "known", "base", "score")
-        .unionByName(alone.unionByName(two), allowMissingColumns=True)
-        .groupBy("key")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.sum("n_tokens").alias("n_tokens"),
-            F.sum("known").alias("known"),
-            F.sum("base").alias("base"),
-            F.sum("score").alias("score"),
-        )
-    )
+
+    own = numbered.select("block", "stream", "common", "doc_id")
+    rows = _with_found(own, found).mapInArrow(scored, T.StructType(fields))
     end = math.log10(model.train_texts + 0.5)
-    return summed.select(
+    return rows.select(
         "doc_id",
         "n_tokens",
         (F.col("known") + (1 if model.train_texts else 0)).alias("n_known"),

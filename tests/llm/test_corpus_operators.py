@@ -31,6 +31,7 @@ from martloom.llm import (
     url_filter,
 )
 from martloom.llm.common import ready, utf8, words_of
+from martloom.llm.packed import unpack_ints, unpack_words
 from martloom.session import settle
 
 SF = "/root/testdata/sf0.001"
@@ -262,6 +263,55 @@ def test_language_model_odd_rows_and_empty_training(spark):
     assert {r["n_known"] for r in rows} == {0} and {r["train_tokens"] for r in rows} == {0}
 
 
+def test_language_model_blocks_hold_the_texts(spark):
+    """One row a block, whatever the number of different words; each word is looked up once a block."""
+    texts = [None, "", " \n", "A b\tÄ a", "x\x1cy x\u0085 Z", *[f"w{i} W{i + 1} w{i % 7}" for i in range(1500)]]
+    docs = table(spark, texts, [None, *range(1, len(texts))]).select("doc_id", utf8("text").alias("text"))
+    own = [brown.tokens_of(t and t.encode()) for t in texts]
+    ids = [None, *range(1, len(texts))]
+    common = [b"w3", b"never", b"a"]
+    for tokens in (1000, brown.BLOCK_TOKENS):
+        rows = brown.blocks(docs.coalesce(1), 5, common, tokens).orderBy("block").collect()
+        assert len(rows) == (4 if tokens == 1000 else 1)
+        got, of = [], []
+        for r in rows:
+            known = [common[i] for i in unpack_ints(r["common"])] if r["common"] else []
+            dealt = [(w, p["bucket"]) for p in r["words"] for w in unpack_words(p["body"], p["sizes"])]
+            assert all(zlib.crc32(w) % 5 == b for w, b in dealt)
+            number = [b"", *known, *[w for w, _ in dealt]]
+            assert len(set(number)) == len(number) and not {w for w, _ in dealt} & set(common)
+            stream = [number[i] for i in unpack_ints(r["stream"])]
+            assert stream[0] == b""
+            got += stream[1:]
+            of += r["doc_id"]
+        assert of == ids and got == [w for words in own for w in [*words, b""]]
+    counts = brown.word_counts(brown.blocks(docs.select("text").repartition(3), 7, tokens=500))
+    held = collections.Counter(w.decode() for words in own for w in [*words, b""])
+    assert {r["word"]: r["c"] for r in counts.collect()} == held
+
+
+def test_language_model_over_many_blocks(spark, monkeypatch):
+    """Texts scored in many small blocks, of many tasks, get the scores of one block; what joins and
+    grouping move are rows of blocks and buckets, not of words."""
+    r = random.Random(6)
+    texts = [" ".join(f"{'abc'[i % 3]}{r.randrange(4000)}" for i in range(r.randint(0, 30))) for _ in range(1200)]
+    docs = table(spark, texts)
+    model = brown.fit(docs.select(utf8("text").alias("text")), 8, 20)
+    whole = {x["doc_id"]: x for x in brown.score(docs.coalesce(1), model).collect()}
+    small = brown.blocks
+    monkeypatch.setattr(brown, "blocks", lambda d, buckets, words=(): small(d.repartition(5), buckets, words, 300))
+    again = brown.fit(docs.select(utf8("text").alias("text")), 8, 20)
+    assert {x["word"]: x["c"] for x in again.rare.collect()} == {x["word"]: x["c"] for x in model.rare.collect()}
+    assert again.pairs.sum() == model.pairs.sum() == sum(len(t.split()) + 1 for t in texts)
+    split = brown.score(docs, model).collect()
+    assert len(split) == len(texts)
+    for x in split:
+        same = whole[x["doc_id"]]
+        assert (x["n_tokens"], x["n_known"]) == (same["n_tokens"], same["n_known"])
+        assert x["score"] == pytest.approx(same["score"], abs=1e-9)
+        assert x["base_score"] == pytest.approx(same["base_score"], abs=1e-9)
+
+
 # ---- personal data ----------------------------------------------------------------------------
 
 RULES = (
