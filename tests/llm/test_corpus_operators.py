@@ -605,6 +605,55 @@ def test_vectors_that_share_an_id_are_apart(spark):
     assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
 
 
+def vector_shuffles(df):
+    """How many shuffles of a frame's plan carry vectors."""
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        children = node.children()
+        n = sum(walk(children.apply(i)) for i in range(children.size()))
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            n += bool({"vector", "vectors", "data"} & set(node.schema().fieldNames()))
+        return n
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_vectors_are_shuffled_once_whatever_the_tiles(spark, monkeypatch):
+    ready(spark)
+    counts = []
+    settle = embedding_dedup.settle
+    monkeypatch.setattr(embedding_dedup, "settle", lambda df: counts.append(vector_shuffles(df)) or settle(df))
+    monkeypatch.setattr(embedding_dedup, "TILE", 8)
+    rng = np.random.default_rng(1)
+    near = rng.standard_normal(8) + 0.2 * rng.standard_normal((60, 8))  # most pairs are links
+    rows = [(i, i % 2, v.tolist()) for i, v in enumerate([*near, *rng.standard_normal((20, 8))])]
+    found = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"))
+    assert sum(counts) + vector_shuffles(found) == 1
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()} == linked(rows, 0.93)
+
+
+def test_range_join_of_a_block_loses_no_pair():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 5):
+        a, b = (0.1 * rng.standard_normal((n, size)).astype(np.float32) for n in (300, 200))
+        b[:20] = a[:20]
+        want = {(i, j) for i in range(300) for j in range(200) if ((a[i].astype(float) - b[j]) ** 2).sum() <= 0.01}
+        got = [(int(i), int(j)) for x, y in embedding_dedup._in_range(a, b, 0.01 + 1e-5) for i, j in zip(x, y)]
+        assert len(got) == len(set(got)) and want <= set(got)
+        assert all(((a[i].astype(float) - b[j]) ** 2).sum() <= 0.0101 for i, j in got)
+
+
+def test_vectors_with_odd_labels_and_zeros_of_both_signs(spark):
+    ready(spark)
+    nan = float("nan")
+    rows = [(1, nan, [0.0, 1.0]), (2, nan, [-0.0, 1.0]), (2, nan, [0.0, 1.0]), (3, 0.0, [1.0, 0.0]), (4, -0.0, [1.0, -0.0]),
+            (5, 0.0, [nan, 1.0]), (5, 0.0, [nan, 1.0]), (5, 0.0, [None, 1.0]), (6, 1.0, [1.0]), (7, 1.0, [1.0, 0.0])]
+    frame = spark.createDataFrame([(i, x, v) for i, x, v in rows], "vec_id long, label double, embedding array<float>")
+    got = sorted(tuple(r) for r in embedding_dedup.near_vectors(frame).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True), (5, 0, 5, True),
+                   (6, 0, 6, True), (7, 0, 7, True)]
+
+
 def test_vector_query_against_brute_force(spark, sf):
     rows = [(r["vec_id"], r["label"], r["embedding"]) for r in sf["embeddings"].collect()]
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in queries.QUERIES["op7_embedding_dedup"](spark, SF).collect()}
