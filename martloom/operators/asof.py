@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.operators.skew import all_not_null, null_high, one_per_key
+from martloom.session import settle
 
 _STEP = {"week": "interval 7 days", "month": "interval 1 month", "year": "interval 1 year"}
 
@@ -60,8 +61,30 @@ def join_nearest_snapshot(
     ``day_column`` names an extra output for the chosen snapshot's day. Facts without a key or
     date find nothing. ``slot`` (week, month, year) sets how finely a key is spread.
     """
+    asked = join_nearest_snapshots(
+        [facts], snapshots, keys, date, snapshot_date, updated, values, day_column, slot
+    )
+    return asked[0]
+
+
+def join_nearest_snapshots(
+    facts: Sequence[DataFrame],
+    snapshots: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    snapshot_date: str,
+    updated: str,
+    values: Sequence[str],
+    day_column: str | None = None,
+    slot: str = "month",
+) -> list[DataFrame]:
+    """``join_nearest_snapshot`` for several tables of facts. The intervals are found once and kept
+    in the shared folder, so the tables can also be written one by one; constant columns of a table
+    do not travel, as they would in a union."""
     extra = [day_column] if day_column else []
     intervals = snapshot_intervals(snapshots, keys, snapshot_date, updated, values)
+    if len(facts) > 1:
+        intervals = settle(intervals)
     if day_column:
         intervals = intervals.withColumn(day_column, F.col("_day"))
 
@@ -86,20 +109,21 @@ def join_nearest_snapshot(
     ).hint("merge").alias("i")
 
     day = F.col(date).cast("date")
-    placed = facts.withColumn(
-        "_slot", F.when(day.isNotNull(), F.least(F.greatest(slot_of(day), low), high))
-    ).alias("f")
+    slotted = F.when(day.isNotNull(), F.least(F.greatest(slot_of(day), low), high))
     on_day = F.col(f"f.{date}").cast("date")
     same = [F.col(f"f.{c}") == F.col(f"i.{c}") for c in [*keys, "_slot"]]
     inside = [
         F.col("i._from").isNull() | (on_day >= F.col("i._from")),
         F.col("i._to").isNull() | (on_day < F.col("i._to")),
     ]
-    joined = placed.join(cut, reduce(lambda a, b: a & b, [*same, *inside]), "left")
-    return joined.select(
-        *[F.col(f"f.{c}") for c in facts.columns],
-        *[F.col(f"i.{c}") for c in [*values, *extra]],
-    )
+    matches = reduce(lambda a, b: a & b, [*same, *inside])
+    return [
+        rows.withColumn("_slot", slotted).alias("f").join(cut, matches, "left").select(
+            *[F.col(f"f.{c}") for c in rows.columns],
+            *[F.col(f"i.{c}") for c in [*values, *extra]],
+        )
+        for rows in facts
+    ]
 
 
 def nearest_snapshot(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -42,6 +42,9 @@ def full_refresh(table: VersionedTable, df: DataFrame, run_id: str | None = None
     return {"loaded": True, "version": table.publish(rows)}
 
 
-def refresh_result(table: VersionedTable, build: Callable[[], DataFrame]) -> int:
-    """Create or refresh a stored query result: recompute from the current definition, switch."""
-    return table.publish(build())
+def refresh_result(
+    table: VersionedTable, build: Callable[[], DataFrame | Sequence[DataFrame]], **options: str
+) -> int:
+    """Create or refresh a stored query result, whole or in parts: recompute from the current
+    definition, switch."""
+    return table.publish(build(), **options)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.money import halves, scale_of, units, whole
-from martloom.operators.asof import join_nearest_snapshot
+from martloom.operators.asof import join_nearest_snapshots
 from martloom.operators.change import replace_slice
 from martloom.operators.dedup import keep_last
 from martloom.operators.skew import lookup_join, null_high, one_per_key
@@ -472,15 +472,21 @@ def fan_out(rows: DataFrame, branches: Sequence[Branch], lookups: DataFrame) ->
     )
 
 
+def costed_branches(branches: Sequence[DataFrame], costs: DataFrame) -> list[DataFrame]:
+    """Each branch with price and cost of the nearest cost snapshot. Snapshots are months apart, so
+    a slot of a year repeats few intervals."""
+    keyed = costs.withColumn("whsku_key", F.upper("whsku")).drop("whsku")
+    costed = join_nearest_snapshots(
+        branches, keyed, ["whsku_key"], "invoicedate", "valuationdate", "updatedat", ["mrp", "cogs"],
+        slot="year",
+    )
+    return [branch.drop("whsku_key") for branch in costed]
+
+
 def primary_sales(branches: Sequence[DataFrame], costs: DataFrame) -> DataFrame:
     """All branches (from tables of their own, or fanned out of one) as one table, with price and
     cost of the nearest cost snapshot."""
-    base = reduce(DataFrame.unionByName, branches)
-    keyed = costs.withColumn("whsku_key", F.upper("whsku")).drop("whsku")
-    costed = join_nearest_snapshot(
-        base, keyed, ["whsku_key"], "invoicedate", "valuationdate", "updatedat", ["mrp", "cogs"]
-    )
-    return costed.drop("whsku_key")
+    return reduce(DataFrame.unionByName, costed_branches(branches, costs))
 
 
 # --- agents ---------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ fails when it switches.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -63,15 +64,19 @@ class VersionedTable:
             raise FileNotFoundError(f"nothing published under {self.path}")
         return self.spark.read.parquet(f"{self.path}/{current.folder}")
 
-    def write(self, df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> Version:
+    def write(
+        self, df: DataFrame | Sequence[DataFrame], partition_by: tuple[str, ...] = (), **options: str
+    ) -> Version:
         """Write the next version without switching to it. The folder is new for every attempt,
-        so what a failed job left behind is never in the way."""
+        so what a failed job left behind is never in the way. A version may come in parts with equal
+        columns, written one after another."""
         number = max((row.number for row in self._markers()), default=0) + 1
         written = Version(number, f"v{number}-{uuid.uuid4().hex}")
-        writer = df.write.options(**options)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/{written.folder}")
+        for part in [df] if isinstance(df, DataFrame) else df:
+            writer = part.write.mode("append").options(**options)
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(f"{self.path}/{written.folder}")
         return written
 
     def switch(self, written: Version, unit: str | None = None) -> None:
@@ -86,7 +91,9 @@ class VersionedTable:
             f"{self.path}/_markers_/{written.number}"
         )
 
-    def publish(self, df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> int:
+    def publish(
+        self, df: DataFrame | Sequence[DataFrame], partition_by: tuple[str, ...] = (), **options: str
+    ) -> int:
         written = self.write(df, partition_by, **options)
         self.switch(written)
         return written.number

@@ -222,8 +222,10 @@ def load_table(
     match: str = "name",
     check_types: bool = True,
     include_counts: bool = True,
+    **options: str,
 ) -> dict[str, Any]:
-    """Validate, group-replace, keyed-replace and publish staging into a versioned table.
+    """Validate, group-replace, keyed-replace and publish staging into a versioned table, written
+    with the writer's ``options``.
 
     One publish at the end, so readers see all of the change or none. Empty staging succeeds
     without a change; the result says what happened.
@@ -239,7 +241,7 @@ def load_table(
     if include_counts:
         base = change.delete_groups(target, staging, business_keys) if business_keys else target
         counts = change.change_counts(base, staging, keys).first().asDict()
-    version = table.publish(change.load(target, staging, keys, business_keys, match))
+    version = table.publish(change.load(target, staging, keys, business_keys, match), **options)
     return {"success": True, "message": f"published version {version}", "counts": counts}
 
 
