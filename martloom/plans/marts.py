@@ -472,13 +472,15 @@ def fan_out(rows: DataFrame, branches: Sequence[Branch], lookups: DataFrame) ->
     )
 
 
-def costed_branches(branches: Sequence[DataFrame], costs: DataFrame) -> list[DataFrame]:
+def costed_branches(
+    branches: Sequence[DataFrame], costs: DataFrame, slot: str = "year"
+) -> list[DataFrame]:
     """Each branch with price and cost of the nearest cost snapshot. Snapshots are months apart, so
-    a slot of a year repeats few intervals."""
+    a slot of a year repeats few intervals for each of the branches."""
     keyed = costs.withColumn("whsku_key", F.upper("whsku")).drop("whsku")
     costed = join_nearest_snapshots(
         branches, keyed, ["whsku_key"], "invoicedate", "valuationdate", "updatedat", ["mrp", "cogs"],
-        slot="year",
+        slot=slot,
     )
     return [branch.drop("whsku_key") for branch in costed]
 
@@ -486,7 +488,7 @@ def costed_branches(branches: Sequence[DataFrame], costs: DataFrame) -> list[Dat
 def primary_sales(branches: Sequence[DataFrame], costs: DataFrame) -> DataFrame:
     """All branches (from tables of their own, or fanned out of one) as one table, with price and
     cost of the nearest cost snapshot."""
-    return reduce(DataFrame.unionByName, costed_branches(branches, costs))
+    return costed_branches([reduce(DataFrame.unionByName, branches)], costs, "month")[0]
 
 
 # --- agents ---------------------------------------------------------------------------------
